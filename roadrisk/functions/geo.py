@@ -91,3 +91,14 @@ def planar_distance(ax: Column, ay: Column, bx: Column, by: Column) -> Column:
     dx = ax - bx
     dy = ay - by
     return F.sqrt(dx * dx + dy * dy)
+
+
+def exact_mean(c: Column, scale: int = 9) -> Column:
+    """Aggregate: mean computed from an exact DECIMAL sum.
+
+    A double sum depends on the order rows arrive in, so the same data
+    partitioned differently can give a different last bit (and a different
+    rounded value). Summing DECIMAL(20+, scale) is exact and order-free.
+    """
+    dec = c.cast(f"decimal({18 + scale},{scale})")
+    return F.sum(dec).cast("double") / F.count(c).cast("double")

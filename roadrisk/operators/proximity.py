@@ -34,13 +34,17 @@ def school_cells(schools: DataFrame, cell_deg: float) -> DataFrame:
 
 
 def _with_cell(incidents: DataFrame, cell_deg: float) -> DataFrame:
+    """Cell and coordinates under private names: outer references in the
+    EXISTS must not share a name with any column in the school lineage."""
     return (incidents.withColumn("_gx", _cell(F.col("longitude"), cell_deg))
-            .withColumn("_gy", _cell(F.col("latitude"), cell_deg)))
+            .withColumn("_gy", _cell(F.col("latitude"), cell_deg))
+            .withColumn("_plat", F.col("latitude"))
+            .withColumn("_plon", F.col("longitude")))
 
 
 def _near_condition(radius_m: float, outer: bool):
-    lat = F.col("latitude").outer() if outer else F.col("latitude")
-    lon = F.col("longitude").outer() if outer else F.col("longitude")
+    lat = F.col("_plat").outer() if outer else F.col("_plat")
+    lon = F.col("_plon").outer() if outer else F.col("_plon")
     gx = F.col("_gx").outer() if outer else F.col("_gx")
     gy = F.col("_gy").outer() if outer else F.col("_gy")
     return ((F.col("sgx") == gx) & (F.col("sgy") == gy)
@@ -53,7 +57,7 @@ def near_school_join(incidents: DataFrame, schools: DataFrame, radius_m: float =
     cell_deg = cell_deg or C.school_cell_deg(radius_m)
     inc = _with_cell(incidents, cell_deg)
     return inc.join(school_cells(schools, cell_deg), on=_near_condition(radius_m, False),
-                    how="left_semi").drop("_gx", "_gy")
+                    how="left_semi").drop("_gx", "_gy", "_plat", "_plon")
 
 
 def add_near_school(incidents: DataFrame, schools: DataFrame | None, radius_m: float = C.SCHOOL_RADIUS_M,
@@ -70,4 +74,4 @@ def add_near_school(incidents: DataFrame, schools: DataFrame | None, radius_m: f
     inc = _with_cell(incidents, cell_deg)
     hit = school_cells(schools, cell_deg).where(_near_condition(radius_m, True)).exists()
     return (inc.withColumn("near_school", F.when(hit, F.lit(1)).otherwise(F.lit(0)))
-            .drop("_gx", "_gy"))
+            .drop("_gx", "_gy", "_plat", "_plon"))

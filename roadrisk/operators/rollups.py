@@ -55,8 +55,8 @@ def top_intersections(silver: DataFrame, k: int = C.TOP_INTERSECTIONS) -> DataFr
                  count_of(sev, "fatal").alias("fatal"),
                  count_of(sev, "pedestrian").alias("pedestrian"),
                  count_of(sev, "bicycle").alias("bicycle"),
-                 F.avg("latitude").alias("lat"),
-                 F.avg("longitude").alias("lng"))
+                 geo.exact_mean(F.col("latitude")).alias("lat"),
+                 geo.exact_mean(F.col("longitude")).alias("lng"))
             .orderBy(F.desc("crash_count"), F.asc("intersection"))
             .limit(k))
 

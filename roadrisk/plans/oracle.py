@@ -185,6 +185,10 @@ def severity_weight_case(col: str = "severity") -> str:
     return f"CASE {' '.join(parts)} ELSE {C.SEVERITY_WEIGHTS[C.SEVERITY_OTHER]} END"
 
 
+def exact_mean(col: str, scale: int = 9) -> str:
+    return f"(CAST(sum(CAST({col} AS DECIMAL({18 + scale},{scale}))) AS DOUBLE) / CAST(count({col}) AS DOUBLE))"
+
+
 def sev_counts(col: str = "severity") -> str:
     return ", ".join(f"CAST(count_if({col} = '{s}') AS BIGINT) AS {s}" for s in C.SEVERITY_LABELS)
 

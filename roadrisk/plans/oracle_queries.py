@@ -15,3 +15,125 @@ def sql(name: str, ctes: str, select: str) -> None:
 sql("monthly_series", O.SILVER, f"""
 SELECT year_month, count(*) AS total, {O.sev_counts()}
 FROM silver GROUP BY year_month ORDER BY year_month""")
+
+sql("crashes_by_year", O.BRONZE, """
+SELECT crash_year, count(*) AS cnt FROM bronze GROUP BY 1 ORDER BY 1""")
+
+sql("severity_breakdown", O.SILVER, """
+SELECT severity, count(*) AS crash_count FROM silver GROUP BY severity ORDER BY crash_count DESC, severity""")
+
+sql("severity_totals", O.SILVER, f"""
+SELECT count(*) AS total_crashes, {O.sev_counts()} FROM silver""")
+
+_TOP = f""",
+top AS (
+  SELECT intersection, count(*) AS crash_count,
+    CAST(count_if(severity = 'fatal') AS BIGINT) AS fatal,
+    CAST(count_if(severity = 'pedestrian') AS BIGINT) AS pedestrian,
+    CAST(count_if(severity = 'bicycle') AS BIGINT) AS bicycle,
+    {O.exact_mean('latitude')} AS lat, {O.exact_mean('longitude')} AS lng
+  FROM silver WHERE intersection IS NOT NULL
+  GROUP BY intersection ORDER BY crash_count DESC, intersection LIMIT {O.C.TOP_INTERSECTIONS}
+)"""
+
+sql("top_intersections", O.SILVER + _TOP, f"""
+SELECT intersection, crash_count, fatal, pedestrian, bicycle, {rnd('lat', 6)} AS lat, {rnd('lng', 6)} AS lng FROM top""")
+
+sql("school_zone_stats", O.SILVER, """
+SELECT CAST(count_if(near_school = 1) AS BIGINT) AS school_zone_crashes,
+       CAST(count_if(near_school = 1 AND severity = 'fatal') AS BIGINT) AS school_zone_fatal FROM silver""")
+
+sql("summary_stats", O.SILVER + _TOP + """,
+top1 AS (SELECT * FROM top ORDER BY crash_count DESC, intersection LIMIT 1),
+ntop AS (SELECT count(*) AS n_top FROM top)""", f"""
+SELECT count(*) AS total_crashes, {O.sev_counts()},
+  CAST(min(crash_date) AS VARCHAR) AS date_from, CAST(max(crash_date) AS VARCHAR) AS date_to,
+  CAST(count_if(near_school = 1) AS BIGINT) AS school_zone_crashes,
+  CAST(count_if(near_school = 1 AND severity = 'fatal') AS BIGINT) AS school_zone_fatal,
+  (SELECT n_top FROM ntop) AS n_top,
+  (SELECT intersection FROM top1) AS top_name,
+  (SELECT crash_count FROM top1) AS top_crashes,
+  (SELECT {rnd('lat', 5)} FROM top1) AS top_lat,
+  CAST(count_if(severity = 'fatal') AS BIGINT) AS by_severity_fatal
+FROM silver""")
+
+sql("enrichment_summary", O.SILVER, """
+SELECT count(*) AS total_rows, count(DISTINCT h3_res9) AS distinct_fine_cells,
+  count(DISTINCT h3_res8) AS distinct_coarse_cells, count(*) AS with_geometry,
+  CAST(count_if(near_school = 1) AS BIGINT) AS near_school FROM silver""")
+
+sql("ingest_incidents", O.BRONZE, "SELECT * FROM bronze")
+
+sql("ingest_schools", "schools_dummy AS (SELECT 1)" + O.SCHOOLS, """
+SELECT school_id, school_name, latitude, longitude, school_lat, school_lon FROM schools""")
+
+sql("clean_incidents", O.CLEAN, "SELECT dr_no, latitude, longitude, crash_date, crash_hour FROM cleaned")
+
+sql("calendar_columns", O.SILVER, "SELECT dr_no, crash_year, crash_month, year_month FROM silver")
+
+sql("bbox_filter", O.CLEAN, "SELECT dr_no, latitude, longitude FROM valid")
+
+sql("dedupe_incidents", O.CLEAN, "SELECT dr_no, date_occ, time_occ, lat, lon, mocodes FROM cleaned")
+
+sql("classify_severity", O.CLEAN, f"SELECT dr_no, mocodes, crm_cd_desc, {O.severity_case()} AS severity FROM cleaned")
+
+sql("intersection_label", O.CLEAN, """
+SELECT dr_no, CASE WHEN cross_street IS NOT NULL AND cross_street <> ''
+  THEN nullif(location, '') || ' / ' || cross_street ELSE nullif(location, '') END AS intersection FROM cleaned""")
+
+sql("hex_bins", O.SILVER, "SELECT dr_no, h3_res9, h3_res8 FROM silver")
+
+
+def _cells_cte() -> str:
+    parts = [f"SELECT DISTINCT '{label}' AS resolution, h3_res{label} AS h3_index, c{label}_q AS q, c{label}_r AS r, "
+             f"{edge!r} AS edge FROM silver" for label, edge in O.C.HEATMAP_RESOLUTIONS]
+    return ",\ncells AS (" + " UNION ALL ".join(parts) + ")"
+
+
+def _vertex_select(src: str, i: int, out_i: int) -> str:
+    sels = []
+    for label, edge in O.C.HEATMAP_RESOLUTIONS:
+        lng, lat = O.hex_vertex("q", "r", edge, i)
+        sels.append(f"SELECT h3_index, resolution, CAST({out_i} AS INTEGER) AS vertex, {lng} AS lng, {lat} AS lat "
+                    f"FROM {src} WHERE resolution = '{label}'")
+    return " UNION ALL ".join(sels)
+
+
+sql("hex_boundary", O.SILVER + _cells_cte(),
+    " UNION ALL ".join(_vertex_select("cells", i % 6, i) for i in range(7)))
+
+
+def _heat_cte() -> str:
+    parts = [f"SELECT '{label}' AS resolution, h3_res{label} AS h3_index, c{label}_q AS q, c{label}_r AS r, "
+             f"severity, latitude, longitude FROM silver" for label, _ in O.C.HEATMAP_RESOLUTIONS]
+    return f""",
+heat_in AS ({' UNION ALL '.join(parts)}),
+heat AS (
+  SELECT resolution, h3_index, any_value(q) AS q, any_value(r) AS r, count(*) AS crash_count,
+    CAST(count_if(severity = 'fatal') AS BIGINT) AS fatal_count,
+    CAST(count_if(severity = 'pedestrian') AS BIGINT) AS pedestrian_count,
+    CAST(count_if(severity = 'bicycle') AS BIGINT) AS bicycle_count,
+    CAST(sum({O.severity_weight_case()}) AS BIGINT) AS severity_score,
+    {O.exact_mean('latitude')} AS center_lat, {O.exact_mean('longitude')} AS center_lng
+  FROM heat_in GROUP BY resolution, h3_index
+)"""
+
+
+def _heat_select() -> str:
+    sels = []
+    for label, edge in O.C.HEATMAP_RESOLUTIONS:
+        lng, lat = O.hex_vertex("q", "r", edge, 0)
+        sels.append(f"""SELECT h3_index, resolution, crash_count, fatal_count, pedestrian_count, bicycle_count,
+  severity_score, {rnd('center_lat', 6)} AS center_lat, {rnd('center_lng', 6)} AS center_lng,
+  CAST(7 AS BIGINT) AS boundary_points, {lng} AS boundary_lng0, {lat} AS boundary_lat0
+FROM heat WHERE resolution = '{label}'""")
+    return "\nUNION ALL\n".join(sels)
+
+
+sql("hex_heatmap", O.SILVER + _heat_cte(), _heat_select())
+
+sql("near_school_join", O.CLEAN + O.SCHOOLS, f"""
+SELECT dr_no, latitude, longitude FROM cleaned c
+WHERE EXISTS (SELECT 1 FROM schools s WHERE {O.haversine_within('c.latitude', 'c.longitude', 's.school_lat', 's.school_lon', O.C.SCHOOL_RADIUS_M)})""")
+
+sql("near_school_flag", O.SILVER, "SELECT dr_no, near_school FROM silver")

@@ -16,8 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadrisk.functions import geo
-from roadrisk.operators import rollups
+from roadrisk.operators import clean, heatmap, proximity, rollups
 from roadrisk.plans import pipeline
+from roadrisk.sources import fixtures, ingest
+from roadrisk.sources.tables import TableStore
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -38,3 +40,136 @@ def r6(c) -> F.Column:
 @query("monthly_series")
 def q_monthly_series(spark, sf_dir):
     return rollups.monthly_series(pipeline.silver(spark, sf_dir))
+
+
+@query("crashes_by_year")
+def q_crashes_by_year(spark, sf_dir):
+    return rollups.crashes_by_year(spark, pipeline.bronze(spark, sf_dir))
+
+
+@query("severity_breakdown")
+def q_severity_breakdown(spark, sf_dir):
+    return rollups.severity_breakdown(pipeline.silver(spark, sf_dir))
+
+
+@query("severity_totals")
+def q_severity_totals(spark, sf_dir):
+    return rollups.severity_totals(pipeline.silver(spark, sf_dir))
+
+
+@query("top_intersections")
+def q_top_intersections(spark, sf_dir):
+    t = rollups.top_intersections(pipeline.silver(spark, sf_dir))
+    return t.select("intersection", "crash_count", "fatal", "pedestrian", "bicycle",
+                    r6("lat").alias("lat"), r6("lng").alias("lng"))
+
+
+@query("school_zone_stats")
+def q_school_zone_stats(spark, sf_dir):
+    return rollups.school_zone_stats(pipeline.silver(spark, sf_dir))
+
+
+@query("summary_stats")
+def q_summary_stats(spark, sf_dir):
+    s = rollups.summary_stats(pipeline.silver(spark, sf_dir))
+    top = F.col("top_intersections")
+    return s.select("total_crashes", *rollups.C.SEVERITY_LABELS, "date_from", "date_to",
+                    "school_zone_crashes", "school_zone_fatal",
+                    F.size(top).cast("bigint").alias("n_top"),
+                    top.getItem(0)["name"].alias("top_name"),
+                    top.getItem(0)["crashes"].alias("top_crashes"),
+                    top.getItem(0)["lat"].alias("top_lat"),
+                    F.col("by_severity")["fatal"].alias("by_severity_fatal"))
+
+
+@query("enrichment_summary")
+def q_enrichment_summary(spark, sf_dir):
+    return rollups.enrichment_summary(pipeline.silver(spark, sf_dir))
+
+
+# ------------------------------------------------------------ ingest and cleaning
+
+@query("ingest_incidents")
+def q_ingest_incidents(spark, sf_dir):
+    store = TableStore(spark)
+    landed = ingest.land_json(fixtures.incidents_raw(spark, sf_dir), store.path("landing_incidents"))
+    return ingest.ingest_incidents(spark, landed)
+
+
+@query("ingest_schools")
+def q_ingest_schools(spark, sf_dir):
+    store = TableStore(spark)
+    landed = ingest.land_json(fixtures.schools_raw(spark, sf_dir), store.path("landing_schools"))
+    pts = ingest.school_points(ingest.ingest_schools(spark, landed))
+    return pts.select("school_id", "school_name", "latitude", "longitude", "school_lat", "school_lon")
+
+
+@query("clean_incidents")
+def q_clean_incidents(spark, sf_dir):
+    c = clean.clean_incidents(pipeline.bronze(spark, sf_dir))
+    return c.select("dr_no", "latitude", "longitude", "crash_date", "crash_hour")
+
+
+@query("calendar_columns")
+def q_calendar_columns(spark, sf_dir):
+    s = pipeline.silver(spark, sf_dir)
+    return s.select("dr_no", "crash_year", "crash_month", "year_month")
+
+
+@query("bbox_filter")
+def q_bbox_filter(spark, sf_dir):
+    p = clean.bbox_filter(clean.valid_coordinates(clean.parse_incidents(pipeline.bronze(spark, sf_dir))))
+    return p.select("dr_no", "latitude", "longitude")
+
+
+@query("dedupe_incidents")
+def q_dedupe_incidents(spark, sf_dir):
+    c = clean.clean_incidents(pipeline.bronze(spark, sf_dir))
+    return c.select("dr_no", "date_occ", "time_occ", "lat", "lon", "mocodes")
+
+
+@query("classify_severity")
+def q_classify_severity(spark, sf_dir):
+    c = clean.add_severity(clean.clean_incidents(pipeline.bronze(spark, sf_dir)))
+    return c.select("dr_no", "mocodes", "crm_cd_desc", "severity")
+
+
+@query("intersection_label")
+def q_intersection_label(spark, sf_dir):
+    c = clean.add_intersection(clean.clean_incidents(pipeline.bronze(spark, sf_dir)))
+    return c.select("dr_no", "intersection")
+
+
+@query("hex_bins")
+def q_hex_bins(spark, sf_dir):
+    return pipeline.silver(spark, sf_dir).select("dr_no", "h3_res9", "h3_res8")
+
+
+@query("hex_boundary")
+def q_hex_boundary(spark, sf_dir):
+    return heatmap.cell_boundaries(pipeline.silver(spark, sf_dir))
+
+
+@query("hex_heatmap")
+def q_hex_heatmap(spark, sf_dir):
+    h = heatmap.hex_heatmap(pipeline.silver(spark, sf_dir))
+    b = F.col("boundary")
+    return h.select("h3_index", "resolution", "crash_count", "fatal_count", "pedestrian_count",
+                    "bicycle_count", "severity_score", r6("center_lat").alias("center_lat"),
+                    r6("center_lng").alias("center_lng"),
+                    F.size(b).cast("bigint").alias("boundary_points"),
+                    b.getItem(0).getItem(0).alias("boundary_lng0"),
+                    b.getItem(0).getItem(1).alias("boundary_lat0"))
+
+
+# ------------------------------------------------------------ proximity
+
+@query("near_school_join")
+def q_near_school_join(spark, sf_dir):
+    inc = clean.clean_incidents(pipeline.bronze(spark, sf_dir))
+    return proximity.near_school_join(inc, pipeline.schools(spark, sf_dir)).select("dr_no", "latitude", "longitude")
+
+
+@query("near_school_flag")
+def q_near_school_flag(spark, sf_dir):
+    return pipeline.silver(spark, sf_dir).select("dr_no", "near_school")
