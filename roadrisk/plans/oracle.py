@@ -242,3 +242,148 @@ silver AS (
 
 def with_(ctes: str, select: str) -> str:
     return f"WITH {ctes}\n{select}"
+
+
+# ---------------------------------------------------------------- statistics
+
+def gi_z(sum_x: str, w: str, n: str, total: str, sumsq: str) -> str:
+    d = lambda e: f"CAST({e} AS DOUBLE)"
+    xbar = f"({d(total)} / NULLIF({d(n)}, {L(0.0)}))"
+    s = f"sqrt(greatest({d(sumsq)} / NULLIF({d(n)}, {L(0.0)}) - {xbar} * {xbar}, {L(0.0)}))"
+    num = f"({d(sum_x)} - {xbar} * {d(w)})"
+    inner = f"(({d(n)} * {d(w)} - {d(w)} * {d(w)}) / NULLIF({d(n)} - {L(1.0)}, {L(0.0)}))"
+    den = f"({s} * sqrt(greatest({inner}, {L(0.0)})))"
+    return f"({num} / NULLIF({den}, {L(0.0)}))"
+
+
+def p_value(z: str) -> str:
+    x = f"(abs({z}) / {L(2.0 ** 0.5)})"
+    t = f"({L(1.0)} / ({L(1.0)} + {L(C.AS_P)} * {x}))"
+    a1, a2, a3, a4, a5 = (L(a) for a in C.AS_A)
+    poly = f"({t} * ({a1} + {t} * ({a2} + {t} * ({a3} + {t} * ({a4} + {t} * {a5})))))"
+    return f"({poly} * exp(-({x} * {x})))"
+
+
+def classify(z: str) -> str:
+    return (f"CASE WHEN {z} >= {L(C.Z_99)} THEN 'hot_99' WHEN {z} >= {L(C.Z_95)} THEN 'hot_95' "
+            f"WHEN {z} >= {L(C.Z_90)} THEN 'hot_90' WHEN {z} <= {L(-C.Z_99)} THEN 'cold_99' "
+            f"WHEN {z} <= {L(-C.Z_95)} THEN 'cold_95' WHEN {z} <= {L(-C.Z_90)} THEN 'cold_90' "
+            f"ELSE 'not_significant' END")
+
+
+def offsets_values(rings: int, with_dt: bool = False) -> str:
+    rows = []
+    for dq, dr in hexgrid.ring_offsets(rings):
+        if with_dt:
+            rows += [f"({dq}, {dr}, 0)", f"({dq}, {dr}, 1)"]
+        else:
+            rows.append(f"({dq}, {dr})")
+    cols = "dq, dr, dt" if with_dt else "dq, dr"
+    return f"(SELECT * FROM (VALUES {', '.join(rows)}) AS t({cols}))"
+
+
+def offcol(q: str, r: str) -> str:
+    return f"(({q}) + CAST(floor(({r}) / 2.0) AS BIGINT))"
+
+
+def w_in_rect(src: str, st: str, rings: int) -> str:
+    """SELECT q, r, w: neighbour offsets of each (q, r) in `src` inside the rectangle."""
+    return f"""SELECT c.q, c.r, count(*) AS w FROM {src} c, {offsets_values(rings)} o, {st} s
+  WHERE {offcol('c.q + o.dq', 'c.r + o.dr')} BETWEEN s.c0 AND s.c1 AND c.r + o.dr BETWEEN s.r0 AND s.r1
+  GROUP BY c.q, c.r"""
+
+
+HS_EDGE = hexgrid.edge_from_flat_width(C.HOTSPOT_BIN_M)
+HS_LABEL = f"{C.HOTSPOT_BIN_M:g}m"
+
+HOT_SPOTS = f""",
+hs_pts AS (SELECT {hex_qr_cols(proj_x('longitude'), proj_y('latitude'), HS_EDGE, '')} FROM silver),
+hs_cnt AS (SELECT q, r, count(*) AS x FROM hs_pts GROUP BY q, r),
+hs_st AS (SELECT min({offcol('q', 'r')}) AS c0, max({offcol('q', 'r')}) AS c1, min(r) AS r0, max(r) AS r1,
+                 sum(x) AS total, sum(x * x) AS sumsq FROM hs_cnt),
+hs_nb AS (SELECT c.q + o.dq AS q, c.r + o.dr AS r, sum(c.x) AS sum_x
+          FROM hs_cnt c, {offsets_values(C.HOTSPOT_RINGS)} o GROUP BY 1, 2),
+hs_w AS ({w_in_rect('hs_cnt', 'hs_st', C.HOTSPOT_RINGS)}),
+hs AS (
+  SELECT {hex_id(HS_LABEL, 'c.q', 'c.r')} AS bin_id, c.q, c.r, c.x AS crash_count, nb.sum_x, w.w,
+    {gi_z('nb.sum_x', 'w.w', '(s.c1 - s.c0 + 1) * (s.r1 - s.r0 + 1)', 's.total', 's.sumsq')} AS z_score
+  FROM hs_cnt c JOIN hs_nb nb ON nb.q = c.q AND nb.r = c.r JOIN hs_w w ON w.q = c.q AND w.r = c.r, hs_st s
+)"""
+
+EMERGING = f""",
+es_pts AS (SELECT {hex_qr_cols(proj_x('longitude'), proj_y('latitude'), HS_EDGE, '')},
+                  CAST(year(crash_date) * 12 + month(crash_date) - 1 AS INTEGER) AS m
+           FROM silver WHERE crash_date IS NOT NULL),
+es_m0 AS (SELECT min(m) AS m0 FROM es_pts),
+es_cnt AS (SELECT q, r, CAST((m - m0) // {C.EMERGING_STEP_MONTHS} AS INTEGER) AS step, count(*) AS x
+           FROM es_pts, es_m0 GROUP BY ALL),
+es_st AS (SELECT min({offcol('q', 'r')}) AS c0, max({offcol('q', 'r')}) AS c1, min(r) AS r0, max(r) AS r1,
+                 sum(x) AS total, sum(x * x) AS sumsq, max(step) + 1 AS t FROM es_cnt),
+es_nb AS (SELECT c.q + o.dq AS q, c.r + o.dr AS r, c.step + o.dt AS step, sum(c.x) AS sum_x
+          FROM es_cnt c, {offsets_values(C.HOTSPOT_RINGS, True)} o, es_st s
+          WHERE c.step + o.dt < s.t GROUP BY 1, 2, 3),
+es_bins AS (SELECT DISTINCT q, r FROM es_cnt),
+es_ws AS ({w_in_rect('es_bins', 'es_st', C.HOTSPOT_RINGS)}),
+es_grid AS (SELECT b.q, b.r, CAST(unnest(range(s.t)) AS INTEGER) AS step FROM es_bins b, es_st s),
+es_z AS (
+  SELECT g.q, g.r, g.step,
+    {gi_z('coalesce(nb.sum_x, 0)', 'ws.w * CASE WHEN g.step = 0 THEN 1 ELSE 2 END',
+          '(s.c1 - s.c0 + 1) * (s.r1 - s.r0 + 1) * s.t', 's.total', 's.sumsq')} AS z
+  FROM es_grid g JOIN es_ws ws ON ws.q = g.q AND ws.r = g.r
+  LEFT JOIN es_nb nb ON nb.q = g.q AND nb.r = g.r AND nb.step = g.step, es_st s
+),
+es_mk AS (SELECT a.q, a.r, sum(coalesce(sign(b.z - a.z), 0)) AS mk_s
+          FROM es_z a JOIN es_z b ON a.q = b.q AND a.r = b.r AND a.step < b.step GROUP BY a.q, a.r),
+es_bin AS (
+  SELECT z.q, z.r, CAST(count_if(z.z >= {L(C.HOT_Z)}) AS BIGINT) AS quarters_hot,
+    arg_max_null(z.z, z.step) AS latest_z, count(*) AS n_steps
+  FROM es_z z GROUP BY z.q, z.r
+),
+es AS (
+  SELECT b.*, {hex_id(HS_LABEL, 'b.q', 'b.r')} AS bin_id,
+    CAST(coalesce(mk.mk_s, 0) AS DOUBLE) AS mk_s_d,
+    sqrt(CAST(b.n_steps AS DOUBLE) * (CAST(b.n_steps AS DOUBLE) - {L(1.0)})
+         * ({L(2.0)} * CAST(b.n_steps AS DOUBLE) + {L(5.0)}) / {L(18.0)}) AS mk_sd
+  FROM es_bin b LEFT JOIN es_mk mk ON mk.q = b.q AND mk.r = b.r
+),
+es2 AS (
+  SELECT *,
+    CASE WHEN mk_s_d > 0 THEN (mk_s_d - {L(1.0)}) / NULLIF(mk_sd, {L(0.0)})
+         WHEN mk_s_d < 0 THEN (mk_s_d + {L(1.0)}) / NULLIF(mk_sd, {L(0.0)}) ELSE {L(0.0)} END AS mk_z,
+    coalesce(latest_z >= {L(C.HOT_Z)}, false) AS latest_hot,
+    CAST(quarters_hot AS DOUBLE) >= {L(C.PERSIST_FRACTION)} * CAST(n_steps AS DOUBLE) AS mostly
+  FROM es
+),
+emerging AS (
+  SELECT *, CASE WHEN quarters_hot = 0 THEN 'none'
+    WHEN NOT latest_hot AND mostly THEN 'historical'
+    WHEN NOT latest_hot THEN 'sporadic'
+    WHEN quarters_hot = 1 THEN 'new'
+    WHEN mostly AND mk_z >= {L(C.MK_Z)} THEN 'intensifying'
+    WHEN mostly AND mk_z <= {L(-C.MK_Z)} THEN 'diminishing'
+    WHEN mostly THEN 'persistent'
+    ELSE 'sporadic' END AS trend
+  FROM es2
+)"""
+
+
+def kde_ctes(radius_m: float = C.KDE_RADIUS_M, cell_m: float = C.KDE_CELL_M) -> str:
+    from roadrisk.operators.density import reachable_offsets
+    offs = ", ".join(f"({di}, {dj})" for di, dj in reachable_offsets(radius_m, cell_m))
+    c = L(cell_m)
+    r2 = L(radius_m * radius_m)
+    ex = f"(x - (CAST(i AS DOUBLE) + {L(0.5)}) * {c})"
+    ey = f"(y - (CAST(j AS DOUBLE) + {L(0.5)}) * {c})"
+    v = f"({L(1.0)} - d2 / {r2})"
+    k = 3.0 / (math.pi * radius_m * radius_m) * 1e6
+    return f""",
+kd_pos AS (SELECT x, y, sum({L(1.0)}) AS w FROM
+  (SELECT {proj_x('longitude')} AS x, {proj_y('latitude')} AS y FROM silver) GROUP BY x, y),
+kd_fan AS (SELECT x, y, w, CAST(floor(x / {c}) AS BIGINT) + o.di AS i, CAST(floor(y / {c}) AS BIGINT) + o.dj AS j
+  FROM kd_pos, (SELECT * FROM (VALUES {offs}) AS t(di, dj)) o),
+kd_d AS (SELECT i, j, w, {ex} * {ex} + {ey} * {ey} AS d2 FROM kd_fan),
+kd AS (SELECT i, j, sum(w * {v} * {v}) AS s FROM kd_d WHERE d2 < {r2} GROUP BY i, j),
+density AS (SELECT i AS cell_i, j AS cell_j,
+  {unproj_lon(f'(CAST(i AS DOUBLE) + {L(0.5)}) * {c}')} AS center_lon,
+  {unproj_lat(f'(CAST(j AS DOUBLE) + {L(0.5)}) * {c}')} AS center_lat,
+  s * {L(k)} AS density FROM kd)"""

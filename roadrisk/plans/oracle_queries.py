@@ -137,3 +137,17 @@ SELECT dr_no, latitude, longitude FROM cleaned c
 WHERE EXISTS (SELECT 1 FROM schools s WHERE {O.haversine_within('c.latitude', 'c.longitude', 's.school_lat', 's.school_lon', O.C.SCHOOL_RADIUS_M)})""")
 
 sql("near_school_flag", O.SILVER, "SELECT dr_no, near_school FROM silver")
+
+sql("hot_spots", O.SILVER + O.HOT_SPOTS, f"""
+SELECT bin_id, crash_count, {rnd('z_score', 4)} AS z_score, {rnd(O.p_value('z_score'), 6)} AS p_value,
+  {O.classify('z_score')} AS classification FROM hs""")
+
+sql("emerging_hot_spots", O.SILVER + O.EMERGING, f"""
+SELECT bin_id, trend, quarters_hot, {rnd('latest_z', 4)} AS latest_z, {rnd('mk_z', 4)} AS mk_z, n_steps FROM emerging""")
+
+sql("trend_breakdown", O.SILVER + O.EMERGING, """
+SELECT trend, count(*) AS bins FROM emerging GROUP BY trend ORDER BY bins DESC, trend""")
+
+sql("kernel_density", O.SILVER + O.kde_ctes(), f"""
+SELECT cell_i, cell_j, {rnd('center_lon', 6)} AS center_lon, {rnd('center_lat', 6)} AS center_lat,
+  {rnd('density', 4)} AS density FROM density""")

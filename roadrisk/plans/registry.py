@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadrisk.functions import geo
-from roadrisk.operators import clean, heatmap, proximity, rollups
+from roadrisk.operators import clean, density, heatmap, hotspots, proximity, rollups
 from roadrisk.plans import pipeline
 from roadrisk.sources import fixtures, ingest
 from roadrisk.sources.tables import TableStore
@@ -173,3 +173,39 @@ def q_near_school_join(spark, sf_dir):
 @query("near_school_flag")
 def q_near_school_flag(spark, sf_dir):
     return pipeline.silver(spark, sf_dir).select("dr_no", "near_school")
+
+
+# ------------------------------------------------------------ spatial statistics
+
+def r4(c) -> F.Column:
+    return geo.round_half_up(F.col(c) if isinstance(c, str) else c, 4)
+
+
+@query("hot_spots")
+def q_hot_spots(spark, sf_dir):
+    h = hotspots.hot_spots(pipeline.silver(spark, sf_dir))
+    return h.select("bin_id", "crash_count", r4("z_score").alias("z_score"),
+                    r6("p_value").alias("p_value"), "classification")
+
+
+def _emerging(spark, sf_dir):
+    return hotspots.emerging_hot_spots(pipeline.silver(spark, sf_dir))
+
+
+@query("emerging_hot_spots")
+def q_emerging_hot_spots(spark, sf_dir):
+    e = _emerging(spark, sf_dir)
+    return e.select("bin_id", "trend", "quarters_hot", r4("latest_z").alias("latest_z"),
+                    r4("mk_z").alias("mk_z"), "n_steps")
+
+
+@query("trend_breakdown")
+def q_trend_breakdown(spark, sf_dir):
+    return hotspots.trend_breakdown(_emerging(spark, sf_dir))
+
+
+@query("kernel_density")
+def q_kernel_density(spark, sf_dir):
+    d = density.kernel_density(pipeline.silver(spark, sf_dir))
+    return d.select("cell_i", "cell_j", r6("center_lon").alias("center_lon"),
+                    r6("center_lat").alias("center_lat"), r4("density").alias("density"))
