@@ -241,7 +241,8 @@ silver AS (
 
 
 def with_(ctes: str, select: str) -> str:
-    return f"WITH {ctes}\n{select}"
+    kw = "WITH RECURSIVE" if "rw_iv(" in ctes else "WITH"
+    return f"{kw} {ctes}\n{select}"
 
 
 # ---------------------------------------------------------------- statistics
@@ -387,3 +388,162 @@ density AS (SELECT i AS cell_i, j AS cell_j,
   {unproj_lon(f'(CAST(i AS DOUBLE) + {L(0.5)}) * {c}')} AS center_lon,
   {unproj_lat(f'(CAST(j AS DOUBLE) + {L(0.5)}) * {c}')} AS center_lat,
   s * {L(k)} AS density FROM kd)"""
+
+
+# ---------------------------------------------------------------- roads
+
+def road_lon(k: str, i: str) -> str:
+    step = f"(CASE WHEN {k} % 17 = 0 THEN 40000 ELSE 400 + ({k} % 5) * 150 END)"
+    return f"((-118400000 + (({k} * 7) % 12) * 15000 + ((({k} * 53) % 201) - 100) * 40 + {i} * {step}) / 1e6)"
+
+
+def road_lat(k: str, i: str) -> str:
+    return f"((34000000 + ({k} % 12) * 10000 + ((({k} * 37) % 201) - 100) * 40 + ((({i} * {i}) * ({k} % 7)) % 11) * 60) / 1e6)"
+
+
+def seg_dist(px, py, ax, ay, bx, by) -> str:
+    dx = f"(({bx}) - ({ax}))"
+    dy = f"(({by}) - ({ay}))"
+    l2 = f"({dx} * {dx} + {dy} * {dy})"
+    t_raw = f"(((({px}) - ({ax})) * {dx} + (({py}) - ({ay})) * {dy}) / (CASE WHEN {l2} = {L(0.0)} THEN {L(1.0)} ELSE {l2} END))"
+    t = f"(CASE WHEN {l2} = {L(0.0)} THEN {L(0.0)} ELSE greatest({L(0.0)}, least({L(1.0)}, {t_raw})) END)"
+    ex = f"(({px}) - (({ax}) + {t} * {dx}))"
+    ey = f"(({py}) - (({ay}) + {t} * {dy}))"
+    return f"sqrt({ex} * {ex} + {ey} * {ey})"
+
+
+def planar(ax, ay, bx, by) -> str:
+    dx = f"(({ax}) - ({bx}))"
+    dy = f"(({ay}) - ({by}))"
+    return f"sqrt({dx} * {dx} + {dy} * {dy})"
+
+
+PALETTE = "(SELECT * FROM (VALUES " + ", ".join(
+    f"({i}, {r}, {g}, {b})" for i, (r, g, b) in enumerate(C.ROAD_PALETTE)) + ") AS t(ci, pr, pg, pb))"
+
+ROADS = f"""
+rw_i AS (SELECT p_partkey AS k, CAST(unnest(range(0, p_partkey % 10 + 1)) AS BIGINT) AS i FROM part),
+rw_geo AS (
+  SELECT k, i, 0 AS copy FROM rw_i UNION ALL SELECT k, i, 1 AS copy FROM rw_i WHERE i % 3 = 0
+),
+rw_ways AS (
+  SELECT p_partkey AS k, CASE WHEN p_partkey % 23 = 0 THEN 'node' ELSE 'way' END AS type,
+    CASE p_partkey % 4 WHEN 0 THEN 'motorway' WHEN 1 THEN 'trunk' WHEN 2 THEN 'primary' ELSE NULL END AS highway_tag
+  FROM part
+),
+rw_clean AS (
+  SELECT w.k, w.highway_tag, count(*) AS n_geometry FROM rw_ways w JOIN rw_geo g ON g.k = w.k
+  WHERE w.type = 'way' GROUP BY w.k, w.highway_tag HAVING count(*) >= 2
+),
+rw_round AS (
+  SELECT g.k, g.i, g.copy,
+    {rnd(road_lon('g.k', 'g.i'), C.ROAD_ROUND_DECIMALS)} AS lon,
+    {rnd(road_lat('g.k', 'g.i'), C.ROAD_ROUND_DECIMALS)} AS lat
+  FROM rw_geo g JOIN rw_clean c ON c.k = g.k
+),
+rw_lag AS (
+  SELECT *, lag(lon) OVER w AS plon, lag(lat) OVER w AS plat, row_number() OVER w AS gpos
+  FROM rw_round WINDOW w AS (PARTITION BY k ORDER BY i, copy)
+),
+rw_kept AS (SELECT k, gpos, lon, lat FROM rw_lag WHERE gpos = 1 OR NOT (lon = plon AND lat = plat)),
+rw_dd0 AS (SELECT k, CAST(row_number() OVER (PARTITION BY k ORDER BY gpos) - 1 AS INTEGER) AS idx, lon, lat FROM rw_kept),
+rw_dd AS (SELECT * FROM rw_dd0 WHERE k IN (SELECT k FROM rw_dd0 GROUP BY k HAVING count(*) >= 2)),
+rw_n AS (SELECT k, count(*) AS n FROM rw_dd GROUP BY k),
+rw_iv(k, lo, hi) AS (
+  SELECT k, 0, CAST(n - 1 AS INTEGER) FROM rw_n
+  UNION ALL
+  SELECT s.k, CASE WHEN side = 0 THEN s.lo ELSE s.sp END, CASE WHEN side = 0 THEN s.sp ELSE s.hi END
+  FROM (
+    SELECT iv.k, iv.lo, iv.hi, p.idx AS sp, {seg_dist('p.lon', 'p.lat', 'a.lon', 'a.lat', 'b.lon', 'b.lat')} AS d,
+      row_number() OVER (PARTITION BY iv.k, iv.lo, iv.hi
+                         ORDER BY {seg_dist('p.lon', 'p.lat', 'a.lon', 'a.lat', 'b.lon', 'b.lat')} DESC, p.idx) AS rk
+    FROM rw_iv iv JOIN rw_dd p ON p.k = iv.k AND p.idx > iv.lo AND p.idx < iv.hi
+    JOIN rw_dd a ON a.k = iv.k AND a.idx = iv.lo JOIN rw_dd b ON b.k = iv.k AND b.idx = iv.hi
+  ) s, (VALUES (0), (1)) t(side)
+  WHERE s.rk = 1 AND s.d > {L(C.SIMPLIFY_EPS_DEG)}
+),
+rw_simple_idx AS (SELECT DISTINCT k, lo AS idx FROM rw_iv UNION SELECT DISTINCT k, hi AS idx FROM rw_iv),
+rw_simple AS (
+  SELECT s.k, s.idx, d.lon, d.lat,
+    CAST(row_number() OVER (PARTITION BY s.k ORDER BY s.idx) - 1 AS INTEGER) AS spos
+  FROM rw_simple_idx s JOIN rw_dd d ON d.k = s.k AND d.idx = s.idx
+),
+rw_len AS (
+  SELECT a.k, sum({planar('a.lon', 'a.lat', 'b.lon', 'b.lat')}) AS length
+  FROM rw_simple a JOIN rw_simple b ON b.k = a.k AND b.spos = a.spos + 1 GROUP BY a.k
+),
+rw_paths AS (
+  SELECT s.k, count(*) AS n_points, coalesce(any_value(l.length), {L(0.0)}) AS length
+  FROM rw_simple s LEFT JOIN rw_len l ON l.k = s.k GROUP BY s.k
+),
+rw_traj AS (
+  SELECT p.k, p.n_points, p.length, coalesce(nullif(c.highway_tag, ''), '{C.DEFAULT_HIGHWAY}') AS highway,
+    row_number() OVER (ORDER BY p.k) - 1 AS traj_index
+  FROM rw_paths p JOIN rw_clean c ON c.k = p.k
+  WHERE p.n_points >= 2 AND p.length >= {L(C.MIN_PATH_LENGTH_DEG)}
+),
+rw_traj_c AS (
+  SELECT t.*, CAST(CASE WHEN highway = 'motorway' THEN {C.HIGHWAY_COLOR_INDEX['motorway']}
+                        WHEN highway = 'trunk' THEN {C.HIGHWAY_COLOR_INDEX['trunk']}
+                        ELSE traj_index % {len(C.ROAD_PALETTE)} END AS INTEGER) AS color_index
+  FROM rw_traj t
+),
+rw_sub0 AS (
+  SELECT t.k, t.n_points AS l, t.color_index, least({C.SUB_PATH_MAX_COUNT}, t.n_points // {C.SUB_PATH_DIVISOR}) AS nsub
+  FROM rw_traj_c t WHERE t.n_points >= {C.SUB_PATH_MIN_POINTS}
+),
+rw_sub1 AS (SELECT k, l, color_index, nsub, CAST(unnest(range(0, nsub)) AS INTEGER) AS sub FROM rw_sub0),
+rw_sub2 AS (SELECT *, CAST((sub * l) // (nsub + 1) AS INTEGER) AS start FROM rw_sub1),
+rw_sub AS (
+  SELECT k, sub, start, CAST(least(l, start + l // 2) AS INTEGER) AS "end",
+    CAST((color_index + sub + {C.SUB_PATH_COLOR_SHIFT}) % {len(C.ROAD_PALETTE)} AS INTEGER) AS color_index
+  FROM rw_sub2 WHERE least(l, start + l // 2) - start >= {C.SUB_PATH_MIN_KEEP}
+)"""
+
+POLYLINES = f"""
+rp_pts AS (
+  SELECT road_index, seq, {road_lon('road_index', 'seq')} AS lon, {road_lat('road_index', 'seq')} AS lat
+  FROM (SELECT p_partkey AS road_index, CAST(unnest(range(0, p_partkey % 10 + 1)) AS BIGINT) AS seq FROM part)
+),
+rp_seg AS (
+  SELECT a.road_index, CAST(a.seq AS INTEGER) AS seg, a.lon AS a_lon, a.lat AS a_lat, b.lon AS b_lon, b.lat AS b_lat
+  FROM rp_pts a JOIN rp_pts b ON b.road_index = a.road_index AND b.seq = a.seq + 1
+)"""
+
+MATCH = f""",
+rm_pairs AS (
+  SELECT DISTINCT s.road_index, c.dr_no, c.severity
+  FROM rp_seg s JOIN silver c
+    ON c.longitude BETWEEN least(s.a_lon, s.b_lon) - {L(C.MATCH_THRESHOLD_DEG)} AND greatest(s.a_lon, s.b_lon) + {L(C.MATCH_THRESHOLD_DEG)}
+   AND c.latitude BETWEEN least(s.a_lat, s.b_lat) - {L(C.MATCH_THRESHOLD_DEG)} AND greatest(s.a_lat, s.b_lat) + {L(C.MATCH_THRESHOLD_DEG)}
+  WHERE {seg_dist('c.longitude', 'c.latitude', 's.a_lon', 's.a_lat', 's.b_lon', 's.b_lat')} < {L(C.MATCH_THRESHOLD_DEG)}
+),
+rm_counts AS (
+  SELECT road_index, count(*) AS crash_count, {sev_counts()} FROM rm_pairs GROUP BY road_index
+),
+rm_max AS (SELECT greatest(coalesce(max(crash_count), 1), 1) AS mx FROM rm_counts),
+corr AS (
+  SELECT p.road_index, p.n_points,
+    coalesce(c.crash_count, 0) AS crash_count, coalesce(c.fatal, 0) AS fatal,
+    coalesce(c.pedestrian, 0) AS pedestrian, coalesce(c.bicycle, 0) AS bicycle, coalesce(c.severe, 0) AS severe,
+    coalesce(CASE WHEN p.road_index % 3 = 0 THEN NULL ELSE 'ROAD ' || CAST(p.road_index AS VARCHAR) END, '') AS road_name
+  FROM (SELECT road_index, count(*) AS n_points FROM rp_pts GROUP BY road_index) p
+  LEFT JOIN rm_counts c ON c.road_index = p.road_index
+)"""
+
+
+def rgb_cols(count: str, scale: str, prefix: str) -> str:
+    t = f"least({L(1.0)}, CAST({count} AS DOUBLE) / ({scale}))"
+    s_lo = f"({t} * {L(2.0)})"
+    s_hi = f"(({t} - {L(0.5)}) * {L(2.0)})"
+    zr, zg, zb = C.ZERO_COUNT_COLOR
+    r = f"CASE WHEN {count} = 0 THEN {zr} WHEN {t} < {L(0.5)} THEN CAST(trunc({L(255.0)} * {s_lo}) AS INTEGER) ELSE 255 END"
+    g = (f"CASE WHEN {count} = 0 THEN {zg} WHEN {t} < {L(0.5)} "
+         f"THEN CAST(trunc({L(200.0)} + {L(55.0)} * ({L(1.0)} - {s_lo})) AS INTEGER) "
+         f"ELSE CAST(trunc({L(200.0)} * ({L(1.0)} - {s_hi})) AS INTEGER) END")
+    b = f"CASE WHEN {count} = 0 THEN {zb} ELSE 0 END"
+    return f"CAST({r} AS INTEGER) AS {prefix}_r, CAST({g} AS INTEGER) AS {prefix}_g, CAST({b} AS INTEGER) AS {prefix}_b"
+
+
+def relative_scale(mx: str) -> str:
+    return f"greatest(CAST({mx} AS DOUBLE) * {L(C.RELATIVE_COLOR_FACTOR)}, {L(1.0)})"

@@ -151,3 +151,42 @@ SELECT trend, count(*) AS bins FROM emerging GROUP BY trend ORDER BY bins DESC,
 sql("kernel_density", O.SILVER + O.kde_ctes(), f"""
 SELECT cell_i, cell_j, {rnd('center_lon', 6)} AS center_lon, {rnd('center_lat', 6)} AS center_lat,
   {rnd('density', 4)} AS density FROM density""")
+
+sql("road_clean", O.ROADS, """
+SELECT k AS way_id, n_geometry, highway_tag FROM rw_clean""")
+
+sql("road_dedup_points", O.ROADS, "SELECT k AS way_id, idx, lon, lat FROM rw_dd")
+
+sql("simplify_roads", O.ROADS, "SELECT k AS way_id, idx, lon, lat FROM rw_simple")
+
+sql("road_lengths", O.ROADS, f"""
+SELECT k AS way_id, n_points, {rnd('length', 9)} AS length, length >= {L(O.C.MIN_PATH_LENGTH_DEG)} AS kept FROM rw_paths""")
+
+sql("road_color", O.ROADS, f"""
+SELECT t.k AS way_id, t.highway, t.traj_index, t.color_index, p.pr AS color_r, p.pg AS color_g, p.pb AS color_b
+FROM rw_traj_c t JOIN {O.PALETTE} p ON p.ci = t.color_index""")
+
+sql("sub_paths", O.ROADS, f"""
+SELECT s.k AS way_id, s.sub, s.start, s."end", CAST(s."end" - s.start AS BIGINT) AS n_points, s.color_index,
+  p.pr AS color_r, p.pg AS color_g, p.pb AS color_b
+FROM rw_sub s JOIN {O.PALETTE} p ON p.ci = s.color_index""")
+
+sql("road_totals", O.ROADS, """
+SELECT (SELECT count(*) FROM rw_traj_c) AS trajectories, (SELECT count(*) FROM rw_sub) AS sub_paths,
+  (SELECT count(*) FROM rw_traj_c) + (SELECT count(*) FROM rw_sub) AS total_paths,
+  CAST((SELECT sum(n_points) FROM rw_traj_c) + coalesce((SELECT sum("end" - start) FROM rw_sub), 0) AS BIGINT) AS total_points""")
+
+sql("road_segments", O.POLYLINES, f"""
+SELECT road_index, seg, a_lon, a_lat, b_lon, b_lat, {rnd(O.planar('a_lon', 'a_lat', 'b_lon', 'b_lat'), 9)} AS length FROM rp_seg""")
+
+sql("road_match", O.SILVER + "," + O.POLYLINES + O.MATCH, "SELECT road_index, dr_no, severity FROM rm_pairs")
+
+sql("danger_corridors", O.SILVER + "," + O.POLYLINES + O.MATCH, f"""
+SELECT road_index, n_points, crash_count, fatal, pedestrian, bicycle, severe,
+  {O.rgb_cols('crash_count', O.relative_scale('(SELECT mx FROM rm_max)'), 'color')}, road_name FROM corr""")
+
+sql("corridor_color", O.SILVER + "," + O.POLYLINES + O.MATCH + """,
+cc AS (SELECT DISTINCT crash_count FROM corr),
+cc_max AS (SELECT greatest(max(crash_count), 1) AS mx FROM cc)""", f"""
+SELECT crash_count, {O.rgb_cols('crash_count', O.relative_scale('(SELECT mx FROM cc_max)'), 'rel')},
+  {O.rgb_cols('crash_count', L(O.C.ABSOLUTE_COLOR_SCALE), 'abs')} FROM cc""")

@@ -15,8 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadrisk.functions import geo
-from roadrisk.operators import clean, density, heatmap, hotspots, proximity, rollups
+from roadrisk.functions import color, geo
+from roadrisk.operators import clean, corridors, density, heatmap, hotspots, proximity, roads, rollups
 from roadrisk.plans import pipeline
 from roadrisk.sources import fixtures, ingest
 from roadrisk.sources.tables import TableStore
@@ -209,3 +209,98 @@ def q_kernel_density(spark, sf_dir):
     d = density.kernel_density(pipeline.silver(spark, sf_dir))
     return d.select("cell_i", "cell_j", r6("center_lon").alias("center_lon"),
                     r6("center_lat").alias("center_lat"), r4("density").alias("density"))
+
+
+# ------------------------------------------------------------ roads
+
+def r9(c) -> F.Column:
+    return geo.round_half_up(F.col(c) if isinstance(c, str) else c, 9)
+
+
+def _rgb(col: str, prefix: str = "color"):
+    return [F.col(col).getItem(i).alias(f"{prefix}_{ch}") for i, ch in enumerate("rgb")]
+
+
+@query("road_clean")
+def q_road_clean(spark, sf_dir):
+    w = roads.clean_ways(fixtures.ways(spark, sf_dir))
+    return w.select(F.col("pos").alias("way_id"), F.size("geometry").cast("bigint").alias("n_geometry"),
+                    F.col("tags").getItem("highway").alias("highway_tag"))
+
+
+@query("road_dedup_points")
+def q_road_dedup_points(spark, sf_dir):
+    d = roads.dedup_points(roads.clean_ways(fixtures.ways(spark, sf_dir)))
+    return (d.select(F.col("pos").alias("way_id"), F.posexplode("points").alias("idx", "pt"))
+            .select("way_id", "idx", F.col("pt")[0].alias("lon"), F.col("pt")[1].alias("lat")))
+
+
+@query("simplify_roads")
+def q_simplify_roads(spark, sf_dir):
+    d = roads.dedup_points(roads.clean_ways(fixtures.ways(spark, sf_dir)))
+    return roads.simplify(d).select(F.col("pos").alias("way_id"), "idx", "lon", "lat")
+
+
+@query("road_lengths")
+def q_road_lengths(spark, sf_dir):
+    p = roads.simplified_paths(fixtures.ways(spark, sf_dir))
+    return p.select(F.col("pos").alias("way_id"), F.size("path").cast("bigint").alias("n_points"),
+                    r9("length").alias("length"),
+                    (F.col("length") >= geo.lit(roads.C.MIN_PATH_LENGTH_DEG)).alias("kept"))
+
+
+def _trajectories(spark, sf_dir):
+    return roads.trajectories(fixtures.ways(spark, sf_dir))
+
+
+@query("road_color")
+def q_road_color(spark, sf_dir):
+    t = _trajectories(spark, sf_dir)
+    return t.select(F.col("pos").alias("way_id"), "highway", "traj_index", "color_index", *_rgb("color"))
+
+
+@query("sub_paths")
+def q_sub_paths(spark, sf_dir):
+    s = roads.sub_paths(_trajectories(spark, sf_dir))
+    return s.select(F.col("pos").alias("way_id"), "sub", "start", "end",
+                    F.size("path").cast("bigint").alias("n_points"), "color_index", *_rgb("color"))
+
+
+@query("road_totals")
+def q_road_totals(spark, sf_dir):
+    return roads.path_totals(roads.all_paths(_trajectories(spark, sf_dir)))
+
+
+# ------------------------------------------------------------ corridors
+
+@query("road_segments")
+def q_road_segments(spark, sf_dir):
+    s = corridors.road_segments(fixtures.road_polylines(spark, sf_dir))
+    return s.select("road_index", "seg", "a_lon", "a_lat", "b_lon", "b_lat", r9("length").alias("length"))
+
+
+@query("road_match")
+def q_road_match(spark, sf_dir):
+    return corridors.match_incidents(fixtures.road_polylines(spark, sf_dir), pipeline.silver(spark, sf_dir))
+
+
+def _corridors(spark, sf_dir, scale="relative"):
+    return corridors.danger_corridors(fixtures.road_polylines(spark, sf_dir), pipeline.silver(spark, sf_dir),
+                                      scale=scale)
+
+
+@query("danger_corridors")
+def q_danger_corridors(spark, sf_dir):
+    c = _corridors(spark, sf_dir)
+    return c.select("road_index", F.size("path").cast("bigint").alias("n_points"), "crash_count", "fatal",
+                    "pedestrian", "bicycle", "severe", *_rgb("color"), "road_name")
+
+
+@query("corridor_color")
+def q_corridor_color(spark, sf_dir):
+    rel = _corridors(spark, sf_dir).select("crash_count").distinct()
+    mx = rel.agg(F.greatest(F.max("crash_count"), F.lit(1))).scalar()
+    r = color.count_to_rgb(F.col("crash_count"), color.relative_scale(mx))
+    a = color.count_to_rgb(F.col("crash_count"), geo.lit(roads.C.ABSOLUTE_COLOR_SCALE))
+    return rel.select("crash_count", r["r"].alias("rel_r"), r["g"].alias("rel_g"), r["b"].alias("rel_b"),
+                      a["r"].alias("abs_r"), a["g"].alias("abs_g"), a["b"].alias("abs_b"))

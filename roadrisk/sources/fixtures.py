@@ -202,3 +202,9 @@ def raw_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
         tags.alias("tags"),
         F.transform(idx, point).alias("geometry"),
     )
+
+
+def ways(spark: SparkSession, sf_dir: str, source: str = "fixture") -> DataFrame:
+    """Way elements with the (source, pos) key the road operators use; pos is
+    the element's position, here the part key."""
+    return raw_ways(spark, sf_dir).select(F.lit(source).alias("source"), F.col("id").alias("pos"), "*")
