@@ -190,3 +190,69 @@ cc AS (SELECT DISTINCT crash_count FROM corr),
 cc_max AS (SELECT greatest(max(crash_count), 1) AS mx FROM cc)""", f"""
 SELECT crash_count, {O.rgb_cols('crash_count', O.relative_scale('(SELECT mx FROM cc_max)'), 'rel')},
   {O.rgb_cols('crash_count', L(O.C.ABSOLUTE_COLOR_SCALE), 'abs')} FROM cc""")
+
+sql("partitioned_roundtrip", O.BRONZE, "SELECT * FROM bronze")
+
+sql("append_roundtrip", O.SILVER + _heat_cte(), _heat_select())
+
+
+def _heat_export_select() -> str:
+    sels = []
+    for label, edge in O.C.HEATMAP_RESOLUTIONS:
+        lng, lat = O.hex_vertex("q", "r", edge, 3)
+        sels.append(f"""SELECT h3_index AS h3, crash_count AS count, fatal_count AS fatal, pedestrian_count AS ped,
+  bicycle_count AS bike, coalesce(severity_score, 0) AS severity_score, CAST(resolution AS INTEGER) AS res,
+  {rnd('center_lat', 5)} AS lat, {rnd('center_lng', 5)} AS lng, {lng} AS boundary_lng3, {lat} AS boundary_lat3
+FROM heat WHERE resolution = '{label}'""")
+    return "\nUNION ALL\n".join(sels)
+
+
+sql("export_heatmap", O.SILVER + _heat_cte(), _heat_export_select())
+
+sql("export_corridors", O.SILVER + "," + O.POLYLINES + O.MATCH, f"""
+SELECT n_points, {O.road_lon('road_index', '0')} AS lon0, {O.road_lat('road_index', '0')} AS lat0,
+  {O.rgb_cols('crash_count', O.relative_scale('(SELECT mx FROM rm_max)'), 'color')},
+  crash_count AS crashes, fatal, pedestrian, bicycle, road_name FROM corr""")
+
+_HS_V0 = O.hex_vertex("q", "r", O.HS_EDGE, 0)
+sql("export_hotspots", O.SILVER + O.HOT_SPOTS, f"""
+SELECT bin_id, crash_count, {rnd('z_score', 4)} AS z_score, {rnd(O.p_value('z_score'), 6)} AS p_value,
+  {O.classify('z_score')} AS classification, {_HS_V0[0]} AS boundary_lng0, {_HS_V0[1]} AS boundary_lat0 FROM hs""")
+
+_HS_V2 = O.hex_vertex("q", "r", O.HS_EDGE, 2)
+sql("export_emerging", O.SILVER + O.EMERGING, f"""
+SELECT bin_id, trend, quarters_hot, {rnd('latest_z', 4)} AS latest_z, CAST(7 AS BIGINT) AS boundary_points,
+  {_HS_V2[0]} AS boundary_lng2, {_HS_V2[1]} AS boundary_lat2 FROM emerging""")
+
+sql("export_crashes", O.SILVER, f"""
+SELECT {rnd('latitude', 5)} AS lat, {rnd('longitude', 5)} AS lng, strftime(crash_date, '%Y-%m-%d') AS date,
+  crash_hour AS hour, severity AS sev, crm_cd_desc AS "desc", location AS loc, cross_street AS "cross",
+  year_month AS ym FROM silver""")
+
+sql("export_stats", O.SILVER + _TOP + """,
+top1 AS (SELECT * FROM top ORDER BY crash_count DESC, intersection LIMIT 1),
+ntop AS (SELECT count(*) AS n_top FROM top),
+months AS (SELECT year_month, count(*) AS total, CAST(count_if(severity = 'other') AS BIGINT) AS other
+           FROM silver GROUP BY year_month)""", """
+SELECT count(*) AS total_crashes, CAST(count_if(severity = 'fatal') AS BIGINT) AS fatal,
+  CAST(min(crash_date) AS VARCHAR) AS date_from, CAST(max(crash_date) AS VARCHAR) AS date_to,
+  CAST(count_if(near_school = 1) AS BIGINT) AS school_zone_crashes,
+  (SELECT n_top FROM ntop) AS n_top, (SELECT intersection FROM top1) AS top_name,
+  (SELECT crash_count FROM top1) AS top_crashes,
+  CAST(count_if(severity = 'other') AS BIGINT) AS by_severity_other,
+  (SELECT count(*) FROM months) AS n_months,
+  (SELECT min(year_month) FROM months) AS first_month,
+  (SELECT total FROM months ORDER BY year_month LIMIT 1) AS first_month_total,
+  (SELECT max(year_month) FROM months) AS last_month,
+  (SELECT other FROM months ORDER BY year_month DESC LIMIT 1) AS last_month_other
+FROM silver""")
+
+sql("table_row_counts",
+    O.SILVER + O.HOT_SPOTS + O.EMERGING + O.kde_ctes() + _heat_cte() + "," + O.POLYLINES + O.MATCH, """
+SELECT 'gold_hotspots' AS table_name, count(*) AS row_count FROM hs
+UNION ALL SELECT 'gold_emerging_hotspots', count(*) FROM emerging
+UNION ALL SELECT 'gold_crash_density', count(*) FROM density
+UNION ALL SELECT 'gold_h3_heatmap', count(*) FROM heat
+UNION ALL SELECT 'gold_danger_corridors', count(*) FROM corr
+UNION ALL SELECT 'gold_stats', 1
+UNION ALL SELECT 'gold_timeseries', count(DISTINCT year_month) FROM silver""")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from roadrisk.functions import color, geo
 from roadrisk.operators import clean, corridors, density, heatmap, hotspots, proximity, roads, rollups
 from roadrisk.plans import pipeline
-from roadrisk.sources import fixtures, ingest
+from roadrisk.sources import export, fixtures, ingest
 from roadrisk.sources.tables import TableStore
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -304,3 +304,153 @@ def q_corridor_color(spark, sf_dir):
     a = color.count_to_rgb(F.col("crash_count"), geo.lit(roads.C.ABSOLUTE_COLOR_SCALE))
     return rel.select("crash_count", r["r"].alias("rel_r"), r["g"].alias("rel_g"), r["b"].alias("rel_b"),
                       a["r"].alias("abs_r"), a["g"].alias("abs_g"), a["b"].alias("abs_b"))
+
+
+# ------------------------------------------------------------ tables and exports
+
+@query("partitioned_roundtrip")
+def q_partitioned_roundtrip(spark, sf_dir):
+    store = TableStore(spark)
+    store.write(pipeline.bronze(spark, sf_dir), "bronze_crashes", partition_by=["crash_year"])
+    return store.read("bronze_crashes")
+
+
+@query("append_roundtrip")
+def q_append_roundtrip(spark, sf_dir):
+    store = TableStore(spark)
+    heat = heatmap.hex_heatmap(pipeline.silver(spark, sf_dir))
+    fine, coarse = (label for label, _ in heatmap.C.HEATMAP_RESOLUTIONS)
+    store.write(heat.filter(F.col("resolution") == fine), "gold_h3_heatmap", mode="overwrite")
+    store.write(heat.filter(F.col("resolution") == coarse), "gold_h3_heatmap", mode="append")
+    return q_hex_heatmap_from(store.read("gold_h3_heatmap"))
+
+
+def q_hex_heatmap_from(h):
+    b = F.col("boundary")
+    return h.select("h3_index", "resolution", "crash_count", "fatal_count", "pedestrian_count",
+                    "bicycle_count", "severity_score", r6("center_lat").alias("center_lat"),
+                    r6("center_lng").alias("center_lng"),
+                    F.size(b).cast("bigint").alias("boundary_points"),
+                    b.getItem(0).getItem(0).alias("boundary_lng0"),
+                    b.getItem(0).getItem(1).alias("boundary_lat0"))
+
+
+def _export_dir(spark) -> str:
+    return TableStore(spark).path("exports")
+
+
+def _roundtrip(spark, df, name, schema):
+    path = f"{_export_dir(spark)}/{name}.json"
+    export.write_json(df, path)
+    return spark.read.schema(schema).json(path)
+
+
+@query("export_heatmap")
+def q_export_heatmap(spark, sf_dir):
+    recs = export.heatmap_records(heatmap.hex_heatmap(pipeline.silver(spark, sf_dir)))
+    back = _roundtrip(spark, recs, "vz-heatmap",
+                      "h3 string, boundary array<array<double>>, count bigint, fatal bigint, ped bigint, "
+                      "bike bigint, severity_score bigint, res int, lat double, lng double")
+    return back.select("h3", "count", "fatal", "ped", "bike", "severity_score", "res", "lat", "lng",
+                       F.col("boundary")[3][0].alias("boundary_lng3"), F.col("boundary")[3][1].alias("boundary_lat3"))
+
+
+@query("export_corridors")
+def q_export_corridors(spark, sf_dir):
+    recs = export.corridor_records(_corridors(spark, sf_dir))
+    back = _roundtrip(spark, recs, "vz-corridors",
+                      "path array<array<double>>, color array<int>, crashes bigint, fatal bigint, "
+                      "pedestrian bigint, bicycle bigint, road_name string")
+    return back.select(F.size("path").cast("bigint").alias("n_points"),
+                       F.col("path")[0][0].alias("lon0"), F.col("path")[0][1].alias("lat0"),
+                       *_rgb("color"), "crashes", "fatal", "pedestrian", "bicycle", "road_name")
+
+
+@query("export_hotspots")
+def q_export_hotspots(spark, sf_dir):
+    recs = export.hotspot_records(hotspots.hot_spots(pipeline.silver(spark, sf_dir)))
+    back = _roundtrip(spark, recs, "vz-hotspots",
+                      "bin_id string, crash_count bigint, z_score double, p_value double, "
+                      "classification string, boundary array<array<double>>")
+    return back.select("bin_id", "crash_count", "z_score", "p_value", "classification",
+                       F.col("boundary")[0][0].alias("boundary_lng0"), F.col("boundary")[0][1].alias("boundary_lat0"))
+
+
+@query("export_emerging")
+def q_export_emerging(spark, sf_dir):
+    recs = export.emerging_records(_emerging(spark, sf_dir))
+    back = _roundtrip(spark, recs, "vz-emerging",
+                      "bin_id string, trend string, quarters_hot bigint, latest_z double, "
+                      "boundary array<array<double>>")
+    return back.select("bin_id", "trend", "quarters_hot", "latest_z",
+                       F.size("boundary").cast("bigint").alias("boundary_points"),
+                       F.col("boundary")[2][0].alias("boundary_lng2"), F.col("boundary")[2][1].alias("boundary_lat2"))
+
+
+@query("export_crashes")
+def q_export_crashes(spark, sf_dir):
+    recs = export.crash_records(pipeline.silver(spark, sf_dir))
+    return _roundtrip(spark, recs, "vz-crashes",
+                      "lat double, lng double, date string, hour int, sev string, desc string, loc string, "
+                      "cross string, ym string")
+
+
+@query("export_stats")
+def q_export_stats(spark, sf_dir):
+    silver = pipeline.silver(spark, sf_dir)
+    doc = export.stats_document(rollups.summary_stats(silver), rollups.monthly_series(silver))
+    path = export.write_stats(doc, f"{_export_dir(spark)}/vz-stats.json")
+    back = spark.read.json(path)
+    ts = F.col("timeseries")
+    top = F.col("top_intersections")
+    return back.select(
+        F.col("total_crashes").cast("bigint").alias("total_crashes"),
+        F.col("fatal").cast("bigint").alias("fatal"),
+        F.col("date_from"), F.col("date_to"),
+        F.col("school_zone_crashes").cast("bigint").alias("school_zone_crashes"),
+        F.size(top).cast("bigint").alias("n_top"), top[0]["name"].alias("top_name"),
+        top[0]["crashes"].cast("bigint").alias("top_crashes"),
+        F.col("by_severity")["other"].cast("bigint").alias("by_severity_other"),
+        F.size(ts).cast("bigint").alias("n_months"), ts[0]["month"].alias("first_month"),
+        ts[0]["total"].cast("bigint").alias("first_month_total"),
+        F.element_at(ts, -1)["month"].alias("last_month"),
+        F.element_at(ts, -1)["other"].cast("bigint").alias("last_month_other"))
+
+
+GOLD_TABLES = ["gold_hotspots", "gold_emerging_hotspots", "gold_crash_density", "gold_h3_heatmap",
+               "gold_danger_corridors", "gold_stats", "gold_timeseries"]
+
+
+def write_gold(spark, sf_dir) -> TableStore:
+    """Every gold table of the chain written to the table store."""
+    store = TableStore(spark)
+    silver = pipeline.silver(spark, sf_dir)
+    store.write(hotspots.hot_spots(silver), "gold_hotspots")
+    store.write(hotspots.emerging_hot_spots(silver), "gold_emerging_hotspots")
+    store.write(density.kernel_density(silver), "gold_crash_density")
+    store.write(heatmap.hex_heatmap(silver), "gold_h3_heatmap")
+    store.write(corridors.danger_corridors(fixtures.road_polylines(spark, sf_dir), silver), "gold_danger_corridors")
+    store.write(rollups.summary_stats(silver), "gold_stats")
+    store.write(rollups.monthly_series(silver), "gold_timeseries")
+    return store
+
+
+@query("table_row_counts")
+def q_table_row_counts(spark, sf_dir):
+    return write_gold(spark, sf_dir).row_counts(GOLD_TABLES)
+
+
+@query("verify_outputs")
+def q_verify_outputs(spark, sf_dir):
+    """Writes all six exports into a fresh folder, then checks the listing."""
+    root = TableStore(spark).path("exports_verify")
+    silver = pipeline.silver(spark, sf_dir)
+    export.write_json(export.heatmap_records(heatmap.hex_heatmap(silver)), f"{root}/vz-heatmap.json")
+    export.write_json(export.corridor_records(
+        corridors.danger_corridors(fixtures.road_polylines(spark, sf_dir), silver)), f"{root}/vz-corridors.json")
+    export.write_json(export.hotspot_records(hotspots.hot_spots(silver)), f"{root}/vz-hotspots.json")
+    export.write_json(export.emerging_records(hotspots.emerging_hot_spots(silver)), f"{root}/vz-emerging.json")
+    export.write_json(export.crash_records(silver), f"{root}/vz-crashes.json")
+    export.write_stats(export.stats_document(rollups.summary_stats(silver), rollups.monthly_series(silver)),
+                       f"{root}/vz-stats.json")
+    return export.verify_outputs(spark, root).select("name", "exists", (F.col("bytes") > 0).alias("non_empty"))
