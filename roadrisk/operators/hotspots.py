@@ -44,12 +44,18 @@ def _rect_stats(counts: DataFrame, *extra) -> F.Column:
 RECT = ("c0", "c1", "r0", "r1")
 
 
-def _with_rect(df: DataFrame, st) -> DataFrame:
-    """Rectangle bounds as columns: higher-order functions cannot read a
-    scalar subquery directly."""
-    for k in RECT:
-        df = df.withColumn(f"_{k}", st[k])
-    return df
+def _with_stats(df: DataFrame, st) -> DataFrame:
+    """Attach the scalar subquery once, as a struct column ``_st``.
+
+    Every ``st[field]`` written inline would be a separate subquery (planned
+    and run once per reference); one column read by plain field access runs
+    it once. Higher-order functions also cannot read a subquery directly.
+    """
+    return df.withColumn("_st", st)
+
+
+def _rect_cols():
+    return [F.col(f"_st.{k}") for k in RECT]
 
 
 def _z(sum_x, w, n, total, sumsq):
@@ -58,6 +64,11 @@ def _z(sum_x, w, n, total, sumsq):
     return stats.gi_star_z(sum_x, w, n, xbar, s)
 
 
+def _n_cells():
+    st = F.col("_st")
+    return (st["c1"] - st["c0"] + 1) * (st["r1"] - st["r0"] + 1)
+
+
 def hot_spots(points: DataFrame, bin_m: float = C.HOTSPOT_BIN_M, rings: int = C.HOTSPOT_RINGS,
               label: str | None = None) -> DataFrame:
     """G1: one row per occupied bin: bin_id, q, r, crash_count, neighbourhood
@@ -66,17 +77,15 @@ def hot_spots(points: DataFrame, bin_m: float = C.HOTSPOT_BIN_M, rings: int = C.
     label = label or f"{bin_m:g}m"
     offs = hexgrid.ring_offsets(rings)
     counts = _bin_cells(points, edge).groupBy("q", "r").agg(F.count(F.lit(1)).alias("x"))
-    st = _rect_stats(counts)
-    n = (st["c1"] - st["c0"] + 1) * (st["r1"] - st["r0"] + 1)
     fan = (counts.select("q", "r", "x", F.explode(hexgrid.offsets_array(offs)).alias("o"))
            .select((F.col("q") + F.col("o.dq")).alias("q"), (F.col("r") + F.col("o.dr")).alias("r"), "x",
                    ((F.col("o.dq") == 0) & (F.col("o.dr") == 0)).alias("self")))
     nb = (fan.groupBy("q", "r")
           .agg(F.sum("x").alias("sum_x"), F.max(F.when(F.col("self"), F.col("x"))).alias("crash_count"))
           .filter(F.col("crash_count").isNotNull()))
-    w = hexgrid.cells_in_rect(F.col("q"), F.col("r"), offs, *[F.col(f"_{k}") for k in RECT])
-    z = _z(F.col("sum_x"), F.col("w"), n, st["total"], st["sumsq"])
-    return (_with_rect(nb, st).withColumn("w", w)
+    w = hexgrid.cells_in_rect(F.col("q"), F.col("r"), offs, *_rect_cols())
+    z = _z(F.col("sum_x"), F.col("w"), _n_cells(), F.col("_st.total"), F.col("_st.sumsq"))
+    return (_with_stats(nb, _rect_stats(counts)).withColumn("w", w)
             .withColumn("z_score", z)
             .withColumn("p_value", stats.two_sided_p(F.col("z_score")))
             .withColumn("classification", stats.classify_z(F.col("z_score")))
@@ -102,26 +111,26 @@ def emerging_hot_spots(points: DataFrame, bin_m: float = C.HOTSPOT_BIN_M, rings:
     offs = hexgrid.ring_offsets(rings)
     pts = _bin_cells(points.filter(F.col(date_col).isNotNull()), edge, month_index(F.col(date_col)).alias("m"))
     m0 = pts.agg(F.min("m")).scalar()
-    counts = (pts.withColumn("step", ((F.col("m") - m0) / F.lit(step_months)).cast("int"))
+    counts = (pts.withColumn("_m0", m0)
+              .withColumn("step", F.floor((F.col("m") - F.col("_m0")) / F.lit(step_months)).cast("int"))
               .groupBy("q", "r", "step").agg(F.count(F.lit(1)).alias("x")))
     st = _rect_stats(counts, (F.max("step") + 1).alias("t"))
-    t = st["t"]
-    n = (st["c1"] - st["c0"] + 1) * (st["r1"] - st["r0"] + 1) * t
     st_offs = F.array(*[F.struct(F.lit(dq).alias("dq"), F.lit(dr).alias("dr"), F.lit(dt).alias("dt"))
                         for dq, dr in offs for dt in (0, 1)])
+    # Sums for steps past the last one are dropped by the left join from the grid.
     nb = (counts.select("q", "r", "step", "x", F.explode(st_offs).alias("o"))
           .select((F.col("q") + F.col("o.dq")).alias("q"), (F.col("r") + F.col("o.dr")).alias("r"),
                   (F.col("step") + F.col("o.dt")).alias("step"), "x")
-          .filter(F.col("step") < t)
           .groupBy("q", "r", "step").agg(F.sum("x").alias("sum_x")))
-    grid = (counts.select("q", "r").distinct()
-            .select("q", "r", F.explode(F.sequence(F.lit(0), t - 1)).alias("step")))
-    w_space = hexgrid.cells_in_rect(F.col("q"), F.col("r"), offs, *[F.col(f"_{k}") for k in RECT])
-    grid = _with_rect(grid, st).withColumn("w_space", w_space).drop(*[f"_{k}" for k in RECT])
+    w_space = hexgrid.cells_in_rect(F.col("q"), F.col("r"), offs, *_rect_cols())
+    grid = (_with_stats(counts.select("q", "r").distinct(), st)
+            .withColumn("w_space", w_space)
+            .select("q", "r", "w_space", "_st", F.explode(F.sequence(F.lit(0), F.col("_st.t") - 1)).alias("step")))
     w = F.col("w_space") * F.when(F.col("step") == 0, F.lit(1)).otherwise(F.lit(2))
+    n = _n_cells() * F.col("_st.t")
     cube = (grid.join(nb, ["q", "r", "step"], "left")
             .withColumn("sum_x", F.coalesce(F.col("sum_x"), F.lit(0).cast("bigint")))
-            .withColumn("z", _z(F.col("sum_x"), w, n, st["total"], st["sumsq"])))
+            .withColumn("z", _z(F.col("sum_x"), w, n, F.col("_st.total"), F.col("_st.sumsq"))))
     per_bin = (cube.groupBy("q", "r")
                .agg(F.array_sort(F.collect_list(F.struct("step", "z"))).alias("series"),
                     F.count_if(F.col("z") >= geo.lit(C.HOT_Z)).alias("quarters_hot"),

@@ -300,9 +300,9 @@ def q_danger_corridors(spark, sf_dir):
 def q_corridor_color(spark, sf_dir):
     rel = _corridors(spark, sf_dir).select("crash_count").distinct()
     mx = rel.agg(F.greatest(F.max("crash_count"), F.lit(1))).scalar()
-    r = color.count_to_rgb(F.col("crash_count"), color.relative_scale(mx))
+    r = color.count_to_rgb(F.col("crash_count"), F.col("_scale"))
     a = color.count_to_rgb(F.col("crash_count"), geo.lit(roads.C.ABSOLUTE_COLOR_SCALE))
-    return rel.select("crash_count", r["r"].alias("rel_r"), r["g"].alias("rel_g"), r["b"].alias("rel_b"),
+    return rel.withColumn("_scale", color.relative_scale(mx)).select("crash_count", r["r"].alias("rel_r"), r["g"].alias("rel_g"), r["b"].alias("rel_b"),
                       a["r"].alias("abs_r"), a["g"].alias("abs_g"), a["b"].alias("abs_b"))
 
 
