@@ -256,3 +256,5 @@ UNION ALL SELECT 'gold_h3_heatmap', count(*) FROM heat
 UNION ALL SELECT 'gold_danger_corridors', count(*) FROM corr
 UNION ALL SELECT 'gold_stats', 1
 UNION ALL SELECT 'gold_timeseries', count(DISTINCT year_month) FROM silver""")
+
+sql("ingest_incidents_stream", O.BRONZE, "SELECT * FROM bronze")

@@ -454,3 +454,15 @@ def q_verify_outputs(spark, sf_dir):
     export.write_stats(export.stats_document(rollups.summary_stats(silver), rollups.monthly_series(silver)),
                        f"{root}/vz-stats.json")
     return export.verify_outputs(spark, root).select("name", "exists", (F.col("bytes") > 0).alias("non_empty"))
+
+
+@query("ingest_incidents_stream")
+def q_ingest_incidents_stream(spark, sf_dir):
+    """S1 + S3 as an incremental file stream (fresh folders per call)."""
+    import uuid
+
+    from roadrisk.streaming.incremental import incremental_ingest
+    base = TableStore(spark).path(f"stream-{uuid.uuid4().hex[:12]}")
+    landed = ingest.land_json(fixtures.incidents_raw(spark, sf_dir), f"{base}/landing")
+    incremental_ingest(spark, landed, f"{base}/bronze", f"{base}/_checkpoint")
+    return spark.read.parquet(f"{base}/bronze")
