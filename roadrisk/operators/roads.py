@@ -49,7 +49,8 @@ def _explode_points(paths: DataFrame, key: list[str], points_col: str) -> DataFr
 
 
 def simplify(paths: DataFrame, key: list[str] = KEY, points_col: str = "points",
-             eps: float = C.SIMPLIFY_EPS_DEG, max_rounds: int = 100000) -> DataFrame:
+             eps: float = C.SIMPLIFY_EPS_DEG, max_rounds: int = 100000,
+             materialized: bool = False) -> DataFrame:
     """Douglas-Peucker over every path at once -> ``key + [idx, lon, lat]``
     of the kept points (idx = position in the input array).
 
@@ -60,9 +61,13 @@ def simplify(paths: DataFrame, key: list[str] = KEY, points_col: str = "points",
     long road does not load one task), splits where d > eps, and re-labels
     the interval's points. Finished intervals drop out, so the state shrinks
     every round. Each round is checkpointed to the shared checkpoint dir.
+    The input is read three times (points, end points, first/last kept), so
+    unless the caller says it is ``materialized`` it is checkpointed first.
     """
     spark = paths.sparkSession
     ensure_checkpoint_dir(spark)
+    if not materialized:
+        paths = paths.select(*key, points_col).checkpoint()
     pts = _explode_points(paths, key, points_col)
     first = F.element_at(points_col, 1)
     last = F.element_at(points_col, -1)
@@ -130,9 +135,12 @@ def highway_class(tags) -> F.Column:
 
 def simplified_paths(ways: DataFrame, eps: float = C.SIMPLIFY_EPS_DEG) -> DataFrame:
     """R1-R4 before the length filter: source, pos, id, highway, path, length."""
-    cleaned = dedup_points(clean_ways(ways))
-    simple = assemble(simplify(cleaned, eps=eps))
-    meta = cleaned.select(*KEY, "id", highway_class(F.col("tags")).alias("highway"))
+    ensure_checkpoint_dir(ways.sparkSession)
+    cleaned = (dedup_points(clean_ways(ways))
+               .select(*KEY, "id", highway_class(F.col("tags")).alias("highway"), "points")
+               .checkpoint())
+    simple = assemble(simplify(cleaned, eps=eps, materialized=True))
+    meta = cleaned.select(*KEY, "id", "highway")
     return simple.join(meta, KEY).withColumn("length", path_length(F.col("path")))
 
 
@@ -141,15 +149,20 @@ def trajectories(ways: DataFrame, eps: float = C.SIMPLIFY_EPS_DEG,
     """Kept, simplified, coloured trajectories.
 
     Columns: source, pos, id, highway, path, length, traj_index (running
-    index of kept roads in its source file), color_index, color."""
+    index of kept roads in its source file), color_index, color.
+
+    The kept roads are checkpointed before the running index (which reads
+    them twice) and the result once more, since callers read it twice
+    (originals and sub-paths); both are one row per road."""
     t = simplified_paths(ways, eps).filter(
-        (F.size("path") >= 2) & (F.col("length") >= geo.lit(min_length)))
+        (F.size("path") >= 2) & (F.col("length") >= geo.lit(min_length))).checkpoint()
     t = running_index(t, "source", "pos", "traj_index")
     cidx = (F.col("traj_index") % len(C.ROAD_PALETTE)).cast("int")
     for cls, i in reversed(list(C.HIGHWAY_COLOR_INDEX.items())):
         cidx = F.when(F.col("highway") == F.lit(cls), F.lit(i)).otherwise(cidx)
     return (t.withColumn("color_index", cidx.cast("int"))
-            .withColumn("color", color.palette_color(F.col("color_index"))))
+            .withColumn("color", color.palette_color(F.col("color_index")))
+            .checkpoint())
 
 
 def sub_paths(traj: DataFrame) -> DataFrame:
