@@ -163,3 +163,45 @@ def test_mann_kendall_s_matches_pairs(spark, n):
     expect = sum((zs[j] > zs[i]) - (zs[j] < zs[i]) for i in range(n) for j in range(i + 1, n))
     df = spark.createDataFrame([(zs,)], "zs array<double>")
     assert df.select(mann_kendall_s(F.col("zs"))).first()[0] == expect
+
+
+def _brute_pairs(paths, points, threshold):
+    """(road, dr_no) pairs by checking every segment of every road in Python."""
+    def dist(px, py, ax, ay, bx, by):
+        dx, dy = bx - ax, by - ay
+        l2 = dx * dx + dy * dy
+        t = 0.0 if l2 == 0 else max(0.0, min(1.0, ((px - ax) * dx + (py - ay) * dy) / l2))
+        return math.hypot(px - (ax + t * dx), py - (ay + t * dy))
+    out = set()
+    for ri, p in enumerate(paths):
+        for dr, (px, py) in points:
+            if any(dist(px, py, *p[k], *p[k + 1]) < threshold for k in range(len(p) - 1)):
+                out.add((ri, dr))
+    return out
+
+
+def test_road_match_with_a_hot_cell_equals_brute_force(spark):
+    # A third of all incidents sit in one 0.001-degree cell next to a road
+    # junction; the rest spread over the area. The cell join must still find
+    # exactly the brute-force pairs, each once.
+    import random
+    rng = random.Random(7)
+    paths = [[[-118.2500, 34.0500], [-118.2480, 34.0502], [-118.2460, 34.0500]],
+             [[-118.2490, 34.0480], [-118.2490, 34.0520]],
+             [[-118.2600, 34.0400], [-118.2300, 34.0600]],
+             [[-118.2475, 34.0505]]]
+    spread = [(-118.26 + rng.random() * 0.03, 34.04 + rng.random() * 0.02) for _ in range(400)]
+    hot = [(-118.2489 + rng.random() * 0.0008, 34.0501 + rng.random() * 0.0008) for _ in range(200)]
+    points = [(f"DR{i}", xy) for i, xy in enumerate(spread + hot)]
+    inc = spark.createDataFrame([(d, "other", x, y) for d, (x, y) in points],
+                                "dr_no string, severity string, longitude double, latitude double")
+    got = corridors.match_incidents(road(spark, paths), inc)
+    rows = [(r.road_index, r.dr_no) for r in got.collect()]
+    assert len(rows) == len(set(rows))
+    assert set(rows) == _brute_pairs(paths, points, C.MATCH_THRESHOLD_DEG)
+
+
+def test_road_match_is_a_merge_join_on_the_cell(spark):
+    from roadrisk.plans.registry import QUERIES
+    p = QUERIES["road_match"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p
