@@ -1,9 +1,9 @@
 """Kernel density surface (G3): quartic kernel (Silverman 1986) on a grid.
 
 Each distinct incident position is fanned out to the output cells whose
-centre can lie within the search radius (the offsets are pruned in Python
-once, about 346 of the 21x21 block for 500 m / 50 m), the exact distance
-test keeps those with u = d/r < 1, and the weighted kernel values are summed
+centre can lie within the search radius (about 346 of the 21x21 block for
+500 m / 50 m, generated row by row with ``explode(sequence)``), the exact
+distance test keeps those with u = d/r < 1, and the weighted kernel values are summed
 per cell. The sum is partially aggregated on the map side, so the shuffle
 carries at most one row per (map task, cell). Identical positions are
 collapsed first, which bounds the fan-out by distinct positions.
@@ -41,13 +41,24 @@ def kernel_density(points: DataFrame, radius_m: float = C.KDE_RADIUS_M, cell_m:
     pos = (points.select(geo.project_x(F.col("longitude")).alias("x"),
                          geo.project_y(F.col("latitude")).alias("y"), w.alias("w"))
            .groupBy("x", "y").agg(F.sum("w").alias("w")))
-    offs = F.array(*[F.struct(F.lit(di).cast("bigint").alias("di"), F.lit(dj).cast("bigint").alias("dj"))
-                     for di, dj in reachable_offsets(radius_m, cell_m)])
+    # The reachable offsets are symmetric and contiguous in dj for each |di|,
+    # so they are generated as explode(sequence(-kd, kd)) for di and
+    # explode(sequence(-m, m)) for dj, with m looked up per |di| from a small
+    # literal row: the same set as reachable_offsets(), without a literal
+    # array of ~350 structs (whose plan takes seconds to analyse).
+    offs = reachable_offsets(radius_m, cell_m)
+    half: dict[int, int] = {}
+    for di, dj in offs:
+        half[abs(di)] = max(half.get(abs(di), 0), abs(dj))
+    kd = max(half)
+    dj_max = F.element_at(F.array(*[F.lit(half[a]).cast("bigint") for a in range(kd + 1)]),
+                          F.abs(F.col("di")).cast("int") + 1)
     c = geo.lit(cell_m)
     r2 = geo.lit(radius_m * radius_m)
-    fan = (pos.select("x", "y", "w", F.floor(F.col("x") / c).alias("i0"), F.floor(F.col("y") / c).alias("j0"),
-                      F.explode(offs).alias("o"))
-           .select("x", "y", "w", (F.col("i0") + F.col("o.di")).alias("i"), (F.col("j0") + F.col("o.dj")).alias("j")))
+    fan = (pos.select("x", "y", "w", F.floor(F.col("x") / c).alias("i0"), F.floor(F.col("y") / c).alias("j0"))
+           .withColumn("di", F.explode(F.sequence(F.lit(-kd).cast("bigint"), F.lit(kd).cast("bigint"))))
+           .withColumn("dj", F.explode(F.sequence(-dj_max, dj_max)))
+           .select("x", "y", "w", (F.col("i0") + F.col("di")).alias("i"), (F.col("j0") + F.col("dj")).alias("j")))
     ex = F.col("x") - (F.col("i") + geo.lit(0.5)) * c
     ey = F.col("y") - (F.col("j") + geo.lit(0.5)) * c
     d2 = ex * ex + ey * ey

@@ -22,7 +22,10 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
              .config("spark.sql.shuffle.partitions", str(parts))
              .config("spark.default.parallelism", str(parts))
              .config("spark.sql.adaptive.enabled", "true")
-             .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+             # Shuffle partitions already equal the cores here, so coalescing can
+             # only lose parallelism; it did, before fan-out steps (density,
+             # neighbour sums) whose small input shuffle was merged into one task.
+             .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.driver.memory", os.environ.get("ROADRISK_DRIVER_MEMORY", "8g"))
