@@ -3,9 +3,14 @@
 A distance predicate alone plans as a nested-loop join. Both sides get a
 grid cell at least as wide as the radius, the school side is copied to its
 3x3 neighbourhood, and the join becomes an equi-join on the cell followed by
-the exact haversine test. Spark sizes the school side itself: under
-``spark.sql.autoBroadcastJoinThreshold`` it is broadcast, above it the plan
-falls back to a sort-merge join (with AQE skew splitting for a hot cell).
+the exact haversine test.
+
+The school side is broadcast only behind a measured bound: its rows are
+counted (one small job over the school table) and the 9 copies per school
+must stay under ``BROADCAST_MAX_CELLS``; otherwise the join is pinned to a
+sort-merge join on the cell, where a hot cell is split by adaptive
+execution's skew-join rule. Spark's own estimate is not used for this: it
+does not see the 9x fan-out.
 """
 
 from __future__ import annotations
@@ -17,6 +22,17 @@ from roadrisk import config as C
 from roadrisk.functions import geo
 
 
+# About 40 bytes per school cell row: 1,000,000 rows is a ~40 MB hash table.
+BROADCAST_MAX_CELLS = 1_000_000
+
+
+def _school_side(schools: DataFrame, cell_deg: float, max_cells: int | None = None) -> DataFrame:
+    """School cells with a join strategy hint chosen from the counted size."""
+    cells = school_cells(schools, cell_deg)
+    fits = schools.count() * 9 <= (BROADCAST_MAX_CELLS if max_cells is None else max_cells)
+    return cells.hint("broadcast" if fits else "merge")
+
+
 def _cell(c, cell_deg: float):
     return F.floor(c / F.lit(cell_deg))
 
@@ -56,7 +72,7 @@ def near_school_join(incidents: DataFrame, schools: DataFrame, radius_m: float =
     """Incidents within `radius_m` of any school (each incident once)."""
     cell_deg = cell_deg or C.school_cell_deg(radius_m)
     inc = _with_cell(incidents, cell_deg)
-    return inc.join(school_cells(schools, cell_deg), on=_near_condition(radius_m, False),
+    return inc.join(_school_side(schools, cell_deg), on=_near_condition(radius_m, False),
                     how="left_semi").drop("_gx", "_gy", "_plat", "_plon")
 
 
@@ -72,6 +88,6 @@ def add_near_school(incidents: DataFrame, schools: DataFrame | None, radius_m: f
         return incidents.withColumn("near_school", F.lit(0))
     cell_deg = cell_deg or C.school_cell_deg(radius_m)
     inc = _with_cell(incidents, cell_deg)
-    hit = school_cells(schools, cell_deg).where(_near_condition(radius_m, True)).exists()
+    hit = _school_side(schools, cell_deg).where(_near_condition(radius_m, True)).exists()
     return (inc.withColumn("near_school", F.when(hit, F.lit(1)).otherwise(F.lit(0)))
             .drop("_gx", "_gy", "_plat", "_plon"))

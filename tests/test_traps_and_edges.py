@@ -205,3 +205,18 @@ def test_road_match_is_a_merge_join_on_the_cell(spark):
     from roadrisk.plans.registry import QUERIES
     p = QUERIES["road_match"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p
+
+
+def test_school_join_same_flags_broadcast_or_merge(spark, monkeypatch):
+    from roadrisk.plans.registry import QUERIES
+
+    def run():
+        df = QUERIES["near_school_flag"](spark, SF_SMALL)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return sorted((r.dr_no, r.near_school) for r in df.collect()), plan
+
+    small, p_small = run()
+    monkeypatch.setattr(proximity, "BROADCAST_MAX_CELLS", 0)
+    big, p_big = run()
+    assert "BroadcastHashJoin" in p_small and "SortMergeJoin" in p_big
+    assert small == big and any(f for _, f in small)
