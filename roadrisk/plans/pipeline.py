@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from roadrisk import config as C
 from roadrisk.operators import clean, proximity
 from roadrisk.sources import fixtures, ingest
+from roadrisk.sources.tables import TableStore
 
 
 def bronze(spark: SparkSession, sf_dir: str, since: str | None = C.INGEST_SINCE) -> DataFrame:
@@ -36,3 +37,13 @@ def silver_from(bronze_df: DataFrame, schools_df: DataFrame | None,
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_from(bronze(spark, sf_dir), schools(spark, sf_dir))
+
+
+def silver_from_store(store: TableStore, schools_df: DataFrame | None, years: list[int] | None = None,
+                      bronze_table: str = "bronze_crashes", radius_m: float = C.SCHOOL_RADIUS_M) -> DataFrame:
+    """Silver from the stored bronze table (partitioned by crash_year).
+
+    ``years`` restricts the scan to those partitions, so a gold run over
+    one year reads one year's folders; every gold operator takes the result.
+    """
+    return silver_from(store.read(bronze_table, years=years), schools_df, radius_m)

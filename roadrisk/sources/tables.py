@@ -59,9 +59,14 @@ class TableStore:
         w.save(self.path(name))
         return self.path(name)
 
-    def read(self, name: str) -> DataFrame:
-        """Scan a table by name."""
-        return self.spark.read.format(self.fmt).load(self.path(name))
+    def read(self, name: str, years: list[int] | None = None, year_col: str = "crash_year") -> DataFrame:
+        """Scan a table by name. ``years`` filters the partition column,
+        so a table written with ``partition_by=[year_col]`` reads only
+        those folders (partition pruning)."""
+        df = self.spark.read.format(self.fmt).load(self.path(name))
+        if years is not None:
+            df = df.filter(F.col(year_col).isin([int(y) for y in years]))
+        return df
 
     def row_counts(self, names: list[str]) -> DataFrame:
         """One row per table: (table_name, row_count)."""

@@ -83,3 +83,15 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns == ["bin_id", "crash_count", "z_score", "p_value", "classification"]
+
+
+def test_silver_for_some_years_prunes_partitions(spark):
+    from roadrisk.operators import rollups
+    from roadrisk.plans import pipeline
+    store = TableStore(spark)
+    QUERIES["partitioned_roundtrip"](spark, SF_SMALL).count()
+    monthly = rollups.monthly_series(pipeline.silver_from_store(store, pipeline.schools(spark, SF_SMALL), years=[2023]))
+    p = plan_of(monthly)
+    assert "PartitionFilters: [isnotnull(crash_year" in p and "crash_year" in p and "2023" in p
+    months = [r.year_month for r in monthly.collect()]
+    assert months and all(m.startswith("2023-") for m in months)
