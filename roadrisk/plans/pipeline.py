@@ -7,6 +7,8 @@ DataFrame each; nothing here triggers a job.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 
 from roadrisk import config as C
@@ -35,8 +37,23 @@ def silver_from(bronze_df: DataFrame, schools_df: DataFrame | None,
     return proximity.add_near_school(clean.enrich(cleaned), schools_df, radius_m)
 
 
+# Lazy silver plans per (session, input folder). Only the DataFrame object is
+# kept -- a plan, not data: every action still scans the tables and runs
+# every step. Building the plan costs seconds of driver-side analysis (large
+# fixture expressions), which every gold query would otherwise repeat.
+_SILVER_PLANS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
+
+def clear_plans(spark: SparkSession) -> None:
+    """Forget the session's memoised plans (after its inputs change)."""
+    _SILVER_PLANS.pop(spark, None)
+
+
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_from(bronze(spark, sf_dir), schools(spark, sf_dir))
+    plans = _SILVER_PLANS.setdefault(spark, {})
+    if sf_dir not in plans:
+        plans[sf_dir] = silver_from(bronze(spark, sf_dir), schools(spark, sf_dir))
+    return plans[sf_dir]
 
 
 def silver_from_store(store: TableStore, schools_df: DataFrame | None, years: list[int] | None = None,

@@ -208,9 +208,11 @@ def test_road_match_is_a_merge_join_on_the_cell(spark):
 
 
 def test_school_join_same_flags_broadcast_or_merge(spark, monkeypatch):
+    from roadrisk.plans import pipeline as pl
     from roadrisk.plans.registry import QUERIES
 
     def run():
+        pl.clear_plans(spark)  # the strategy is chosen when the plan is built
         df = QUERIES["near_school_flag"](spark, SF_SMALL)
         plan = df._jdf.queryExecution().executedPlan().toString()
         return sorted((r.dr_no, r.near_school) for r in df.collect()), plan
@@ -220,3 +222,4 @@ def test_school_join_same_flags_broadcast_or_merge(spark, monkeypatch):
     big, p_big = run()
     assert "BroadcastHashJoin" in p_small and "SortMergeJoin" in p_big
     assert small == big and any(f for _, f in small)
+    pl.clear_plans(spark)
