@@ -65,18 +65,20 @@ def mann_kendall_s(zs: Column) -> Column:
     """S = sum_{i<j} sign(z_j - z_i) over an array ordered by time.
 
     The array holds one value per time step, so its length is the number of
-    steps (a parameter of the analysis, not of the data volume).
+    steps (a parameter of the analysis, not of the data volume). One flat
+    loop over the index pairs with O(1) ``element_at`` lookups; pass a column
+    reference (not an expression) so the array is built once per row.
     """
     n = F.size(zs)
     zero = F.lit(0).cast("bigint")
 
-    def per_i(acc, i):
-        zi = F.element_at(zs, i)
-        later = F.slice(zs, i + 1, n - i)
-        return acc + F.aggregate(
-            later, zero, lambda a, zj: a + F.coalesce(F.signum(zj - zi).cast("bigint"), zero))
+    def add(acc, k):
+        i = (k / n).cast("int") + 1
+        j = k % n + 1
+        d = F.signum(F.element_at(zs, j) - F.element_at(zs, i)).cast("bigint")
+        return acc + F.when(i < j, F.coalesce(d, zero)).otherwise(zero)
 
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), zero, per_i)
+    return F.aggregate(F.sequence(F.lit(0), F.greatest(n * n - 1, F.lit(0))), zero, add)
 
 
 def mann_kendall_z(s: Column, t: Column) -> Column:

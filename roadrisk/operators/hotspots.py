@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from roadrisk import config as C
 from roadrisk.functions import geo, hexgrid, stats
+from roadrisk.sources.tables import ensure_checkpoint_dir
 
 
 def _bin_cells(points: DataFrame, edge: float, *extra) -> DataFrame:
@@ -110,10 +111,16 @@ def emerging_hot_spots(points: DataFrame, bin_m: float = C.HOTSPOT_BIN_M, rings:
     label = label or f"{bin_m:g}m"
     offs = hexgrid.ring_offsets(rings)
     pts = _bin_cells(points.filter(F.col(date_col).isNotNull()), edge, month_index(F.col(date_col)).alias("m"))
-    m0 = pts.agg(F.min("m")).scalar()
-    counts = (pts.withColumn("_m0", m0)
+    # Count per (bin, month) first and checkpoint it (one row per occupied bin
+    # and month): the earliest month, the study rectangle and the main plan
+    # all read this small table, so the incidents are scanned once and the
+    # lineage is cut there.
+    ensure_checkpoint_dir(points.sparkSession)
+    monthly = pts.groupBy("q", "r", "m").agg(F.count(F.lit(1)).alias("x")).checkpoint()
+    m0 = monthly.agg(F.min("m")).scalar()
+    counts = (monthly.withColumn("_m0", m0)
               .withColumn("step", F.floor((F.col("m") - F.col("_m0")) / F.lit(step_months)).cast("int"))
-              .groupBy("q", "r", "step").agg(F.count(F.lit(1)).alias("x")))
+              .groupBy("q", "r", "step").agg(F.sum("x").alias("x")))
     st = _rect_stats(counts, (F.max("step") + 1).alias("t"))
     st_offs = F.array(*[F.struct(F.lit(dq).alias("dq"), F.lit(dr).alias("dr"), F.lit(dt).alias("dt"))
                         for dq, dr in offs for dt in (0, 1)])
@@ -136,8 +143,9 @@ def emerging_hot_spots(points: DataFrame, bin_m: float = C.HOTSPOT_BIN_M, rings:
                     F.count_if(F.col("z") >= geo.lit(C.HOT_Z)).alias("quarters_hot"),
                     F.max_by("z", "step").alias("latest_z"),
                     F.count(F.lit(1)).alias("n_steps")))
-    mk_s = stats.mann_kendall_s(F.transform("series", lambda e: e["z"]))
-    per_bin = per_bin.withColumn("mk_z", stats.mann_kendall_z(mk_s, F.col("n_steps")))
+    per_bin = (per_bin.withColumn("_zs", F.transform("series", lambda e: e["z"]))
+               .withColumn("mk_z", stats.mann_kendall_z(stats.mann_kendall_s(F.col("_zs")), F.col("n_steps")))
+               .drop("_zs"))
     return per_bin.select(hexgrid.hex_id(label, F.col("q"), F.col("r")).alias("bin_id"), "q", "r",
                           trend_label(F.col("quarters_hot"), F.col("n_steps"), F.col("latest_z"), F.col("mk_z"))
                           .alias("trend"),
