@@ -223,3 +223,17 @@ def test_school_join_same_flags_broadcast_or_merge(spark, monkeypatch):
     assert "BroadcastHashJoin" in p_small and "SortMergeJoin" in p_big
     assert small == big and any(f for _, f in small)
     pl.clear_plans(spark)
+
+
+def test_density_cells_of_one_point_equal_brute_force(spark):
+    # Every cell whose centre lies strictly within the radius, found by
+    # scanning a block wider than the radius in Python with the same formulas.
+    lon, lat = -118.2437, 34.0522
+    r, c = C.KDE_RADIUS_M, C.KDE_CELL_M
+    x = (lon - C.ORIGIN_LON) * C.M_PER_DEG_X
+    y = (lat - C.ORIGIN_LAT) * C.M_PER_DEG_Y
+    i0, j0 = math.floor(x / c), math.floor(y / c)
+    expect = {(i0 + di, j0 + dj) for di in range(-15, 16) for dj in range(-15, 16)
+              if (x - (i0 + di + 0.5) * c) ** 2 + (y - (j0 + dj + 0.5) * c) ** 2 < r * r}
+    got = {(row.cell_i, row.cell_j) for row in density.kernel_density(pts(spark, [(lon, lat)])).collect()}
+    assert got == expect and len(got) > 300
