@@ -7,10 +7,10 @@ the exact haversine test.
 
 The school side is broadcast only behind a measured bound: its rows are
 counted (one small job over the school table) and the 9 copies per school
-must stay under ``BROADCAST_MAX_CELLS``; otherwise the join is pinned to a
-sort-merge join on the cell, where a hot cell is split by adaptive
-execution's skew-join rule. Spark's own estimate is not used for this: it
-does not see the 9x fan-out.
+must stay under ``BROADCAST_MAX_CELLS``; otherwise the joins are pinned to
+sort-merge joins on the cell (semi/anti), where a hot cell is split by
+adaptive execution's skew-join rule. Spark's own estimate is not used for
+this: it does not see the 9x fan-out.
 """
 
 from __future__ import annotations
@@ -22,15 +22,19 @@ from roadrisk import config as C
 from roadrisk.functions import geo
 
 
-# About 40 bytes per school cell row: 1,000,000 rows is a ~40 MB hash table.
-BROADCAST_MAX_CELLS = 1_000_000
+# About 40 bytes per school cell row: 2,000,000 rows is a ~80 MB hash table,
+# which holds every school of a large country (~130k schools x 9 cells).
+BROADCAST_MAX_CELLS = 2_000_000
 
 
-def _school_side(schools: DataFrame, cell_deg: float, max_cells: int | None = None) -> DataFrame:
-    """School cells with a join strategy hint chosen from the counted size."""
-    cells = school_cells(schools, cell_deg)
-    fits = schools.count() * 9 <= (BROADCAST_MAX_CELLS if max_cells is None else max_cells)
-    return cells.hint("broadcast" if fits else "merge")
+def _broadcast_fits(schools: DataFrame, max_cells: int | None = None) -> bool:
+    """Counted size check (one small job over the school table)."""
+    return schools.count() * 9 <= (BROADCAST_MAX_CELLS if max_cells is None else max_cells)
+
+
+def _school_side(schools: DataFrame, cell_deg: float, broadcast: bool) -> DataFrame:
+    """School cells with the join strategy pinned by hint."""
+    return school_cells(schools, cell_deg).hint("broadcast" if broadcast else "merge")
 
 
 def _cell(c, cell_deg: float):
@@ -72,7 +76,8 @@ def near_school_join(incidents: DataFrame, schools: DataFrame, radius_m: float =
     """Incidents within `radius_m` of any school (each incident once)."""
     cell_deg = cell_deg or C.school_cell_deg(radius_m)
     inc = _with_cell(incidents, cell_deg)
-    return inc.join(_school_side(schools, cell_deg), on=_near_condition(radius_m, False),
+    side = _school_side(schools, cell_deg, _broadcast_fits(schools))
+    return inc.join(side, on=_near_condition(radius_m, False),
                     how="left_semi").drop("_gx", "_gy", "_plat", "_plon")
 
 
@@ -80,14 +85,25 @@ def add_near_school(incidents: DataFrame, schools: DataFrame | None, radius_m: f
                     cell_deg: float | None = None) -> DataFrame:
     """``near_school`` 1/0 per incident, without duplicating rows.
 
-    Expressed as a correlated EXISTS, which Spark plans as an existence join:
-    one pass, one boolean per incident, no distinct and no join back.
+    With a broadcastable school side this is a correlated EXISTS, which
+    Spark plans as a broadcast existence join: one pass, one boolean per
+    incident, no distinct and no join back. Beyond the bound it is a
+    ``left_semi`` join (flag 1) unioned with a ``left_anti`` join (flag 0),
+    both sort-merge on the cell: adaptive execution can split a hot cell
+    in those join types, but not in an existence join, and a cell holding a
+    third of the incidents must not end up in one task.
     ``schools=None`` gives a column of 0.
     """
     if schools is None:
         return incidents.withColumn("near_school", F.lit(0))
     cell_deg = cell_deg or C.school_cell_deg(radius_m)
     inc = _with_cell(incidents, cell_deg)
-    hit = _school_side(schools, cell_deg).where(_near_condition(radius_m, True)).exists()
-    return (inc.withColumn("near_school", F.when(hit, F.lit(1)).otherwise(F.lit(0)))
-            .drop("_gx", "_gy", "_plat", "_plon"))
+    helper = ["_gx", "_gy", "_plat", "_plon"]
+    if _broadcast_fits(schools):
+        hit = _school_side(schools, cell_deg, True).where(_near_condition(radius_m, True)).exists()
+        return inc.withColumn("near_school", F.when(hit, F.lit(1)).otherwise(F.lit(0))).drop(*helper)
+    side = _school_side(schools, cell_deg, False)
+    cond = _near_condition(radius_m, False)
+    near = inc.join(side, on=cond, how="left_semi").withColumn("near_school", F.lit(1))
+    far = inc.join(side, on=cond, how="left_anti").withColumn("near_school", F.lit(0))
+    return near.unionByName(far).drop(*helper)
