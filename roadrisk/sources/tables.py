@@ -18,13 +18,18 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a private folder created
-    and registered as the checkpoint dir.
+    Only a local-mode session without one (tests, the bench) gets a private
+    folder, registered as the checkpoint dir. On a cluster a machine-local
+    folder would not be shared by the executors, so a missing setting is an
+    error there rather than a silent fallback.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(checkpoints and tables are written there)")
         d = tempfile.mkdtemp(prefix="roadrisk-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
