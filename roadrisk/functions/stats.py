@@ -81,6 +81,18 @@ def mann_kendall_s(zs: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.greatest(n * n - 1, F.lit(0))), zero, add)
 
 
+def mann_kendall_s_fixed(zs: Column, t: int) -> Column:
+    """The same S for arrays of exactly ``t`` values, unrolled into a plain
+    sum of t(t-1)/2 sign terms: no lambda, so it stays in generated code.
+    Use it when t is known and small; ``mann_kendall_s`` handles the rest."""
+    zero = F.lit(0).cast("bigint")
+    terms = [F.coalesce(F.signum(F.try_element_at(zs, F.lit(j)) - F.try_element_at(zs, F.lit(i))).cast("bigint"), zero)
+             for i in range(1, t + 1) for j in range(i + 1, t + 1)]
+    while len(terms) > 1:  # balanced sum: shallow expression tree
+        terms = [terms[k] + terms[k + 1] if k + 1 < len(terms) else terms[k] for k in range(0, len(terms), 2)]
+    return terms[0] if terms else zero
+
+
 def mann_kendall_z(s: Column, t: Column) -> Column:
     """Continuity-corrected MK z with var = T(T-1)(2T+5)/18."""
     t = t.cast("double")

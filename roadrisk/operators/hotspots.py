@@ -43,6 +43,8 @@ def _rect_stats(counts: DataFrame, *extra) -> F.Column:
 
 
 RECT = ("c0", "c1", "r0", "r1")
+# Up to this many time steps the Mann-Kendall sum is unrolled (496 terms).
+MK_UNROLL_MAX_STEPS = 32
 
 
 def _with_stats(df: DataFrame, st) -> DataFrame:
@@ -143,8 +145,15 @@ def emerging_hot_spots(points: DataFrame, bin_m: float = C.HOTSPOT_BIN_M, rings:
                     F.count_if(F.col("z") >= geo.lit(C.HOT_Z)).alias("quarters_hot"),
                     F.max_by("z", "step").alias("latest_z"),
                     F.count(F.lit(1)).alias("n_steps")))
+    # Every bin has one z per step, so with few steps S is unrolled into
+    # generated code; the step count comes from the checkpointed counts.
+    m_lo, m_hi = monthly.agg(F.min("m"), F.max("m")).first()
+    t_steps = 0 if m_lo is None else (m_hi - m_lo) // step_months + 1
+    zs = F.col("_zs")
+    mk_s = (stats.mann_kendall_s_fixed(zs, t_steps) if 0 < t_steps <= MK_UNROLL_MAX_STEPS
+            else stats.mann_kendall_s(zs))
     per_bin = (per_bin.withColumn("_zs", F.transform("series", lambda e: e["z"]))
-               .withColumn("mk_z", stats.mann_kendall_z(stats.mann_kendall_s(F.col("_zs")), F.col("n_steps")))
+               .withColumn("mk_z", stats.mann_kendall_z(mk_s, F.col("n_steps")))
                .drop("_zs"))
     return per_bin.select(hexgrid.hex_id(label, F.col("q"), F.col("r")).alias("bin_id"), "q", "r",
                           trend_label(F.col("quarters_hot"), F.col("n_steps"), F.col("latest_z"), F.col("mk_z"))

@@ -237,3 +237,14 @@ def test_density_cells_of_one_point_equal_brute_force(spark):
               if (x - (i0 + di + 0.5) * c) ** 2 + (y - (j0 + dj + 0.5) * c) ** 2 < r * r}
     got = {(row.cell_i, row.cell_j) for row in density.kernel_density(pts(spark, [(lon, lat)])).collect()}
     assert got == expect and len(got) > 300
+
+
+@pytest.mark.parametrize("t", [1, 2, 5, 12])
+def test_mann_kendall_unrolled_equals_loop(spark, t):
+    from roadrisk.functions.stats import mann_kendall_s, mann_kendall_s_fixed
+    import random
+    rng = random.Random(t)
+    rows = [([rng.choice([-1.0, 0.0, 0.5, 2.0, None]) for _ in range(t)],) for _ in range(40)]
+    df = spark.createDataFrame(rows, "zs array<double>")
+    got = df.select(mann_kendall_s_fixed(F.col("zs"), t).alias("a"), mann_kendall_s(F.col("zs")).alias("b")).collect()
+    assert all(r.a == r.b for r in got)
