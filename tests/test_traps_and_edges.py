@@ -248,3 +248,38 @@ def test_mann_kendall_unrolled_equals_loop(spark, t):
     df = spark.createDataFrame(rows, "zs array<double>")
     got = df.select(mann_kendall_s_fixed(F.col("zs"), t).alias("a"), mann_kendall_s(F.col("zs")).alias("b")).collect()
     assert all(r.a == r.b for r in got)
+
+
+def test_road_match_skew_split_keeps_exact_pairs(spark):
+    # Force adaptive execution to treat the hot cell as skewed and split it;
+    # the distinct on (road, incident) must still give the brute-force pairs.
+    import random
+    rng = random.Random(11)
+    paths = [[[-118.2500, 34.0500], [-118.2480, 34.0502]], [[-118.2490, 34.0480], [-118.2490, 34.0520]]]
+    spread = [(-118.26 + rng.random() * 0.03, 34.04 + rng.random() * 0.02) for _ in range(300)]
+    hot = [(-118.2489 + rng.random() * 0.0008, 34.0501 + rng.random() * 0.0008) for _ in range(3000)]
+    points = [(f"DR{i}", xy) for i, xy in enumerate(spread + hot)]
+    inc = spark.createDataFrame([(d, "other", x, y) for d, (x, y) in points],
+                                "dr_no string, severity string, longitude double, latitude double").repartition(8)
+    conf = {"spark.sql.adaptive.enabled": "true",
+            "spark.sql.adaptive.skewJoin.enabled": "true",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        m = corridors.match_incidents(road(spark, paths), inc)
+        rows = [(r.road_index, r.dr_no) for r in m.collect()]
+        plan = m._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert "skew=true" in plan
+    assert len(rows) == len(set(rows))
+    assert set(rows) == _brute_pairs(paths, points, C.MATCH_THRESHOLD_DEG)
