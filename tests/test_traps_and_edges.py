@@ -283,3 +283,37 @@ def test_road_match_skew_split_keeps_exact_pairs(spark):
     assert "skew=true" in plan
     assert len(rows) == len(set(rows))
     assert set(rows) == _brute_pairs(paths, points, C.MATCH_THRESHOLD_DEG)
+
+
+def test_school_flag_merge_path_skew_split_same_flags(spark, monkeypatch):
+    # Beyond the broadcast bound the flag is semi + anti sort-merge joins;
+    # with a hot cell forced to count as skewed, the split must keep every
+    # incident exactly once with the same flag as the broadcast plan.
+    import random
+    rng = random.Random(5)
+    schools = spark.createDataFrame([(34.0500, -118.2500), (34.0600, -118.2300), (34.0450, -118.2700)],
+                                    "school_lat double, school_lon double")
+    spread = [(-118.28 + rng.random() * 0.06, 34.03 + rng.random() * 0.04) for _ in range(300)]
+    hot = [(-118.2503 + rng.random() * 0.002, 34.0497 + rng.random() * 0.002) for _ in range(3000)]
+    inc = pts(spark, spread + hot).repartition(8)
+    want = sorted((r.dr_no, r.near_school) for r in proximity.add_near_school(inc, schools).collect())
+    monkeypatch.setattr(proximity, "BROADCAST_MAX_CELLS", 0)
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = proximity.add_near_school(inc, schools)
+        got = sorted((r.dr_no, r.near_school) for r in out.collect())
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert "SortMergeJoin" in plan and "skew=true" in plan
+    assert got == want and len(got) == 3300 and sum(f for _, f in got) > 2000
