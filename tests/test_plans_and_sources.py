@@ -95,3 +95,12 @@ def test_silver_for_some_years_prunes_partitions(spark):
     assert "PartitionFilters: [isnotnull(crash_year" in p and "crash_year" in p and "2023" in p
     months = [r.year_month for r in monthly.collect()]
     assert months and all(m.startswith("2023-") for m in months)
+
+
+@pytest.mark.parametrize("name,partial", [("hot_spots", "partial_count"), ("emerging_hot_spots", "partial_count"),
+                                          ("kernel_density", "partial_sum"), ("hex_heatmap", "partial_count"),
+                                          ("top_intersections", "partial_count")])
+def test_fan_in_is_combined_map_side(spark, name, partial):
+    # A hot bin or cell must reach the shuffle as one row per map task.
+    p = plan_of(QUERIES[name](spark, SF_SMALL))
+    assert partial in p, (name, partial)
