@@ -14,7 +14,6 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from roadrisk import config as C
 from roadrisk.functions import geo
 
 SQRT3 = math.sqrt(3.0)

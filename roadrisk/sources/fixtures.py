@@ -15,7 +15,6 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadrisk import config as C
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
