@@ -114,14 +114,17 @@ def emerging_hot_spots(points: DataFrame, bin_m: float = C.HOTSPOT_BIN_M, rings:
     offs = hexgrid.ring_offsets(rings)
     pts = _bin_cells(points.filter(F.col(date_col).isNotNull()), edge, month_index(F.col(date_col)).alias("m"))
     # Count per (bin, month) first and checkpoint it (one row per occupied bin
-    # and month): the earliest month, the study rectangle and the main plan
-    # all read this small table, so the incidents are scanned once and the
+    # and month): the month range, the study rectangle and the main plan all
+    # read this small table, so the incidents are scanned once and the
     # lineage is cut there.
     ensure_checkpoint_dir(points.sparkSession)
     monthly = pts.groupBy("q", "r", "m").agg(F.count(F.lit(1)).alias("x")).checkpoint()
-    m0 = monthly.agg(F.min("m")).scalar()
-    counts = (monthly.withColumn("_m0", m0)
-              .withColumn("step", F.floor((F.col("m") - F.col("_m0")) / F.lit(step_months)).cast("int"))
+    # First and last month (one small job on the checkpoint): the step origin,
+    # and the step count used to unroll Mann-Kendall below.
+    m_lo, m_hi = monthly.agg(F.min("m"), F.max("m")).first()
+    t_steps = 0 if m_lo is None else (m_hi - m_lo) // step_months + 1
+    m0 = F.lit(m_lo).cast("int")
+    counts = (monthly.withColumn("step", F.floor((F.col("m") - m0) / F.lit(step_months)).cast("int"))
               .groupBy("q", "r", "step").agg(F.sum("x").alias("x")))
     st = _rect_stats(counts, (F.max("step") + 1).alias("t"))
     st_offs = F.array(*[F.struct(F.lit(dq).alias("dq"), F.lit(dr).alias("dr"), F.lit(dt).alias("dt"))
@@ -146,9 +149,7 @@ def emerging_hot_spots(points: DataFrame, bin_m: float = C.HOTSPOT_BIN_M, rings:
                     F.max_by("z", "step").alias("latest_z"),
                     F.count(F.lit(1)).alias("n_steps")))
     # Every bin has one z per step, so with few steps S is unrolled into
-    # generated code; the step count comes from the checkpointed counts.
-    m_lo, m_hi = monthly.agg(F.min("m"), F.max("m")).first()
-    t_steps = 0 if m_lo is None else (m_hi - m_lo) // step_months + 1
+    # generated code.
     zs = F.col("_zs")
     mk_s = (stats.mann_kendall_s_fixed(zs, t_steps) if 0 < t_steps <= MK_UNROLL_MAX_STEPS
             else stats.mann_kendall_s(zs))
