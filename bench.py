@@ -30,21 +30,29 @@ def main() -> None:
     from roadrisk.session import local_session
 
     spark = local_session(cpus)
-    timings: dict[str, float] = {}
+    timings: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
     for name in names:
         t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        timings[name] = round(time.perf_counter() - t0, 3)
+        try:
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            timings[name] = round(time.perf_counter() - t0, 3)
+        except Exception as e:  # report it and keep timing the others
+            timings[name] = None
+            errors[name] = f"{type(e).__name__}: {str(e)[:300]}"
         print(f"# {name}: {timings[name]} s", file=sys.stderr, flush=True)
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({
+    out = {
         "metric": "headline_queries_total_wall",
-        "value": round(sum(timings.values()), 3),
+        "value": round(sum(t for t in timings.values() if t is not None), 3),
         "unit": "sec",
         "queries": timings,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
-    }))
+    }
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
