@@ -22,8 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _decimal_text(micro: Column) -> Column:
-    """Decimal text with 6 places of a non-negative micro-degree integer."""
-    return F.format_string("%d.%06d", F.floor(micro / F.lit(1000000)), micro % F.lit(1000000))
+    """Decimal text with 6 places of a non-negative micro-degree integer: the
+    text of format_string('%d.%06d', v div 10^6, v % 10^6), built with concat
+    and lpad, which cost far less per row than a format string."""
+    whole = F.floor(micro / F.lit(1000000)).cast("string")
+    frac = F.lpad((micro % F.lit(1000000)).cast("string"), 6, "0")
+    return F.concat(whole, F.lit("."), frac)
 
 
 def incident_micro_coords(e: Column, u: Column) -> tuple[Column, Column]:
