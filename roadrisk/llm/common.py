@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterable
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -40,10 +43,26 @@ def remove_stored(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application, so that
+    their Python workers can import it wherever the driver was started."""
+    context = spark.sparkContext
+    if getattr(context, "_roadrisk_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = f"{tempfile.mkdtemp(prefix='roadrisk-code-')}/roadrisk_code.zip"  # read by the driver alone
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    context.addPyFile(archive)
+    context._roadrisk_shipped = True
+
+
 def arrow_map(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], Iterable[dict]]]) -> DataFrame:
     """``df.mapInArrow`` with the schema as DDL. ``make`` is called once per
     partition and returns a function from a batch to dictionaries of equally
     long columns; each becomes one output batch."""
+    ship_code(df.sparkSession)
     struct = T.StructType.fromDDL(schema)
     arrow = to_arrow_schema(struct)
 
