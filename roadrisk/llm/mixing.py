@@ -3,7 +3,7 @@
 Every document belongs to a block: a hash bucket of about ``BLOCK_WORDS`` words
 of its source, i.e. a piece of a random permutation of the source. A source that
 needs t words is drawn in passes over its permuted blocks: whole passes first,
-then a last one that stops inside one block, where documents are taken while they fit.
+then a last one that ends within two blocks, where documents are taken while they fit.
 That gives every source an exact quota of block draws.
 
 The draws are dealt to output shards by a splitting tree. The root holds all
@@ -215,13 +215,14 @@ def plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int =
     parts = parts.select("source_no", "part", earlier("source_no", order="part").alias("before_part"))
     blocks = blocks.withColumn("inside", earlier("source_no", "part", order="block")).join(parts, ["source_no", "part"])
     blocks = stored(blocks.select("source_no", "block", "words", "rest", (F.col("before_part") + F.col("inside")).alias("start")), "blocks")
-    begun = blocks.filter(F.col("start") < F.col("rest"))
-    cut = begun.filter(F.col("start") + F.col("words") > F.col("rest")).select("source_no", "block", (F.col("rest") - F.col("start")).alias("left"))
-
-    # The one block of a source in which its last pass ends (a bounded group):
-    # from the largest down, every document that still fits.
-    inside = (placed.filter(F.col("size") > 0).join(cut, ["source_no", "block"]).groupBy("source_no", "left")
-              .agg(F.sort_array(F.collect_list(F.struct("size", "u", "doc_id", "source", "rows")), asc=False).alias("docs"))
+    # A source's last pass ends in its tail: the block that reaches over the rest, and
+    # the ones that begin less than a block later, whose small documents fill the gap.
+    begun = blocks.filter((F.col("rest") > 0) & (F.col("start") < F.col("rest") + block_words))
+    tail = begun.filter(F.col("start") + F.col("words") > F.col("rest"))
+    left = tail.groupBy("source_no").agg((F.max("rest") - F.min("start")).alias("left"))
+    inside = (placed.filter(F.col("size") > 0).join(tail.select("source_no", "block"), ["source_no", "block"])
+              .groupBy("source_no").agg(F.collect_list(F.struct("block", (-F.col("size")).alias("by"), "u", *key, "rows")).alias("docs"))
+              .join(left, "source_no").select(F.sort_array("docs").alias("docs"), "left")
               .select("docs", F.posexplode(fit_of("docs", "left")).alias("at", "part_extra"))
               .select(F.element_at("docs", F.col("at") + 1).alias("x"), "part_extra")
               .select(*[F.col(f"x.{k}").alias(k) for k in key], "part_extra"))
