@@ -2,8 +2,8 @@
 
 Numbers here either must equal the source pipeline's (marked FIXED) or are
 our own defaults for semantics the source leaves unstated (marked OURS).
-Every operator takes them as keyword arguments, so another city or another
-tolerance is a call-site change, not a code change.
+Every operator takes them as keyword arguments, so another city (its box and
+its projection origin) or another tolerance is a call-site change.
 """
 
 from __future__ import annotations
@@ -104,15 +104,3 @@ HOT_Z = 1.96
 PERSIST_FRACTION = 0.9
 MK_Z = 1.96
 
-
-def school_cell_deg(radius_m: float = SCHOOL_RADIUS_M, max_abs_lat: float = max(abs(LAT_MIN), abs(LAT_MAX)) + 1.0) -> float:
-    """Grid cell (degrees) at least `radius_m` wide in longitude at `max_abs_lat`.
-
-    A point and any school within `radius_m` then lie in the same or adjacent
-    cells, so a 3x3 neighbourhood is a complete candidate set. The default
-    latitude bound is the study box plus one degree, so schools just outside
-    the box are still covered; the 0.1 % margin covers the gap between a
-    parallel arc and the great-circle distance.
-    """
-    metres_per_deg_lon = EARTH_RADIUS_M * DEG * math.cos(max_abs_lat * DEG)
-    return radius_m / metres_per_deg_lon * 1.001

@@ -9,6 +9,7 @@ keeps doubles bit-identical across the two engines.
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,22 +31,37 @@ def round_half_up(c: Column, decimals: int) -> Column:
     return (F.floor(c * lit(scale) + lit(0.5)).cast("double") / lit(scale))
 
 
-def project_x(lon: Column, origin_lon: float = C.ORIGIN_LON, m_per_deg_x: float = C.M_PER_DEG_X) -> Column:
-    """Equirectangular x in metres from the study origin."""
-    return (lon - lit(origin_lon)) * lit(m_per_deg_x)
+class Origin(NamedTuple):
+    """Centre of the local metric projection, (latitude, longitude) in degrees.
+    Distances are true near it, so each study area names its own."""
 
+    lat: float = C.ORIGIN_LAT
+    lon: float = C.ORIGIN_LON
 
-def project_y(lat: Column, origin_lat: float = C.ORIGIN_LAT, m_per_deg_y: float = C.M_PER_DEG_Y) -> Column:
-    """Equirectangular y in metres from the study origin."""
-    return (lat - lit(origin_lat)) * lit(m_per_deg_y)
+    @property
+    def m_per_deg_x(self) -> float:
+        return C.EARTH_RADIUS_M * math.cos(self.lat * C.DEG) * C.DEG
 
 
-def unproject_lon(x: Column, origin_lon: float = C.ORIGIN_LON, m_per_deg_x: float = C.M_PER_DEG_X) -> Column:
-    return lit(origin_lon) + x / lit(m_per_deg_x)
+ORIGIN = Origin()
 
 
-def unproject_lat(y: Column, origin_lat: float = C.ORIGIN_LAT, m_per_deg_y: float = C.M_PER_DEG_Y) -> Column:
-    return lit(origin_lat) + y / lit(m_per_deg_y)
+def project_x(lon: Column, origin: Origin = ORIGIN) -> Column:
+    """Equirectangular x in metres from the origin."""
+    return (lon - lit(origin.lon)) * lit(origin.m_per_deg_x)
+
+
+def project_y(lat: Column, origin: Origin = ORIGIN) -> Column:
+    """Equirectangular y in metres from the origin."""
+    return (lat - lit(origin.lat)) * lit(C.M_PER_DEG_Y)
+
+
+def unproject_lon(x: Column, origin: Origin = ORIGIN) -> Column:
+    return lit(origin.lon) + x / lit(origin.m_per_deg_x)
+
+
+def unproject_lat(y: Column, origin: Origin = ORIGIN) -> Column:
+    return lit(origin.lat) + y / lit(C.M_PER_DEG_Y)
 
 
 def haversine_within(lat1: Column, lon1: Column, lat2: Column, lon2: Column, radius_m: float) -> Column:
@@ -66,10 +82,6 @@ def haversine_a(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     return s_lat * s_lat + F.cos(lat1 * lit(C.DEG)) * F.cos(lat2 * lit(C.DEG)) * s_lon * s_lon
 
 
-def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    return lit(2.0 * C.EARTH_RADIUS_M) * F.asin(F.sqrt(haversine_a(lat1, lon1, lat2, lon2)))
-
-
 def point_segment_distance(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
     """Planar distance from P to segment AB (degrees in, degrees out).
 

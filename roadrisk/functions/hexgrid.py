@@ -48,8 +48,8 @@ def hex_axial(x: Column, y: Column, edge_m: float) -> Column:
     return F.struct(q.cast("bigint").alias("q"), r.cast("bigint").alias("r"))
 
 
-def hex_of_lonlat(lon: Column, lat: Column, edge_m: float) -> Column:
-    return hex_axial(geo.project_x(lon), geo.project_y(lat), edge_m)
+def hex_of_lonlat(lon: Column, lat: Column, edge_m: float, origin: geo.Origin = geo.ORIGIN) -> Column:
+    return hex_axial(geo.project_x(lon, origin), geo.project_y(lat, origin), edge_m)
 
 
 def hex_id(label: str, q: Column, r: Column) -> Column:
@@ -72,14 +72,14 @@ def vertex_offsets(edge_m: float) -> list[tuple[float, float]]:
     ]
 
 
-def hex_boundary(q: Column, r: Column, edge_m: float, decimals: int = 6) -> Column:
+def hex_boundary(q: Column, r: Column, edge_m: float, decimals: int = 6, origin: geo.Origin = geo.ORIGIN) -> Column:
     """Closed ring ``array<array<double>>`` of [lng, lat] pairs, 7 entries."""
     cx = hex_center_x(q, r, edge_m)
     cy = hex_center_y(r, edge_m)
     verts = [
         F.array(
-            geo.round_half_up(geo.unproject_lon(cx + geo.lit(dx)), decimals),
-            geo.round_half_up(geo.unproject_lat(cy + geo.lit(dy)), decimals),
+            geo.round_half_up(geo.unproject_lon(cx + geo.lit(dx), origin), decimals),
+            geo.round_half_up(geo.unproject_lat(cy + geo.lit(dy), origin), decimals),
         )
         for dx, dy in vertex_offsets(edge_m)
     ]

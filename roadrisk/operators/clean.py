@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from roadrisk import config as C
 from roadrisk.functions import geo, hexgrid, severity
@@ -44,18 +45,17 @@ def bbox_filter(df: DataFrame, lat_min: float = C.LAT_MIN, lat_max: float = C.LA
 
 
 def dedupe(df: DataFrame, key: str = "dr_no", order_cols: list[str] | None = None) -> DataFrame:
-    """One row per key: the smallest row in the total order of `order_cols`.
+    """One row per key: the smallest row in the total order of `order_cols`
+    (then of the other columns).
 
-    Implemented as ``min(struct(...))`` per key rather than a window: the
-    aggregate combines copies on the map side before the shuffle, so a key
-    with millions of copies moves one row per map task, not all of them.
+    ``row_number() = 1`` per key. Spark keeps only the first row of each key on
+    the map side before the one shuffle (its window group limit), so a key with
+    millions of copies moves one row per map task, not all of them.
     """
     cols = order_cols or [c for c in df.columns if c != key]
     others = [c for c in df.columns if c != key and c not in cols]
-    packed = F.struct(*[F.col(c) for c in cols + others]).alias("_row")
-    return (df.groupBy(key).agg(F.min(packed).alias("_row"))
-            .select(key, *[F.col(f"_row.{c}").alias(c) for c in cols + others])
-            .select(*df.columns))
+    first = F.row_number().over(Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in cols + others]))
+    return df.withColumn("_nth", first).filter(F.col("_nth") == 1).drop("_nth")
 
 
 def clean_incidents(bronze: DataFrame, pad_time: bool = False, **bbox) -> DataFrame:
@@ -93,12 +93,13 @@ def add_intersection(df: DataFrame) -> DataFrame:
     return df.withColumn("intersection", intersection_label(F.col("location"), F.col("cross_street")))
 
 
-def add_hex_cells(df: DataFrame, resolutions=C.HEATMAP_RESOLUTIONS) -> DataFrame:
+def add_hex_cells(df: DataFrame, resolutions=C.HEATMAP_RESOLUTIONS, origin: geo.Origin = geo.ORIGIN) -> DataFrame:
     """Hex id per resolution (columns ``h3_res<label>``), rows without a
-    fine cell dropped. Ids are native hex ids ``"<label>:<q>:<r>"``."""
+    fine cell dropped. Ids are native hex ids ``"<label>:<q>:<r>"``, counted
+    from ``origin``."""
     out = df
     for label, edge in resolutions:
-        cell = hexgrid.hex_of_lonlat(F.col("longitude"), F.col("latitude"), edge)
+        cell = hexgrid.hex_of_lonlat(F.col("longitude"), F.col("latitude"), edge, origin)
         hid = F.when(F.col("latitude").isNull() | F.col("longitude").isNull(), F.lit(None).cast("string")) \
             .otherwise(hexgrid.hex_id(label, cell["q"], cell["r"]))
         out = out.withColumn(f"h3_res{label}", hid)
@@ -113,17 +114,6 @@ def add_geometry(df: DataFrame, srid: int = 4326) -> DataFrame:
                                               F.lit(srid).alias("srid")))
 
 
-def enrich(clean: DataFrame, resolutions=C.HEATMAP_RESOLUTIONS) -> DataFrame:
+def enrich(clean: DataFrame, resolutions=C.HEATMAP_RESOLUTIONS, origin: geo.Origin = geo.ORIGIN) -> DataFrame:
     """P4, P8-P11 on cleaned rows."""
-    return add_geometry(add_hex_cells(add_intersection(add_calendar(add_severity(clean))), resolutions))
-
-
-def severity_weight_col() -> F.Column:
-    """P13."""
-    return severity.severity_weight(F.col("severity"))
-
-
-def project_points(df: DataFrame) -> DataFrame:
-    """Adds planar x/y metres used by the hexagon and density operators."""
-    return (df.withColumn("x", geo.project_x(F.col("longitude")))
-            .withColumn("y", geo.project_y(F.col("latitude"))))
+    return add_geometry(add_hex_cells(add_intersection(add_calendar(add_severity(clean))), resolutions, origin))

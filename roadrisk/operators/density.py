@@ -34,12 +34,13 @@ def reachable_offsets(radius_m: float, cell_m: float) -> list[tuple[int, int]]:
 
 
 def kernel_density(points: DataFrame, radius_m: float = C.KDE_RADIUS_M, cell_m: float = C.KDE_CELL_M,
-                   weight_col: str | None = None) -> DataFrame:
+                   weight_col: str | None = None, origin: geo.Origin = geo.ORIGIN) -> DataFrame:
     """One row per cell with positive density: cell_i, cell_j, center_lon,
-    center_lat, density (incidents per km^2)."""
+    center_lat, density (incidents per km^2). ``origin`` centres the projection;
+    name one inside the study area."""
     w = F.col(weight_col).cast("double") if weight_col else F.lit(1.0)
-    pos = (points.select(geo.project_x(F.col("longitude")).alias("x"),
-                         geo.project_y(F.col("latitude")).alias("y"), w.alias("w"))
+    pos = (points.select(geo.project_x(F.col("longitude"), origin).alias("x"),
+                         geo.project_y(F.col("latitude"), origin).alias("y"), w.alias("w"))
            .groupBy("x", "y").agg(F.sum("w").alias("w")))
     # The reachable offsets are symmetric and contiguous in dj for each |di|,
     # so they are generated as explode(sequence(-kd, kd)) for di and
@@ -68,6 +69,6 @@ def kernel_density(points: DataFrame, radius_m: float = C.KDE_RADIUS_M, cell_m:
              .groupBy("i", "j").agg(F.sum(F.col("w") * v * v).alias("s")))
     return cells.select(
         F.col("i").alias("cell_i"), F.col("j").alias("cell_j"),
-        geo.unproject_lon((F.col("i") + geo.lit(0.5)) * c).alias("center_lon"),
-        geo.unproject_lat((F.col("j") + geo.lit(0.5)) * c).alias("center_lat"),
+        geo.unproject_lon((F.col("i") + geo.lit(0.5)) * c, origin).alias("center_lon"),
+        geo.unproject_lat((F.col("j") + geo.lit(0.5)) * c, origin).alias("center_lat"),
         (F.col("s") * geo.lit(k)).alias("density"))

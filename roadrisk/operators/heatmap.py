@@ -21,18 +21,19 @@ def cell_qr(h3_index):
     return parts.getItem(1).cast("bigint"), parts.getItem(2).cast("bigint")
 
 
-def boundary_for(resolution, h3_index, resolutions=C.HEATMAP_RESOLUTIONS):
+def boundary_for(resolution, h3_index, resolutions=C.HEATMAP_RESOLUTIONS, origin: geo.Origin = geo.ORIGIN):
     q, r = cell_qr(h3_index)
     expr = None
     for label, edge in resolutions:
-        b = hexgrid.hex_boundary(q, r, edge)
+        b = hexgrid.hex_boundary(q, r, edge, origin=origin)
         expr = F.when(resolution == F.lit(label), b) if expr is None else expr.when(resolution == F.lit(label), b)
     return expr
 
 
-def hex_heatmap(silver: DataFrame, resolutions=C.HEATMAP_RESOLUTIONS) -> DataFrame:
+def hex_heatmap(silver: DataFrame, resolutions=C.HEATMAP_RESOLUTIONS, origin: geo.Origin = geo.ORIGIN) -> DataFrame:
     """Per (resolution, cell): crash_count, fatal/pedestrian/bicycle counts,
-    severity_score (sum of weights), mean incident lat/lng, boundary ring."""
+    severity_score (sum of weights), mean incident lat/lng, boundary ring.
+    ``origin`` must be the one that the cells were made with (``add_hex_cells``)."""
     per_res = F.explode(F.array(*[
         F.struct(F.lit(label).alias("resolution"), F.col(f"h3_res{label}").alias("h3_index"))
         for label, _ in resolutions]))
@@ -48,19 +49,19 @@ def hex_heatmap(silver: DataFrame, resolutions=C.HEATMAP_RESOLUTIONS) -> DataFra
                 F.sum(severity_weight(sev).cast("bigint")).alias("severity_score"),
                 geo.exact_mean(F.col("latitude")).alias("center_lat"),
                 geo.exact_mean(F.col("longitude")).alias("center_lng")))
-    return (agg.withColumn("boundary", boundary_for(F.col("resolution"), F.col("h3_index"), resolutions))
+    return (agg.withColumn("boundary", boundary_for(F.col("resolution"), F.col("h3_index"), resolutions, origin))
             .filter(F.col("boundary").isNotNull())
             .select("h3_index", "crash_count", "fatal_count", "pedestrian_count", "bicycle_count",
                     "severity_score", "center_lat", "center_lng", "boundary", "resolution"))
 
 
-def cell_boundaries(silver: DataFrame, resolutions=C.HEATMAP_RESOLUTIONS) -> DataFrame:
+def cell_boundaries(silver: DataFrame, resolutions=C.HEATMAP_RESOLUTIONS, origin: geo.Origin = geo.ORIGIN) -> DataFrame:
     """The boundary ring of every occupied cell, one row per vertex."""
     per_res = F.explode(F.array(*[
         F.struct(F.lit(label).alias("resolution"), F.col(f"h3_res{label}").alias("h3_index"))
         for label, _ in resolutions]))
     cells = silver.select(per_res.alias("c")).select("c.*").distinct()
-    return (cells.withColumn("boundary", boundary_for(F.col("resolution"), F.col("h3_index"), resolutions))
+    return (cells.withColumn("boundary", boundary_for(F.col("resolution"), F.col("h3_index"), resolutions, origin))
             .select("h3_index", "resolution", F.posexplode("boundary").alias("vertex", "pt"))
             .select("h3_index", "resolution", "vertex",
                     F.col("pt").getItem(0).alias("lng"), F.col("pt").getItem(1).alias("lat")))

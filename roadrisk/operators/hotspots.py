@@ -27,8 +27,8 @@ from roadrisk.functions import geo, hexgrid, stats
 from roadrisk.sources.tables import ensure_checkpoint_dir
 
 
-def _bin_cells(points: DataFrame, edge: float, *extra) -> DataFrame:
-    c = hexgrid.hex_of_lonlat(F.col("longitude"), F.col("latitude"), edge)
+def _bin_cells(points: DataFrame, edge: float, origin: geo.Origin, *extra) -> DataFrame:
+    c = hexgrid.hex_of_lonlat(F.col("longitude"), F.col("latitude"), edge, origin)
     return points.select(c["q"].alias("q"), c["r"].alias("r"), *extra)
 
 
@@ -73,13 +73,13 @@ def _n_cells():
 
 
 def hot_spots(points: DataFrame, bin_m: float = C.HOTSPOT_BIN_M, rings: int = C.HOTSPOT_RINGS,
-              label: str | None = None) -> DataFrame:
+              label: str | None = None, origin: geo.Origin = geo.ORIGIN) -> DataFrame:
     """G1: one row per occupied bin: bin_id, q, r, crash_count, neighbourhood
     sum and weight, z_score, p_value, classification."""
     edge = hexgrid.edge_from_flat_width(bin_m)
     label = label or f"{bin_m:g}m"
     offs = hexgrid.ring_offsets(rings)
-    counts = _bin_cells(points, edge).groupBy("q", "r").agg(F.count(F.lit(1)).alias("x"))
+    counts = _bin_cells(points, edge, origin).groupBy("q", "r").agg(F.count(F.lit(1)).alias("x"))
     fan = (counts.select("q", "r", "x", F.explode(hexgrid.offsets_array(offs)).alias("o"))
            .select((F.col("q") + F.col("o.dq")).alias("q"), (F.col("r") + F.col("o.dr")).alias("r"), "x",
                    ((F.col("o.dq") == 0) & (F.col("o.dr") == 0)).alias("self")))
@@ -102,7 +102,7 @@ def month_index(d) -> F.Column:
 
 def emerging_hot_spots(points: DataFrame, bin_m: float = C.HOTSPOT_BIN_M, rings: int = C.HOTSPOT_RINGS,
                        step_months: int = C.EMERGING_STEP_MONTHS, date_col: str = "crash_date",
-                       label: str | None = None) -> DataFrame:
+                       label: str | None = None, origin: geo.Origin = geo.ORIGIN) -> DataFrame:
     """Gi* per (bin, time step) with a space-time neighbourhood
     (spatial rings x {t, t-1}), then a Mann-Kendall trend per bin.
 
@@ -112,7 +112,7 @@ def emerging_hot_spots(points: DataFrame, bin_m: float = C.HOTSPOT_BIN_M, rings:
     edge = hexgrid.edge_from_flat_width(bin_m)
     label = label or f"{bin_m:g}m"
     offs = hexgrid.ring_offsets(rings)
-    pts = _bin_cells(points.filter(F.col(date_col).isNotNull()), edge, month_index(F.col(date_col)).alias("m"))
+    pts = _bin_cells(points.filter(F.col(date_col).isNotNull()), edge, origin, month_index(F.col(date_col)).alias("m"))
     # Count per (bin, month) first and checkpoint it (one row per occupied bin
     # and month): the month range, the study rectangle and the main plan all
     # read this small table, so the incidents are scanned once and the

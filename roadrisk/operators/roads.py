@@ -4,7 +4,7 @@ Per-road work that only looks at one road's own points (rounding, dropping
 repeats, path length, sub-path slicing) runs as higher-order functions on
 the road's array, inside its row: no shuffle, no Python. Douglas-Peucker is
 iterative, so it runs as a Spark job over all roads at once: a frontier of
-intervals, one aggregate and one join per round, ``checkpoint()`` per round.
+intervals, one aggregate, one join and one written table per round.
 The colour cycle needs a running count of kept roads per source file, which
 ``indexing.running_index`` computes without a single-task window.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from roadrisk import config as C
 from roadrisk.functions import color, geo
 from roadrisk.operators.indexing import running_index
-from roadrisk.sources.tables import ensure_checkpoint_dir
+from roadrisk.sources.tables import delete_path, ensure_checkpoint_dir, run_folder
 
 KEY = ["source", "pos"]
 
@@ -43,71 +43,68 @@ def dedup_points(ways: DataFrame, decimals: int = C.ROAD_ROUND_DECIMALS) -> Data
             .filter(F.size("points") >= 2))
 
 
-def _explode_points(paths: DataFrame, key: list[str], points_col: str) -> DataFrame:
-    return (paths.select(*key, F.posexplode(points_col).alias("idx", "pt"), F.size(points_col).alias("n"))
-            .select(*key, "idx", "n", F.col("pt").getItem(0).alias("lon"), F.col("pt").getItem(1).alias("lat")))
-
-
 def simplify(paths: DataFrame, key: list[str] = KEY, points_col: str = "points",
-             eps: float = C.SIMPLIFY_EPS_DEG, max_rounds: int = 100000,
-             materialized: bool = False) -> DataFrame:
-    """Douglas-Peucker over every path at once -> ``key + [idx, lon, lat]``
-    of the kept points (idx = position in the input array).
+             eps: float = C.SIMPLIFY_EPS_DEG, carry: list[str] | None = None) -> DataFrame:
+    """Douglas-Peucker over every path at once -> ``key + carry + [idx, lon,
+    lat]`` of the kept points (idx = position in the input array).
 
     State is the set of interior points still inside an open interval, each
-    carrying its interval (lo, hi) and endpoint coordinates. A round takes,
-    per interval, the point with the largest distance to the chord (ties to
-    the lower index) as ``max(struct(d, -idx))`` (partially aggregated, so a
-    long road does not load one task), splits where d > eps, and re-labels
-    the interval's points. Finished intervals drop out, so the state shrinks
-    every round. Each round is checkpointed to the shared checkpoint dir.
-    The input is read three times (points, end points, first/last kept), so
-    unless the caller says it is ``materialized`` it is checkpointed first.
+    carrying its interval (lo, hi) and endpoint coordinates, which it gets from
+    its own path's row when that is exploded. A round takes, per interval, the
+    point with the largest distance to the chord (ties to the lower index) as
+    ``max(struct(d, -idx))`` (partially aggregated, so a long road does not load
+    one task), splits where d > eps, marks the split point as kept and
+    re-labels the others. Finished intervals drop out, so the state shrinks
+    every round, and the loop ends when no interval splits: there is no round
+    limit. Each round is one table in a folder of its own below the shared one;
+    the kept points are checkpointed at the end and the folder is deleted.
     """
     spark = paths.sparkSession
     ensure_checkpoint_dir(spark)
-    if not materialized:
-        paths = paths.select(*key, points_col).checkpoint()
-    pts = _explode_points(paths, key, points_col)
-    first = F.element_at(points_col, 1)
-    last = F.element_at(points_col, -1)
-    ends = paths.select(*key, first.alias("a"), last.alias("b"), (F.size(points_col) - 1).alias("hi"))
-    kept = [pts.filter((F.col("idx") == 0) | (F.col("idx") == F.col("n") - 1)).select(*key, "idx", "lon", "lat")]
-    active = (pts.join(ends, key)
-              .filter((F.col("idx") > 0) & (F.col("idx") < F.col("hi")))
-              .select(*key, "idx", "lon", "lat", F.lit(0).alias("lo"), "hi",
-                      F.col("a").getItem(0).alias("alon"), F.col("a").getItem(1).alias("alat"),
-                      F.col("b").getItem(0).alias("blon"), F.col("b").getItem(1).alias("blat"))
-              .checkpoint())
-    iv = key + ["lo"]
-    for _ in range(max_rounds):
-        d = geo.point_segment_distance(F.col("lon"), F.col("lat"), F.col("alon"), F.col("alat"),
-                                       F.col("blon"), F.col("blat"))
+    carry = carry or []
+    folder = run_folder(spark, "simplify")
+
+    def saved(df: DataFrame, number: int) -> DataFrame:
+        df.write.parquet(f"{folder}/round={number}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/round={number}")
+
+    first, last = F.element_at(points_col, 1), F.element_at(points_col, -1)
+    xy = lambda p, x, y: [p.getItem(0).alias(x), p.getItem(1).alias(y)]
+    points = paths.select(*key, *carry, F.posexplode(points_col).alias("idx", "pt"), (F.size(points_col) - 1).alias("hi"),
+                          first.alias("a"), last.alias("b"))
+    state = saved(points.select(
+        *key, *carry, "idx", *xy(F.col("pt"), "lon", "lat"), F.lit(0).alias("lo"), "hi",
+        *xy(F.col("a"), "alon", "alat"), *xy(F.col("b"), "blon", "blat"),
+        ((F.col("idx") == 0) | (F.col("idx") == F.col("hi"))).alias("kept")), 0)
+    out, rounds, iv = [*key, *carry, "idx", "lon", "lat"], [state], key + ["lo"]
+    d = geo.point_segment_distance(F.col("lon"), F.col("lat"), F.col("alon"), F.col("alat"),
+                                   F.col("blon"), F.col("blat"))
+    while True:
+        active = state.filter(~F.col("kept"))
         splits = (active.withColumn("d", d)
                   .groupBy(*iv).agg(F.max(F.struct("d", (-F.col("idx")).alias("nidx"), "lon", "lat")).alias("m"))
                   .filter(F.col("m.d") > geo.lit(eps))
                   .select(*iv, (-F.col("m.nidx")).alias("s"), F.col("m.lon").alias("slon"),
-                          F.col("m.lat").alias("slat"))
-                  .checkpoint())
-        if splits.isEmpty():
-            break
-        kept.append(splits.select(*key, F.col("s").alias("idx"), F.col("slon").alias("lon"),
-                                  F.col("slat").alias("lat")))
+                          F.col("m.lat").alias("slat")))
         right = F.col("idx") > F.col("s")
-        active = (active.join(splits, iv)
-                  .filter(F.col("idx") != F.col("s"))
-                  .select(*key, "idx", "lon", "lat",
-                          F.when(right, F.col("s")).otherwise(F.col("lo")).alias("lo"),
-                          F.when(right, F.col("hi")).otherwise(F.col("s")).alias("hi"),
-                          F.when(right, F.col("slon")).otherwise(F.col("alon")).alias("alon"),
-                          F.when(right, F.col("slat")).otherwise(F.col("alat")).alias("alat"),
-                          F.when(right, F.col("blon")).otherwise(F.col("slon")).alias("blon"),
-                          F.when(right, F.col("blat")).otherwise(F.col("slat")).alias("blat"))
-                  .checkpoint())
-    out = kept[0]
-    for k in kept[1:]:
-        out = out.unionByName(k)
-    return out
+        state = saved(active.join(splits, iv).select(
+            *key, *carry, "idx", "lon", "lat",
+            F.when(right, F.col("s")).otherwise(F.col("lo")).alias("lo"),
+            F.when(right, F.col("hi")).otherwise(F.col("s")).alias("hi"),
+            F.when(right, F.col("slon")).otherwise(F.col("alon")).alias("alon"),
+            F.when(right, F.col("slat")).otherwise(F.col("alat")).alias("alat"),
+            F.when(right, F.col("blon")).otherwise(F.col("slon")).alias("blon"),
+            F.when(right, F.col("blat")).otherwise(F.col("slat")).alias("blat"),
+            (F.col("idx") == F.col("s")).alias("kept")), len(rounds))
+        if state.isEmpty():
+            break
+        rounds.append(state)
+    kept = rounds[0].filter("kept").select(*out)
+    for r in rounds[1:]:
+        kept = kept.unionByName(r.filter("kept").select(*out))
+    kept = kept.checkpoint()
+    delete_path(spark, folder)
+    return kept
 
 
 def assemble(kept: DataFrame, key: list[str] = KEY, out_col: str = "path") -> DataFrame:
@@ -135,13 +132,9 @@ def highway_class(tags) -> F.Column:
 
 def simplified_paths(ways: DataFrame, eps: float = C.SIMPLIFY_EPS_DEG) -> DataFrame:
     """R1-R4 before the length filter: source, pos, id, highway, path, length."""
-    ensure_checkpoint_dir(ways.sparkSession)
-    cleaned = (dedup_points(clean_ways(ways))
-               .select(*KEY, "id", highway_class(F.col("tags")).alias("highway"), "points")
-               .checkpoint())
-    simple = assemble(simplify(cleaned, eps=eps, materialized=True))
-    meta = cleaned.select(*KEY, "id", "highway")
-    return simple.join(meta, KEY).withColumn("length", path_length(F.col("path")))
+    meta = ["id", "highway"]
+    cleaned = dedup_points(clean_ways(ways)).select(*KEY, "id", highway_class(F.col("tags")).alias("highway"), "points")
+    return assemble(simplify(cleaned, eps=eps, carry=meta), KEY + meta).withColumn("length", path_length(F.col("path")))
 
 
 def trajectories(ways: DataFrame, eps: float = C.SIMPLIFY_EPS_DEG,

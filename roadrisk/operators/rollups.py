@@ -37,11 +37,6 @@ def severity_totals(silver: DataFrame) -> DataFrame:
     return silver.agg(F.count(F.lit(1)).alias("total_crashes"), *severity_counts())
 
 
-def date_range(silver: DataFrame) -> DataFrame:
-    """A4."""
-    return silver.agg(F.min("crash_date").alias("min_date"), F.max("crash_date").alias("max_date"))
-
-
 def top_intersections(silver: DataFrame, k: int = C.TOP_INTERSECTIONS) -> DataFrame:
     """A5: the k intersections with most incidents (ties by name).
 
@@ -69,7 +64,7 @@ def school_zone_stats(silver: DataFrame) -> DataFrame:
 
 
 def summary_stats(silver: DataFrame, k: int = C.TOP_INTERSECTIONS) -> DataFrame:
-    """One row: totals, severities, date range, school zone, top-k list.
+    """A4 + A7: one row: totals, severities, date range, school zone, top-k list.
 
     The scalar part is one aggregate; the top-k list (bounded by k) is
     attached as a scalar subquery, so there is no join.
@@ -114,6 +109,6 @@ def enrichment_summary(silver: DataFrame) -> DataFrame:
         F.count_if(F.col("near_school") == F.lit(1)).alias("near_school"))
 
 
-def top_n(df: DataFrame, col: str, n: int = 10) -> DataFrame:
-    """First n rows by a descending column."""
-    return df.orderBy(F.desc(col)).limit(n)
+def top_n(df: DataFrame, col: str, tie_cols: list[str], n: int = 10) -> DataFrame:
+    """First n rows by a descending column (nulls last), ties by ``tie_cols`` ascending."""
+    return df.orderBy(F.desc_nulls_last(col), *[F.asc(c) for c in tie_cols]).limit(n)

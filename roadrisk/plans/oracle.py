@@ -71,7 +71,8 @@ incidents_once AS (
 incidents_raw AS (
   SELECT * EXCLUDE (e) FROM incidents_once
   UNION ALL
-  SELECT * EXCLUDE (e) FROM incidents_once WHERE e % 50 = 0
+  SELECT * EXCLUDE (e) REPLACE (CASE WHEN e % 100 = 0 THEN '0000' ELSE '2359' END AS time_occ, 'Annex' AS area_name)
+  FROM incidents_once WHERE e % 50 = 0
 )"""
 
 FIELDS = C.INCIDENT_FIELDS
@@ -369,25 +370,25 @@ emerging AS (
 
 
 def kde_ctes(radius_m: float = C.KDE_RADIUS_M, cell_m: float = C.KDE_CELL_M) -> str:
-    from roadrisk.operators.density import reachable_offsets
-    offs = ", ".join(f"({di}, {dj})" for di, dj in reachable_offsets(radius_m, cell_m))
+    # Every cell of a square wider than the radius; the distance test below decides.
+    k = int(radius_m / cell_m) + 2
     c = L(cell_m)
     r2 = L(radius_m * radius_m)
     ex = f"(x - (CAST(i AS DOUBLE) + {L(0.5)}) * {c})"
     ey = f"(y - (CAST(j AS DOUBLE) + {L(0.5)}) * {c})"
     v = f"({L(1.0)} - d2 / {r2})"
-    k = 3.0 / (math.pi * radius_m * radius_m) * 1e6
+    norm = 3.0 / (math.pi * radius_m * radius_m) * 1e6
     return f""",
 kd_pos AS (SELECT x, y, sum({L(1.0)}) AS w FROM
   (SELECT {proj_x('longitude')} AS x, {proj_y('latitude')} AS y FROM silver) GROUP BY x, y),
 kd_fan AS (SELECT x, y, w, CAST(floor(x / {c}) AS BIGINT) + o.di AS i, CAST(floor(y / {c}) AS BIGINT) + o.dj AS j
-  FROM kd_pos, (SELECT * FROM (VALUES {offs}) AS t(di, dj)) o),
+  FROM kd_pos, (SELECT a.range AS di, b.range AS dj FROM range({-k}, {k + 1}) a, range({-k}, {k + 1}) b) o),
 kd_d AS (SELECT i, j, w, {ex} * {ex} + {ey} * {ey} AS d2 FROM kd_fan),
 kd AS (SELECT i, j, sum(w * {v} * {v}) AS s FROM kd_d WHERE d2 < {r2} GROUP BY i, j),
 density AS (SELECT i AS cell_i, j AS cell_j,
   {unproj_lon(f'(CAST(i AS DOUBLE) + {L(0.5)}) * {c}')} AS center_lon,
   {unproj_lat(f'(CAST(j AS DOUBLE) + {L(0.5)}) * {c}')} AS center_lat,
-  s * {L(k)} AS density FROM kd)"""
+  s * {L(norm)} AS density FROM kd)"""
 
 
 # ---------------------------------------------------------------- roads

@@ -43,19 +43,31 @@ sql("school_zone_stats", O.SILVER, """
 SELECT CAST(count_if(near_school = 1) AS BIGINT) AS school_zone_crashes,
        CAST(count_if(near_school = 1 AND severity = 'fatal') AS BIGINT) AS school_zone_fatal FROM silver""")
 
-sql("summary_stats", O.SILVER + _TOP + """,
-top1 AS (SELECT * FROM top ORDER BY crash_count DESC, intersection LIMIT 1),
-ntop AS (SELECT count(*) AS n_top FROM top)""", f"""
-SELECT count(*) AS total_crashes, {O.sev_counts()},
-  CAST(min(crash_date) AS VARCHAR) AS date_from, CAST(max(crash_date) AS VARCHAR) AS date_to,
-  CAST(count_if(near_school = 1) AS BIGINT) AS school_zone_crashes,
-  CAST(count_if(near_school = 1 AND severity = 'fatal') AS BIGINT) AS school_zone_fatal,
-  (SELECT n_top FROM ntop) AS n_top,
-  (SELECT intersection FROM top1) AS top_name,
-  (SELECT crash_count FROM top1) AS top_crashes,
-  (SELECT {rnd('lat', 5)} FROM top1) AS top_lat,
-  CAST(count_if(severity = 'fatal') AS BIGINT) AS by_severity_fatal
-FROM silver""")
+def _stats_rows(months: bool = False) -> str:
+    """One SELECT per section of the stats document."""
+    null = "CAST(NULL AS BIGINT)"
+    real = "CAST(NULL AS DOUBLE)"
+
+    def row(section, name, crashes, fatal=null, place="0", source="FROM silver", ped=null, bike=null, lat=real, lng=real):
+        return (f"SELECT '{section}' AS section, CAST({place} AS INTEGER) AS place, {name} AS name, CAST({crashes} AS BIGINT) AS crashes, "
+                f"CAST({fatal} AS BIGINT) AS fatal, {ped} AS pedestrian, {bike} AS bicycle, {lat} AS lat, {lng} AS lng {source}")
+
+    rows = [row("total", "'crashes'", "count(*)"), row("date_from", "CAST(min(crash_date) AS VARCHAR)", "NULL"),
+            row("date_to", "CAST(max(crash_date) AS VARCHAR)", "NULL"),
+            row("school_zone", "'near'", "count_if(near_school = 1)", "count_if(near_school = 1 AND severity = 'fatal')")]
+    for section in ("severity", "by_severity"):
+        rows += [row(section, f"'{s}'", f"count_if(severity = '{s}')") for s in O.C.SEVERITY_LABELS]
+    rows.append(row("top", "intersection", "crash_count", "fatal", "row_number() OVER (ORDER BY crash_count DESC, intersection) - 1",
+                    "FROM top", "pedestrian", "bicycle", rnd("lat", 5), rnd("lng", 5)))
+    if months:
+        order = "row_number() OVER (ORDER BY year_month) - 1"
+        for s in ["total", *O.C.SEVERITY_LABELS]:
+            n = "count(*)" if s == "total" else f"count_if(severity = '{s}')"
+            rows.append(row(f"month_{s}", "year_month", n, place=order, source="FROM silver GROUP BY year_month"))
+    return "\nUNION ALL\n".join(rows)
+
+
+sql("summary_stats", O.SILVER + _TOP, _stats_rows())
 
 sql("enrichment_summary", O.SILVER, """
 SELECT count(*) AS total_rows, count(DISTINCT h3_res9) AS distinct_fine_cells,
@@ -229,23 +241,7 @@ SELECT {rnd('latitude', 5)} AS lat, {rnd('longitude', 5)} AS lng, strftime(crash
   crash_hour AS hour, severity AS sev, crm_cd_desc AS "desc", location AS loc, cross_street AS "cross",
   year_month AS ym FROM silver""")
 
-sql("export_stats", O.SILVER + _TOP + """,
-top1 AS (SELECT * FROM top ORDER BY crash_count DESC, intersection LIMIT 1),
-ntop AS (SELECT count(*) AS n_top FROM top),
-months AS (SELECT year_month, count(*) AS total, CAST(count_if(severity = 'other') AS BIGINT) AS other
-           FROM silver GROUP BY year_month)""", """
-SELECT count(*) AS total_crashes, CAST(count_if(severity = 'fatal') AS BIGINT) AS fatal,
-  CAST(min(crash_date) AS VARCHAR) AS date_from, CAST(max(crash_date) AS VARCHAR) AS date_to,
-  CAST(count_if(near_school = 1) AS BIGINT) AS school_zone_crashes,
-  (SELECT n_top FROM ntop) AS n_top, (SELECT intersection FROM top1) AS top_name,
-  (SELECT crash_count FROM top1) AS top_crashes,
-  CAST(count_if(severity = 'other') AS BIGINT) AS by_severity_other,
-  (SELECT count(*) FROM months) AS n_months,
-  (SELECT min(year_month) FROM months) AS first_month,
-  (SELECT total FROM months ORDER BY year_month LIMIT 1) AS first_month_total,
-  (SELECT max(year_month) FROM months) AS last_month,
-  (SELECT other FROM months ORDER BY year_month DESC LIMIT 1) AS last_month_other
-FROM silver""")
+sql("export_stats", O.SILVER + _TOP, _stats_rows(months=True))
 
 sql("table_row_counts",
     O.SILVER + O.HOT_SPOTS + O.EMERGING + O.kde_ctes() + _heat_cte() + "," + O.POLYLINES + O.MATCH, """
@@ -258,3 +254,31 @@ UNION ALL SELECT 'gold_stats', 1
 UNION ALL SELECT 'gold_timeseries', count(DISTINCT year_month) FROM silver""")
 
 sql("ingest_incidents_stream", O.BRONZE, "SELECT * FROM bronze")
+
+sql("ingest_rejects", O.INCIDENTS_RAW.strip(), """
+SELECT 'good' AS status, count(*) AS n_lines FROM incidents_raw WHERE dr_no NOT LIKE '%7'
+UNION ALL SELECT 'rejected', count(*) FROM incidents_raw WHERE dr_no LIKE '%7'""")
+
+sql("silver_roundtrip", O.SILVER, """
+SELECT dr_no, crash_year, crash_month, crash_hour, severity, intersection, h3_res9, near_school FROM silver""")
+
+sql("top_hot_spots", O.SILVER + O.HOT_SPOTS, f"""
+SELECT bin_id, crash_count, {rnd('z_score', 4)} AS z_score, {O.classify('z_score')} AS classification FROM hs
+ORDER BY 3 DESC NULLS LAST, bin_id LIMIT 10""")
+
+sql("danger_corridors_absolute", O.SILVER + "," + O.POLYLINES + O.MATCH, f"""
+SELECT road_index, crash_count, {O.rgb_cols('crash_count', L(O.C.ABSOLUTE_COLOR_SCALE), 'color')} FROM corr""")
+
+sql("path_writeout", O.ROADS, f"""
+SELECT CAST(x.n AS BIGINT) AS n_points, p.pr AS color_r, p.pg AS color_g, p.pb AS color_b
+FROM (SELECT n_points AS n, color_index FROM rw_traj_c UNION ALL SELECT "end" - start, color_index FROM rw_sub) x
+JOIN {O.PALETTE} p ON p.ci = x.color_index""")
+
+sql("polyline_file", "poly_dummy AS (SELECT 1)", f"""
+SELECT 'P' || CAST(p_partkey AS VARCHAR) AS name, CAST(p_partkey % 10 + 1 AS BIGINT) AS n_points,
+  {O.road_lon('p_partkey', '0')} AS lon0, {O.road_lat('p_partkey', '0')} AS lat0, 0 AS color_r, 238 AS color_g, 255 AS color_b
+FROM part""")
+
+sql("verify_outputs", "names AS (SELECT * FROM (VALUES " + ", ".join(f"('{n}')" for n in (
+    "vz-heatmap", "vz-corridors", "vz-hotspots", "vz-emerging", "vz-crashes", "vz-stats")) + ") AS t(name))", """
+SELECT name, TRUE AS "exists", TRUE AS non_empty FROM names""")

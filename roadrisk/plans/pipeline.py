@@ -1,14 +1,13 @@
 """The bronze -> silver chain as lazy DataFrames.
 
 ``bronze`` and ``schools`` build the raw layers from the harness tables;
-``silver`` cleans and enriches. Gold operators take silver and return a
-DataFrame each; nothing here triggers a job.
+``silver`` cleans and enriches; ``write_silver`` stores it for the gold steps
+of a run. Gold operators take silver and return a DataFrame each. Building
+silver counts the schools (one small job, see ``operators.proximity``).
 """
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame, SparkSession
 
 from roadrisk import config as C
@@ -37,23 +36,22 @@ def silver_from(bronze_df: DataFrame, schools_df: DataFrame | None,
     return proximity.add_near_school(clean.enrich(cleaned), schools_df, radius_m)
 
 
-# Lazy silver plans per (session, input folder). Only the DataFrame object is
-# kept -- a plan, not data: every action still scans the tables and runs
-# every step. Building the plan costs seconds of driver-side analysis (large
-# fixture expressions), which every gold query would otherwise repeat.
-_SILVER_PLANS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver as a lazy plan over the raw tables, listed anew on every call."""
+    return silver_from(bronze(spark, sf_dir), schools(spark, sf_dir))
 
 
-def clear_plans(spark: SparkSession) -> None:
-    """Forget the session's memoised plans (after its inputs change)."""
-    _SILVER_PLANS.pop(spark, None)
+def write_silver(store: TableStore, silver_df: DataFrame, name: str = "silver_crashes") -> DataFrame:
+    """Store silver once, partitioned by crash_year, and return its scan. A run
+    with several gold steps reads this table instead of cleaning, deduplicating
+    and joining again for each of them."""
+    store.write(silver_df, name, partition_by=["crash_year"])
+    return store.read(name).select(*silver_df.columns)
 
 
-def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plans = _SILVER_PLANS.setdefault(spark, {})
-    if sf_dir not in plans:
-        plans[sf_dir] = silver_from(bronze(spark, sf_dir), schools(spark, sf_dir))
-    return plans[sf_dir]
+def read_silver(store: TableStore, years: list[int] | None = None, name: str = "silver_crashes") -> DataFrame:
+    """The stored silver table; ``years`` reads only those folders."""
+    return store.read(name, years=years)
 
 
 def silver_from_store(store: TableStore, schools_df: DataFrame | None, years: list[int] | None = None,

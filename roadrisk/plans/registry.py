@@ -10,6 +10,7 @@ The DuckDB twin of every query with an ``oracle`` entry lives in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,15 +72,33 @@ def q_school_zone_stats(spark, sf_dir):
 
 @query("summary_stats")
 def q_summary_stats(spark, sf_dir):
-    s = rollups.summary_stats(pipeline.silver(spark, sf_dir))
-    top = F.col("top_intersections")
-    return s.select("total_crashes", *rollups.C.SEVERITY_LABELS, "date_from", "date_to",
-                    "school_zone_crashes", "school_zone_fatal",
-                    F.size(top).cast("bigint").alias("n_top"),
-                    top.getItem(0)["name"].alias("top_name"),
-                    top.getItem(0)["crashes"].alias("top_crashes"),
-                    top.getItem(0)["lat"].alias("top_lat"),
-                    F.col("by_severity")["fatal"].alias("by_severity_fatal"))
+    return _stats_entries(rollups.summary_stats(pipeline.silver(spark, sf_dir)))
+
+
+def _entry(section, place, name, crashes, fatal=None, pedestrian=None, bicycle=None, lat=None, lng=None):
+    number = lambda c: (F.lit(None) if c is None else c).cast("bigint")
+    real = lambda c: (F.lit(None) if c is None else c).cast("double")
+    return F.struct(F.lit(section).alias("section"), place.cast("int").alias("place"), name.cast("string").alias("name"),
+                    number(crashes).alias("crashes"), number(fatal).alias("fatal"), number(pedestrian).alias("pedestrian"),
+                    number(bicycle).alias("bicycle"), real(lat).alias("lat"), real(lng).alias("lng"))
+
+
+def _stats_entries(doc, months=False):
+    """Every entry of a stats document as a row: totals, dates, severities, top list, months."""
+    zero = F.lit(0)
+    single = [_entry("total", zero, F.lit("crashes"), F.col("total_crashes")),
+              _entry("date_from", zero, F.col("date_from"), None), _entry("date_to", zero, F.col("date_to"), None),
+              _entry("school_zone", zero, F.lit("near"), F.col("school_zone_crashes"), F.col("school_zone_fatal"))]
+    single += [_entry("severity", zero, F.lit(s), F.col(s)) for s in rollups.C.SEVERITY_LABELS]
+    single += [_entry("by_severity", zero, F.lit(s), F.col("by_severity")[s]) for s in rollups.C.SEVERITY_LABELS]
+    parts = [F.array(*single), F.transform("top_intersections", lambda t, i: _entry(
+        "top", i, t["name"], t["crashes"], t["fatal"], t["pedestrian"], t["bicycle"], t["lat"], t["lng"]))]
+    if months:
+        def month(s):
+            return F.transform("timeseries", lambda t, i: _entry(f"month_{s}", i, t["month"], t[s]))
+
+        parts += [month(s) for s in ["total", *rollups.C.SEVERITY_LABELS]]
+    return doc.select(F.explode(F.concat(*parts)).alias("e")).select("e.*")
 
 
 @query("enrichment_summary")
@@ -96,6 +115,16 @@ def q_ingest_incidents(spark, sf_dir):
     return ingest.ingest_incidents(spark, landed)
 
 
+@query("ingest_rejects")
+def q_ingest_rejects(spark, sf_dir):
+    """Landed pages with broken lines: how many records came in and how many were set aside."""
+    landed = ingest.land_lines(fixtures.incident_lines(spark, sf_dir), TableStore(spark).path("landing_incidents"))
+    good = ingest.ingest_incidents(spark, landed, since=None)
+    bad = ingest.ingest_rejects(spark, landed)
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias("n_lines")).select(F.lit(name).alias("status"), "n_lines")
+    return count(good, "good").unionByName(count(bad, "rejected"))
+
+
 @query("ingest_schools")
 def q_ingest_schools(spark, sf_dir):
     store = TableStore(spark)
@@ -188,6 +217,12 @@ def q_hot_spots(spark, sf_dir):
                     r6("p_value").alias("p_value"), "classification")
 
 
+@query("top_hot_spots")
+def q_top_hot_spots(spark, sf_dir):
+    h = hotspots.hot_spots(pipeline.silver(spark, sf_dir)).withColumn("z_score", r4("z_score"))
+    return rollups.top_n(h, "z_score", ["bin_id"]).select("bin_id", "crash_count", "z_score", "classification")
+
+
 def _emerging(spark, sf_dir):
     return hotspots.emerging_hot_spots(pipeline.silver(spark, sf_dir))
 
@@ -223,8 +258,9 @@ def _rgb(col: str, prefix: str = "color"):
 
 @query("road_clean")
 def q_road_clean(spark, sf_dir):
-    w = roads.clean_ways(fixtures.ways(spark, sf_dir))
-    return w.select(F.col("pos").alias("way_id"), F.size("geometry").cast("bigint").alias("n_geometry"),
+    landed = ingest.land_lines(fixtures.way_documents(spark, sf_dir), TableStore(spark).path("landing_ways"))
+    w = roads.clean_ways(ingest.read_ways(spark, landed, lines=True))
+    return w.select(F.col("id").alias("way_id"), F.size("geometry").cast("bigint").alias("n_geometry"),
                     F.col("tags").getItem("highway").alias("highway_tag"))
 
 
@@ -266,6 +302,23 @@ def q_sub_paths(spark, sf_dir):
                     F.size("path").cast("bigint").alias("n_points"), "color_index", *_rgb("color"))
 
 
+@query("path_writeout")
+def q_path_writeout(spark, sf_dir):
+    """R8 and back: every written path record."""
+    out = roads.write_paths(roads.all_paths(_trajectories(spark, sf_dir)), TableStore(spark).path("paths"))
+    back = spark.read.schema("path array<array<double>>, color array<int>").json(out)
+    return back.select(F.size("path").cast("bigint").alias("n_points"), *_rgb("color"))
+
+
+@query("polyline_file")
+def q_polyline_file(spark, sf_dir):
+    """Road polylines landed as a file and read back."""
+    landed = ingest.land_lines(fixtures.polyline_documents(spark, sf_dir), TableStore(spark).path("landing_polylines"))
+    p = ingest.read_polylines(spark, landed, lines=True)
+    return p.select("name", F.size("path").cast("bigint").alias("n_points"), F.col("path")[0][0].alias("lon0"),
+                    F.col("path")[0][1].alias("lat0"), *_rgb("color"))
+
+
 @query("road_totals")
 def q_road_totals(spark, sf_dir):
     return roads.path_totals(roads.all_paths(_trajectories(spark, sf_dir)))
@@ -296,6 +349,12 @@ def q_danger_corridors(spark, sf_dir):
                     "pedestrian", "bicycle", "severe", *_rgb("color"), "road_name")
 
 
+@query("danger_corridors_absolute")
+def q_danger_corridors_absolute(spark, sf_dir):
+    c = _corridors(spark, sf_dir, scale="absolute")
+    return c.select("road_index", "crash_count", *_rgb("color"))
+
+
 @query("corridor_color")
 def q_corridor_color(spark, sf_dir):
     rel = _corridors(spark, sf_dir).select("crash_count").distinct()
@@ -310,11 +369,19 @@ def q_corridor_color(spark, sf_dir):
 
 @query("partitioned_roundtrip")
 def q_partitioned_roundtrip(spark, sf_dir):
-    store = TableStore(spark)
+    """S3 + S6 by catalog name (``saveAsTable``, ``spark.table``)."""
+    store = TableStore(spark, database=f"roadrisk_{uuid.uuid4().hex}")
     store.write(pipeline.bronze(spark, sf_dir), "bronze_crashes", partition_by=["crash_year"])
     return store.read("bronze_crashes")
 
 
+@query("silver_roundtrip")
+def q_silver_roundtrip(spark, sf_dir):
+    silver = pipeline.write_silver(TableStore(spark), pipeline.silver(spark, sf_dir))
+    return silver.select("dr_no", "crash_year", "crash_month", "crash_hour", "severity", "intersection",
+                         "h3_res9", "near_school")
+
+
 @query("append_roundtrip")
 def q_append_roundtrip(spark, sf_dir):
     store = TableStore(spark)
@@ -400,21 +467,7 @@ def q_export_stats(spark, sf_dir):
     silver = pipeline.silver(spark, sf_dir)
     doc = export.stats_document(rollups.summary_stats(silver), rollups.monthly_series(silver))
     path = export.write_stats(doc, f"{_export_dir(spark)}/vz-stats.json")
-    back = spark.read.json(path)
-    ts = F.col("timeseries")
-    top = F.col("top_intersections")
-    return back.select(
-        F.col("total_crashes").cast("bigint").alias("total_crashes"),
-        F.col("fatal").cast("bigint").alias("fatal"),
-        F.col("date_from"), F.col("date_to"),
-        F.col("school_zone_crashes").cast("bigint").alias("school_zone_crashes"),
-        F.size(top).cast("bigint").alias("n_top"), top[0]["name"].alias("top_name"),
-        top[0]["crashes"].cast("bigint").alias("top_crashes"),
-        F.col("by_severity")["other"].cast("bigint").alias("by_severity_other"),
-        F.size(ts).cast("bigint").alias("n_months"), ts[0]["month"].alias("first_month"),
-        ts[0]["total"].cast("bigint").alias("first_month_total"),
-        F.element_at(ts, -1)["month"].alias("last_month"),
-        F.element_at(ts, -1)["other"].cast("bigint").alias("last_month_other"))
+    return _stats_entries(spark.read.schema(doc.schema).json(path), months=True)
 
 
 GOLD_TABLES = ["gold_hotspots", "gold_emerging_hotspots", "gold_crash_density", "gold_h3_heatmap",
@@ -424,7 +477,7 @@ GOLD_TABLES = ["gold_hotspots", "gold_emerging_hotspots", "gold_crash_density",
 def write_gold(spark, sf_dir) -> TableStore:
     """Every gold table of the chain written to the table store."""
     store = TableStore(spark)
-    silver = pipeline.silver(spark, sf_dir)
+    silver = pipeline.write_silver(store, pipeline.silver(spark, sf_dir))  # cleaned once, read by every step
     store.write(hotspots.hot_spots(silver), "gold_hotspots")
     store.write(hotspots.emerging_hot_spots(silver), "gold_emerging_hotspots")
     store.write(density.kernel_density(silver), "gold_crash_density")
@@ -443,8 +496,9 @@ def q_table_row_counts(spark, sf_dir):
 @query("verify_outputs")
 def q_verify_outputs(spark, sf_dir):
     """Writes all six exports into a fresh folder, then checks the listing."""
-    root = TableStore(spark).path("exports_verify")
-    silver = pipeline.silver(spark, sf_dir)
+    store = TableStore(spark)
+    root = store.path("exports_verify")
+    silver = pipeline.write_silver(store, pipeline.silver(spark, sf_dir))
     export.write_json(export.heatmap_records(heatmap.hex_heatmap(silver)), f"{root}/vz-heatmap.json")
     export.write_json(export.corridor_records(
         corridors.danger_corridors(fixtures.road_polylines(spark, sf_dir), silver)), f"{root}/vz-corridors.json")
@@ -459,10 +513,8 @@ def q_verify_outputs(spark, sf_dir):
 @query("ingest_incidents_stream")
 def q_ingest_incidents_stream(spark, sf_dir):
     """S1 + S3 as an incremental file stream (fresh folders per call)."""
-    import uuid
-
     from roadrisk.streaming.incremental import incremental_ingest
-    base = TableStore(spark).path(f"stream-{uuid.uuid4().hex[:12]}")
+    base = TableStore(spark).path("stream")
     landed = ingest.land_json(fixtures.incidents_raw(spark, sf_dir), f"{base}/landing")
     incremental_ingest(spark, landed, f"{base}/bronze", f"{base}/_checkpoint")
     return spark.read.parquet(f"{base}/bronze")

@@ -28,6 +28,8 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
              .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
              .config("spark.sql.session.timeZone", "UTC")
+             # Checkpoint files go when nothing refers to them any more.
+             .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
              .config("spark.driver.memory", os.environ.get("ROADRISK_DRIVER_MEMORY", "8g"))
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

@@ -48,25 +48,25 @@ def corridor_records(corr: DataFrame) -> DataFrame:
                     F.coalesce(F.col("road_name"), F.lit("")).alias("road_name")))
 
 
-def _boundary(q, r, bin_m: float):
-    return hexgrid.hex_boundary(q, r, hexgrid.edge_from_flat_width(bin_m))
+def _boundary(q, r, bin_m: float, origin: geo.Origin):
+    return hexgrid.hex_boundary(q, r, hexgrid.edge_from_flat_width(bin_m), origin=origin)
 
 
-def hotspot_records(hs: DataFrame, bin_m: float = C.HOTSPOT_BIN_M) -> DataFrame:
+def hotspot_records(hs: DataFrame, bin_m: float = C.HOTSPOT_BIN_M, origin: geo.Origin = geo.ORIGIN) -> DataFrame:
     """{bin_id, crash_count, z_score (4 dp), p_value (6 dp), classification, boundary}."""
     return hs.select(
         "bin_id", "crash_count",
         geo.round_half_up(F.col("z_score"), 4).alias("z_score"),
         geo.round_half_up(F.col("p_value"), 6).alias("p_value"),
-        "classification", _boundary(F.col("q"), F.col("r"), bin_m).alias("boundary"))
+        "classification", _boundary(F.col("q"), F.col("r"), bin_m, origin).alias("boundary"))
 
 
-def emerging_records(es: DataFrame, bin_m: float = C.HOTSPOT_BIN_M) -> DataFrame:
+def emerging_records(es: DataFrame, bin_m: float = C.HOTSPOT_BIN_M, origin: geo.Origin = geo.ORIGIN) -> DataFrame:
     """{bin_id, trend, quarters_hot, latest_z (4 dp), boundary}."""
     return es.select(
         "bin_id", "trend", "quarters_hot",
         geo.round_half_up(F.col("latest_z"), 4).alias("latest_z"),
-        _boundary(F.col("q"), F.col("r"), bin_m).alias("boundary"))
+        _boundary(F.col("q"), F.col("r"), bin_m, origin).alias("boundary"))
 
 
 def crash_records(silver: DataFrame) -> DataFrame:

@@ -49,7 +49,10 @@ def incident_micro_coords(e: Column, u: Column) -> tuple[Column, Column]:
 def incidents_raw(spark: SparkSession, sf_dir: str, duplicate: bool = True) -> DataFrame:
     """Raw incident records: the 14 string fields, '' or NULL for missing.
 
-    Rows with event_id % 50 = 0 appear twice (identical) when ``duplicate``.
+    With ``duplicate``, rows with event_id % 50 = 0 have a copy of the same
+    ``dr_no`` that differs in time_occ and area_name: the copy's time is smaller
+    for event_id % 100 = 0 and larger otherwise, so either of the two may be the
+    row that the dedupe keeps.
     """
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
     e = F.col("event_id")
@@ -87,7 +90,11 @@ def incidents_raw(spark: SparkSession, sf_dir: str, duplicate: bool = True) -> D
     )
     if duplicate:
         copies = F.when(F.col("_e") % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-        out = out.withColumn("_copy", F.explode(copies)).drop("_copy")
+        copy = F.col("_copy") == 1
+        out = (out.withColumn("_copy", F.explode(copies))
+               .withColumn("time_occ", F.when(copy, F.when(F.col("_e") % 100 == 0, "0000").otherwise("2359"))
+                           .otherwise(F.col("time_occ")))
+               .withColumn("area_name", F.when(copy, F.lit("Annex")).otherwise(F.col("area_name"))).drop("_copy"))
     return out.drop("_e")
 
 
@@ -144,15 +151,6 @@ def _road_point(k: Column, i: Column) -> tuple[Column, Column]:
     return lon_m / F.lit(1e6), lat_m / F.lit(1e6)
 
 
-def road_waypoints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exploded waypoints (road_index, seq, lon, lat) of one road per part."""
-    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("road_index"))
-    k = F.col("road_index")
-    pts = part.select("road_index", F.explode(F.sequence(F.lit(0), (k % 10).cast("int"))).alias("seq"))
-    lon, lat = _road_point(k, F.col("seq").cast("bigint"))
-    return pts.select("road_index", F.col("seq").cast("int").alias("seq"), lon.alias("lon"), lat.alias("lat"))
-
-
 def road_name(k: Column) -> Column:
     return F.when(k % 3 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("ROAD "), k.cast("string")))
 
@@ -207,6 +205,25 @@ def raw_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def way_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Way elements as JSON lines (column ``value``), as an extract lands them one element per line."""
+    return raw_ways(spark, sf_dir).select(F.to_json(F.struct("type", "id", "tags", "geometry")).alias("value"))
+
+
+def polyline_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Road polylines as JSON lines (column ``value``); the part key is in the name."""
+    return road_polylines(spark, sf_dir).select(F.to_json(F.struct(
+        "path", "color", F.concat(F.lit("P"), F.col("road_index").cast("string")).alias("name"))).alias("value"))
+
+
+def incident_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw incidents as JSON lines (column ``value``); every line whose dr_no ends
+    in 7 is cut in the middle, as a broken page leaves it."""
+    raw = incidents_raw(spark, sf_dir)
+    line = F.to_json(F.struct(*raw.columns))
+    return raw.select(F.when(F.col("dr_no").endswith("7"), F.substring(line, F.lit(1), F.length(line) - 9)).otherwise(line).alias("value"))
+
+
 def ways(spark: SparkSession, sf_dir: str, source: str = "fixture") -> DataFrame:
     """Way elements with the (source, pos) key the road operators use; pos is
     the element's position, here the part key."""

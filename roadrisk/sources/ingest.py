@@ -36,11 +36,47 @@ def land_json(df: DataFrame, path: str) -> str:
     return path
 
 
+def land_lines(lines: DataFrame, path: str) -> str:
+    """Write ready-made text lines (column ``value``)."""
+    lines.select("value").write.mode("overwrite").text(path)
+    return path
+
+
+CORRUPT = "_corrupt_record"
+
+
+def _parsed(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """``value`` and ``r``, the line's record, for every line that isn't blank."""
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    record = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return lines.filter(F.trim("value") != "").withColumn("r", record)
+
+
+def _broken() -> F.Column:
+    return F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull()
+
+
+def good_records(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """The records of the lines that parse."""
+    return _parsed(lines, schema).filter(~_broken()).select(*[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields])
+
+
+def rejected_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """The lines that don't parse, as they are (column ``value``). Every line that
+    isn't blank is either a good record or a rejected line."""
+    return _parsed(lines, schema).filter(_broken()).select("value")
+
+
 def ingest_incidents(spark: SparkSession, path: str, fields=C.INCIDENT_FIELDS,
                      since: str | None = C.INGEST_SINCE) -> DataFrame:
-    """Landed JSON pages -> bronze incidents."""
-    raw = spark.read.schema(incident_schema(fields)).json(path)
-    return normalise_incidents(raw, fields, since)
+    """Landed JSON pages (one record per line) -> bronze incidents. Lines
+    that don't parse are left to ``ingest_rejects``."""
+    return normalise_incidents(good_records(spark.read.text(path), incident_schema(fields)), fields, since)
+
+
+def ingest_rejects(spark: SparkSession, path: str, fields=C.INCIDENT_FIELDS) -> DataFrame:
+    """The landed lines that ``ingest_incidents`` can't parse, to store and look into."""
+    return rejected_lines(spark.read.text(path), incident_schema(fields))
 
 
 def scalar_fields(schema: T.StructType) -> list[str]:
@@ -90,13 +126,33 @@ WAY_SCHEMA = T.StructType([
 ])
 
 
-def read_ways(spark: SparkSession, path: str) -> DataFrame:
-    """Way documents ``{"elements": [...]}`` -> one row per element with
-    its source file and position (the order the preprocessor walks them).
-
-    Each document is parsed whole by one task (multi-line JSON cannot be
-    split); for very large extracts land one document per area.
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of text files: source (file), pos (0-based, in file order, blank
+    lines not counted), value. Files are split over many tasks; lines are numbered
+    inside a split and shifted by the counts of the splits before it."""
+    raw = (spark.read.text(path)
+           .select("value", F.col("_metadata.file_path").alias("source"),
+                   F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_nth"))
+           .filter(F.trim("value") != ""))
+    earlier = Window.partitionBy("source").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (raw.groupBy("source", "_block").agg(F.count(F.lit(1)).alias("_n"))
+              .select("source", "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start")))
+    inside = F.row_number().over(Window.partitionBy("source", "_block").orderBy("_nth"))
+    return (raw.withColumn("_in", inside).join(starts, ["source", "_block"])
+            .select("source", (F.col("_start") + F.col("_in") - 1).cast("bigint").alias("pos"), "value"))
+
+
+def read_ways(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Way documents -> one row per element with its source file and
+    position (the order the preprocessor walks them).
+
+    ``lines=True`` reads one element per line, the form for large extracts: a
+    file is split over tasks. Otherwise a file is one document ``{"elements":
+    [...]}``, parsed whole by one task (multi-line JSON cannot be split).
     """
+    if lines:
+        return (numbered_lines(spark, path).withColumn("e", F.from_json("value", WAY_SCHEMA))
+                .select("source", "pos", "e.*"))
     doc = (spark.read.option("multiLine", True)
            .schema(T.StructType([T.StructField("elements", T.ArrayType(WAY_SCHEMA))]))
            .json(path)
@@ -111,14 +167,18 @@ POLYLINE_SCHEMA = T.StructType([
 ])
 
 
-def read_polylines(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array of ``{path, color, name?}`` -> one row per road with a
-    stable ``road_index`` (its position in the file).
+def read_polylines(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """``{path, color, name?}`` records -> one row per road with a stable
+    ``road_index`` (its position in the file).
 
-    A top-level JSON array yields one row per element, and a multi-line
-    document is parsed by one task, so numbering rows within each file
-    adds no grouping beyond what the read already does.
+    ``lines=True`` reads one record per line, the form for large files.
+    Otherwise a file is a JSON array: a multi-line document is parsed by one
+    task, so numbering rows within each file adds no grouping beyond what the
+    read already does.
     """
+    if lines:
+        return (numbered_lines(spark, path).withColumn("e", F.from_json("value", POLYLINE_SCHEMA))
+                .select("e.*", "source", F.col("pos").alias("road_index")))
     raw = (spark.read.option("multiLine", True).schema(POLYLINE_SCHEMA).json(path)
            .withColumn("source", F.col("_metadata.file_path"))
            .withColumn("_mid", F.monotonically_increasing_id()))

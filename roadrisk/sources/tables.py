@@ -1,15 +1,18 @@
-"""Table store: named tables as files under the cluster's shared folder.
-
-The source pipeline used ``saveAsTable`` in a lakehouse. Here a table is a
-directory under a shared root (by default next to ``spark.checkpoint.dir``),
-written with the DataFrame writer and scanned with the DataFrame reader, so
-partition pruning and column pruning apply on read. ``fmt`` may name any
-installed format (parquet by default; delta when its jar is present).
+"""Table store: named tables, as catalog tables or as files under the shared folder.
+
+``TableStore(spark, database="gold")`` writes with ``saveAsTable`` and reads
+with ``spark.table``, so SQL users find the tables by name. Without a database
+a table is a directory under a root: the one given, or a new folder next to
+``spark.checkpoint.dir`` for each store, so that two runs never overwrite each
+other's tables while a lazy reader still needs them. Partition pruning and column pruning
+apply on read either way. ``fmt`` may name any installed format (parquet by
+default; delta when its jar is present).
 """
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,25 +45,50 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage through Hadoop's file systems."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one."""
+    return f"{shared_dir(spark)}/roadrisk-tables/{name}-{uuid.uuid4().hex}"
+
+
 class TableStore:
-    """Named tables under one root folder."""
+    """Named tables of one run (a folder) or of one catalog database."""
 
-    def __init__(self, spark: SparkSession, root: str | None = None, fmt: str = "parquet"):
+    def __init__(self, spark: SparkSession, root: str | None = None, fmt: str = "parquet", database: str | None = None):
         self.spark = spark
         self.fmt = fmt
-        if root is None:
-            root = f"{shared_dir(spark)}/roadrisk-tables/{spark.sparkContext.applicationId}"
-        self.root = root.rstrip("/")
+        self.database = database
+        self.root = (root or run_folder(spark, "store")).rstrip("/")
+        if database is not None:  # a new database keeps its files below the shared folder too
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.root}'")
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def table(self, name: str) -> str:
+        """The name under which SQL finds a catalog table."""
+        return f"`{self.database}`.`{name}`"
+
     def write(self, df: DataFrame, name: str, mode: str = "overwrite",
               partition_by: list[str] | None = None) -> str:
-        """Overwrite or append a table, optionally partitioned."""
+        """Overwrite or append a table, optionally partitioned.
+
+        A partitioned write is clustered on the partition columns first, with
+        ``rebalance``: a partition is written by few tasks, and a large one is
+        split by its size, not written by one task."""
+        if partition_by:
+            df = df.hint("rebalance", *[F.col(c) for c in partition_by])
         w = df.write.format(self.fmt).mode(mode)
         if partition_by:
             w = w.partitionBy(*partition_by)
+        if self.database is not None:
+            w.saveAsTable(self.table(name))
+            return self.table(name)
         w.save(self.path(name))
         return self.path(name)
 
@@ -68,7 +96,10 @@ class TableStore:
         """Scan a table by name. ``years`` filters the partition column,
         so a table written with ``partition_by=[year_col]`` reads only
         those folders (partition pruning)."""
-        df = self.spark.read.format(self.fmt).load(self.path(name))
+        if self.database is not None:
+            df = self.spark.table(self.table(name))
+        else:
+            df = self.spark.read.format(self.fmt).load(self.path(name))
         if years is not None:
             df = df.filter(F.col(year_col).isin([int(y) for y in years]))
         return df

@@ -1,7 +1,7 @@
 """Incremental ingest of landed incident pages with Structured Streaming.
 
 The source pipeline re-fetched everything on every run. Here new pages land
-as JSON files; a file stream with the fixed all-string schema picks up only
+as JSON lines; a file stream with the fixed all-string schema picks up only
 files it has not seen, applies the same normalisation as the batch ingest
 (missing -> '', date filter, ``crash_year``) and appends to the bronze table
 partitioned by year. ``trigger(availableNow=True)`` processes what has landed
@@ -15,23 +15,29 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from roadrisk import config as C
-from roadrisk.sources.ingest import incident_schema, normalise_incidents
+from roadrisk.sources.ingest import good_records, incident_schema, normalise_incidents, rejected_lines
 
 
 def incremental_ingest(spark: SparkSession, landing_path: str, bronze_path: str, checkpoint_path: str,
                        fields=C.INCIDENT_FIELDS, since: str | None = C.INGEST_SINCE,
-                       max_files_per_trigger: int | None = None) -> str:
-    reader = spark.readStream.schema(incident_schema(fields))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    bronze = normalise_incidents(reader.json(landing_path), fields, since)
-    query = (bronze.writeStream
-             .format("parquet")
-             .option("path", bronze_path)
-             .option("checkpointLocation", checkpoint_path)
-             .partitionBy("crash_year")
-             .outputMode("append")
-             .trigger(availableNow=True)
-             .start())
-    query.awaitTermination()
+                       max_files_per_trigger: int | None = None, rejects_path: str | None = None) -> str:
+    """Appends the new pages' incidents to ``bronze_path`` and the lines that don't
+    parse to ``rejects_path`` (by default ``<bronze_path>_rejects``). The two are
+    streams with a checkpoint each, so either can be restarted alone."""
+    schema = incident_schema(fields)
+
+    def lines():
+        reader = spark.readStream
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        return reader.text(landing_path)
+
+    def start(df, path, name, partition_by=()):
+        w = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", f"{checkpoint_path}/{name}")
+        return w.partitionBy(*partition_by).outputMode("append").trigger(availableNow=True).start()
+
+    good = normalise_incidents(good_records(lines(), schema), fields, since)
+    for query in (start(good, bronze_path, "bronze", ["crash_year"]),
+                  start(rejected_lines(lines(), schema), rejects_path or f"{bronze_path}_rejects", "rejects")):
+        query.awaitTermination()
     return bronze_path

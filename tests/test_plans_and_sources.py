@@ -8,8 +8,9 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
+from roadrisk.plans import pipeline
 from roadrisk.plans.registry import QUERIES
-from roadrisk.sources import ingest
+from roadrisk.sources import fixtures, ingest
 from roadrisk.sources.tables import TableStore
 
 from conftest import SF_SMALL
@@ -37,7 +38,7 @@ def test_scan_reads_only_needed_columns(spark):
 
 def test_partition_pruning_on_year(spark):
     store = TableStore(spark)
-    QUERIES["partitioned_roundtrip"](spark, SF_SMALL).count()
+    store.write(pipeline.bronze(spark, SF_SMALL), "bronze_crashes", partition_by=["crash_year"])
     df = store.read("bronze_crashes").filter(F.col("crash_year") == 2023)
     p = plan_of(df)
     assert "PartitionFilters: [isnotnull(crash_year" in p and "= 2023)" in p
@@ -73,7 +74,8 @@ def test_read_polylines(spark):
 def test_ingest_schools_keeps_scalars_only(spark):
     rows = QUERIES["ingest_schools"](spark, SF_SMALL)
     assert set(rows.columns) == {"school_id", "school_name", "latitude", "longitude", "school_lat", "school_lon"}
-    raw = ingest.ingest_schools(spark, TableStore(spark).path("landing_schools"))
+    landed = ingest.land_json(fixtures.schools_raw(spark, SF_SMALL), TableStore(spark).path("landing_schools"))
+    raw = ingest.ingest_schools(spark, landed)
     assert "address" not in raw.columns and "grades" not in raw.columns
     assert raw.filter(F.col("latitude") == "").count() == 1
 
@@ -87,9 +89,8 @@ def test_entry_smoke(spark):
 
 def test_silver_for_some_years_prunes_partitions(spark):
     from roadrisk.operators import rollups
-    from roadrisk.plans import pipeline
     store = TableStore(spark)
-    QUERIES["partitioned_roundtrip"](spark, SF_SMALL).count()
+    store.write(pipeline.bronze(spark, SF_SMALL), "bronze_crashes", partition_by=["crash_year"])
     monthly = rollups.monthly_series(pipeline.silver_from_store(store, pipeline.schools(spark, SF_SMALL), years=[2023]))
     p = plan_of(monthly)
     assert "PartitionFilters: [isnotnull(crash_year" in p and "crash_year" in p and "2023" in p
