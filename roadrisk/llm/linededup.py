@@ -99,7 +99,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
             for r, text in enumerate(batch.column("text").to_pylist()):
                 for no, line in enumerate((text or "").split("\n")):
-                    words = line.encode().split() if line.isascii() else [w.encode() for w in line.split()]
+                    words = line.encode().split()  # at 0x20 and 0x09-0x0D
                     if words:
                         pre, suf = half_keys(words) if len(words) >= NEAR_WORDS else (None, None)
                         out.append((r, no, *line_hash(b" ".join(words)), pre, suf))
@@ -135,10 +135,9 @@ def read_again(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             for text, want in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
                 lines = text.split("\n")
                 for w in want:
-                    words = lines[w["line_no"]].split() if w["line_no"] < len(lines) else []
-                    line = " ".join(words)
-                    if line_hash(line.encode())[0] == w["h1"]:  # rows with the same doc_id may differ
-                        out.append((w["h1"], line, w["by_pre"], w["by_suf"]))
+                    line = b" ".join(lines[w["line_no"]].encode().split()) if w["line_no"] < len(lines) else b""
+                    if line_hash(line)[0] == w["h1"]:  # rows with the same doc_id may differ
+                        out.append((w["h1"], line.decode(), w["by_pre"], w["by_suf"]))
             if out:
                 yield dict(zip(("h1", "line", "by_pre", "by_suf"), map(list, zip(*out))))
         return work

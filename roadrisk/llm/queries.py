@@ -57,4 +57,59 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_pii, op2_mixing, op3_decontamination, op4_secrets, op5_html_text, op6_simhash, op7_line_dedup,
         op8_embeddings, op9_language_id, op10_token_counts)}
 
-ORACLE: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+#: DuckDB SQL for the queries that SQL can express. The others (hash functions,
+#: compressors, tokenizers, trees, random draws) are tested against brute force.
+ORACLE: dict[str, str] = {
+    # Every window of every length, compared with every run of words of that length.
+    "op3_decontamination": rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+bw AS (SELECT DISTINCT item_id, least({decontam.WINDOW}, len(w)) AS n,
+         array_to_string(w[i:i + least({decontam.WINDOW}, len(w)) - 1], ' ') AS win
+       FROM b, unnest(range(1, len(w) - least({decontam.WINDOW}, len(w)) + 2)) AS t(i) WHERE len(w) > 0),
+dw AS (SELECT rid, n, i, array_to_string(w[i:i + n - 1], ' ') AS win
+       FROM d, (SELECT DISTINCT n FROM bw) AS sizes, unnest(range(1, len(w) - n + 2)) AS t(i) WHERE len(w) >= n),
+hits AS (SELECT rid, i, n, item_id FROM dw JOIN bw USING (win, n)),
+covered AS (SELECT rid, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + n)) AS t(p) GROUP BY rid),
+items AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+          FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (rid) LEFT JOIN items USING (rid)""",
+    # All variants of all lines, as strings.
+    "op7_line_dedup": rf"""
+WITH RECURSIVE l AS (
+  SELECT doc_id, i - 1 AS line_no, regexp_extract_all(string_split(text, chr(10))[i], '[^ 	-]+') AS w
+  FROM documents, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS t(i) WHERE doc_id IS NOT NULL),
+s AS (SELECT doc_id, line_no, len(w) AS n, array_to_string(w, ' ') AS line, w FROM l WHERE len(w) > 0),
+u AS (SELECT line, any_value(w) AS w, min((doc_id, line_no)) AS place, row_number() OVER (ORDER BY line) AS id FROM s GROUP BY line),
+v AS (SELECT id, i, array_to_string(list_concat(w[1:i - 1], w[i + 1:]), ' ') AS key
+      FROM u, unnest(range(1, len(w) + 1)) AS t(i) WHERE len(w) >= {linededup.NEAR_WORDS}),
+one AS (SELECT a.id AS x, b.id AS y FROM v a JOIN v b ON a.key = b.key AND a.i = b.i AND a.id <> b.id
+        UNION SELECT u.id, v.id FROM u JOIN v ON u.line = v.key WHERE len(u.w) >= {linededup.NEAR_WORDS}),
+links AS (SELECT x, y FROM one UNION SELECT y, x FROM one),
+reach AS (SELECT DISTINCT x AS id, x AS other FROM links UNION SELECT r.id, k.y FROM reach r JOIN links k ON k.x = r.other),
+classes AS (SELECT u.line, coalesce(min(o.place), any_value(u.place)) AS first
+            FROM u LEFT JOIN reach r ON r.id = u.id LEFT JOIN u o ON o.id = r.other GROUP BY u.line),
+gone AS (SELECT doc_id, count(*) AS n, string_agg(CAST(line_no AS VARCHAR), ',' ORDER BY line_no) AS dropped
+         FROM s JOIN classes USING (line) WHERE (doc_id, line_no) <> first GROUP BY doc_id),
+lines AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(lines.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(gone.n, 0) AS BIGINT) AS n_dropped,
+  coalesce(dropped, '') AS dropped
+FROM documents d LEFT JOIN lines USING (doc_id) LEFT JOIN gone USING (doc_id)""",
+    # Every pair of a label.
+    "op8_embeddings": f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+       AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+          WHERE list_cosine_similarity(a.e, b.e) >= {embeddings.COSINE}),
+reach AS (SELECT vec_id AS x, vec_id AS y FROM v UNION SELECT r.x, k.y FROM reach r JOIN links k ON k.x = r.y),
+comp AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+n AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v LEFT JOIN comp ON comp.x = v.vec_id LEFT JOIN n ON n.x = v.vec_id""",
+}
