@@ -95,30 +95,37 @@ def hypergeometric(total: Column, marked: Column, drawn: Column, u: Column) -> C
     Twelve standard deviations either side are summed; what lies beyond is far
     below the resolution of a double."""
     d = lambda c: c.cast("double")
-    least, most = F.greatest(F.lit(0).cast("long"), drawn - (total - marked)), F.least(drawn, marked)
-    mode = F.least(most, F.greatest(least, F.floor((d(drawn) + 1) * (d(marked) + 1) / (d(total) + 2)).cast("long")))
-    p = d(marked) / F.greatest(d(total), F.lit(1.0))
-    sigma = F.sqrt(F.greatest(F.lit(0.0), d(drawn) * p * (1 - p) * (d(total) - d(drawn)) / F.greatest(d(total) - 1, F.lit(1.0))))
-    width = (F.ceil(sigma * 12) + 12).cast("long")
     none = F.array().cast("array<bigint>")
-    last, first = F.least(most, mode + width), F.greatest(least, mode - width)
-    ups = F.when(last > mode, F.sequence(mode + 1, last)).otherwise(none)
-    downs = F.when(first < mode, F.sequence(mode - 1, first, F.lit(-1).cast("long"))).otherwise(none)
-    up = lambda k: (d(marked) - d(k) + 1) * (d(drawn) - d(k) + 1) / (d(k) * (d(total) - d(marked) - d(drawn) + d(k)))  # noqa: E731  of k to k - 1
-    down = lambda k: 1 / up(k + 1)
-
-    def scan(ks, ratio, stop):
-        """(weight of the last k, sum of weights, first k at which the sum exceeds stop)"""
+    p = d(marked) / F.greatest(d(total), F.lit(1.0))
+    variance = d(drawn) * p * (1 - p) * (d(total) - d(drawn)) / F.greatest(d(total) - 1, F.lit(1.0))
+    bounds = F.struct(
+        F.greatest(F.lit(0).cast("long"), drawn - (total - marked)).alias("least"), F.least(drawn, marked).alias("most"),
+        F.floor((d(drawn) + 1) * (d(marked) + 1) / (d(total) + 2)).cast("long").alias("mode"),
+        (F.ceil(F.sqrt(F.greatest(F.lit(0.0), variance)) * 12) + 12).cast("long").alias("width"))
+
+    def ratio(k):  # of the weight of k to that of k - 1
+        return (d(marked) - d(k) + 1) * (d(drawn) - d(k) + 1) / (d(k) * (d(total) - d(marked) - d(drawn) + d(k)))
+
+    def scan(ks, step, stop):
+        """s: the sum of weights; k: the first k at which the sum exceeds stop."""
         zero = F.struct(F.lit(1.0).alias("p"), F.lit(0.0).alias("s"), F.lit(None).cast("long").alias("k"))
-        return F.aggregate(ks, zero, lambda a, k: F.struct(
-            (a["p"] * ratio(k)).alias("p"), (a["s"] + a["p"] * ratio(k)).alias("s"),
-            F.coalesce(a["k"], F.when(a["s"] + a["p"] * ratio(k) > stop, k)).alias("k")))
+        return F.aggregate(ks, zero, lambda a, k: with_value(a["p"] * step(k), lambda w: F.struct(
+            w.alias("p"), (a["s"] + w).alias("s"), F.coalesce(a["k"], F.when(a["s"] + w > stop, k)).alias("k"))))
+
+    def ranges(b, mode):
+        last, first = F.least(b["most"], mode + b["width"]), F.greatest(b["least"], mode - b["width"])
+        return F.struct(mode.alias("mode"), F.when(last > mode, F.sequence(mode + 1, last)).otherwise(none).alias("ups"),
+                        F.when(first < mode, F.sequence(mode - 1, first, F.lit(-1).cast("long"))).otherwise(none).alias("downs"))
+
+    def pick(r):
+        up, down = lambda stop: scan(r["ups"], ratio, stop), lambda stop: scan(r["downs"], lambda k: 1 / ratio(k + 1), stop)
+        never = F.lit(float("inf"))
+        return with_value(F.struct(up(never)["s"].alias("high"), down(never)["s"].alias("low")), lambda s: with_value(
+            u * (1 + s["high"] + s["low"]), lambda t: F.when(t < 1, r["mode"]).when(
+                t - 1 < s["high"], F.coalesce(up(t - 1)["k"], r["mode"])).otherwise(
+                F.coalesce(down(t - 1 - s["high"])["k"], r["mode"]))))
 
-    never = F.lit(float("inf"))
-    high, low = scan(ups, up, never)["s"], scan(downs, down, never)["s"]
-    return with_value(F.struct(high.alias("high"), low.alias("low")), lambda s: with_value(
-        u * (1 + s["high"] + s["low"]), lambda t: F.when(t < 1, mode).otherwise(F.coalesce(
-            scan(ups, up, t - 1)["k"], scan(downs, down, t - 1 - s["high"])["k"], mode))))
+    return with_value(bounds, lambda b: with_value(ranges(b, F.least(b["most"], F.greatest(b["least"], b["mode"]))), pick))
 
 
 def split_tree(roots: DataFrame, shards: int, seed: int) -> DataFrame:
@@ -150,8 +157,8 @@ def split_tree(roots: DataFrame, shards: int, seed: int) -> DataFrame:
         )).otherwise(F.array(child(F.col("lo"), F.col("hi"), F.col("quotas"), F.col("cum"))))
         nodes = nodes.select("grp", F.explode(kids).alias("c")).select("grp", "c.*")
         level += 1
-        if level % 4 == 0:
-            nodes = nodes.repartition("grp", "lo")
+        if level % 3 == 0:  # bounds the plan, and spreads the nodes as they multiply
+            nodes = stored(nodes.repartition("grp", "lo"), "tree")
     return nodes.select("grp", F.col("lo").alias("shard"), F.posexplode("quotas").alias("pos", "quota"))
 
 
