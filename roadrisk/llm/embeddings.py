@@ -13,10 +13,10 @@ Vectors that share (label, filter) are compared exactly, in double precision:
 
 * equal vectors of a label are one class with a count, so copies cost one row;
 * filters that only one class passes are dropped before any vector moves;
-* a bucket is cut into tiles of bounded size, and tile pairs are compared by
-  numpy. A pair that shares several filters counts in the smallest one only. A
-  tile pair returns a row per linked class (its number of links) and a spanning
-  forest, never the pairs;
+* a bucket is cut into tiles of bounded size, and tiles and tile pairs are
+  compared by numpy, many of them in one pack. A pair that shares several filters
+  counts in the smallest one only. A pack returns a row per linked class (its
+  number of links) and a spanning forest, never the pairs;
 * components join the forests.
 
 Codes depend on the dimension and a seed alone, not on the data, so there is
@@ -44,6 +44,7 @@ TABLES, WORDS = 4, 256
 PASSED = 32          # filters that a random vector passes on average, all tables together
 SEED = 11
 TILE = 1024          # classes in a tile
+PACK = 16384         # rows of units handled together, on average
 
 
 @functools.lru_cache(maxsize=16)
@@ -110,56 +111,67 @@ def decoded(classes: DataFrame) -> DataFrame:
                      f"class_id long, label {kind}, copies long, embedding array<double>, filters array<long>", make)
 
 
-def tile_links(filter_id: int, ids, vectors, filters, left, right, copies, cosine: float):
-    """Links between left and right (positions) that belong to this filter: pairs
-    whose smallest common filter it is. Returns positions i < j in id order."""
-    unit = vectors / np.abs(vectors).max(axis=1, keepdims=True)
-    unit = unit / np.linalg.norm(unit, axis=1, keepdims=True)
-    near = unit[left] @ unit[right].T >= cosine
-    near &= ids[left][:, None] < ids[right][None, :]
+def unit_links(filter_id: int, unit: np.ndarray, ids: np.ndarray, slot: np.ndarray, filters: list[np.ndarray],
+               cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links (positions i, j, ids[i] < ids[j]) between the classes of one bucket,
+    or of two of its tiles, that belong to this filter: pairs whose smallest common
+    filter it is."""
+    near = unit @ unit.T >= cosine
+    if np.count_nonzero(near) <= len(ids):  # nothing but the diagonal
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    near &= ids[:, None] < ids[None, :]
+    if slot[0] != slot[-1]:  # pairs inside either tile are compared elsewhere
+        near &= slot[:, None] != slot[None, :]
     i, j = np.nonzero(near)
-    if len(i):
-        lower = [f[f < filter_id] for f in filters]
-        names = np.unique(np.concatenate(lower)) if lower else np.empty(0)
-        if len(names):
-            marks = np.zeros((len(ids), len(names)), dtype=np.float32)
-            for r, f in enumerate(lower):
-                marks[r, np.searchsorted(names, f)] = 1
-            common = marks[left] @ marks[right].T
-            ok = common[i, j] == 0
-            i, j = i[ok], j[ok]
-    return left[i], right[j]
+    lower = [f[f < filter_id] for f in filters]
+    names = np.unique(np.concatenate(lower))
+    if len(i) and len(names):
+        marks = np.zeros((len(ids), len(names)), dtype=np.float32)
+        for r, f in enumerate(lower):
+            marks[r, np.searchsorted(names, f)] = 1
+        first = (marks @ marks.T)[i, j] == 0
+        i, j = i[first], j[first]
+    return i, j
 
 
 def bucket_links(rows: DataFrame, cosine: float) -> DataFrame:
-    """(class_id, other, copies): per filter and tile pair, the classes linked with
-    each class counted by their copies, and the root of its local forest in other."""
+    """(class_id, other, linked): per pack, the linked classes, each with the
+    copies of its links, and with the root of its local forest in other.
+
+    A pack holds many units, a unit being a bucket or, of a large bucket, a pair
+    of tiles; units are dealt to packs by hash."""
     ship_code(rows.sparkSession)
     schema = "class_id long, other long, linked long"
 
     def work(key, table):
         import pyarrow as pa
 
-        filter_id, a, b = (key[i].as_py() for i in range(2, 5))
-        ids = table.column("class_id").to_numpy()
-        slot = table.column("slot").to_numpy()
-        copies = table.column("copies").to_numpy()
-        vectors = np.array(table.column("embedding").to_pylist())
-        filters = [np.array(f) for f in table.column("filters").to_pylist()]
-        parts = [(np.flatnonzero(slot == a), np.flatnonzero(slot == b))]
-        if a != b:  # ids are compared in order, so both directions of a tile pair
-            parts.append(parts[0][::-1])
-        found = [tile_links(filter_id, ids, vectors, filters, x, y, copies, cosine) for x, y in parts]
-        i, j = (np.concatenate(x) for x in zip(*found))
-        linked = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
+        table = table.sort_by([(c, "ascending") for c in ("label", "filter", "a", "b", "slot", "class_id")]).combine_chunks()
+        ids, copies, slot, names = (table.column(c).to_numpy() for c in ("class_id", "copies", "slot", "filter"))
+        flat = lambda c: table.column(c).chunk(0).flatten().to_numpy(zero_copy_only=False)
+        vectors = flat("embedding").reshape(len(ids), -1)
+        unit = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+        ends = np.cumsum(table.column("filters").chunk(0).value_lengths().to_numpy())[:-1]
+        filters = np.split(flat("filters"), ends)
+        labels = np.unique(table.column("label").to_numpy(zero_copy_only=False), return_inverse=True)[1]
+        units = np.stack([labels, names, table.column("a").to_numpy(), table.column("b").to_numpy()])
+        cuts = np.flatnonzero((units[:, 1:] != units[:, :-1]).any(axis=0)) + 1
+        lefts, rights = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
+        for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ids)]):
+            if e - s > 1:
+                i, j = unit_links(names[s], unit[s:e], ids[s:e], slot[s:e], filters[s:e], cosine)
+                if len(i):
+                    lefts.append(i + s)
+                    rights.append(j + s)
+        i, j = np.concatenate(lefts), np.concatenate(rights)
+        node, place = np.unique(ids, return_inverse=True)  # a class occurs in several units
+        linked = np.bincount(place[i], copies[j], len(node)) + np.bincount(place[j], copies[i], len(node))
+        root = forest(len(node), place[i], place[j])
         some = np.flatnonzero(linked)
-        order = np.argsort(ids, kind="stable")
-        rank = np.empty(len(ids), dtype=np.int64)
-        rank[order] = np.arange(len(ids))
-        root = ids[order][forest(len(ids), rank[i], rank[j])[rank]]
-        return pa.table({"class_id": ids[some], "other": root[some], "linked": linked[some].astype(np.int64)})
+        return pa.table({"class_id": node[some], "other": node[root[some]], "linked": linked[some].astype(np.int64)})
 
-    return rows.groupBy("label", "dim", "filter", "a", "b").applyInArrow(work, schema)
+    return rows.groupBy("dim", "pack").applyInArrow(work, schema)
 
 
 def near_duplicates(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
@@ -178,6 +190,7 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
     live = passes.groupBy("label", "dim", "filter").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = (passes.join(live.hint("shuffle_merge"), ["label", "dim", "filter"])
               .groupBy("class_id", "label", "dim").agg(F.collect_list(F.struct("filter", "n")).alias("live")))
+    packs = max(1, -(-(live.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) // PACK))
     moved = index.select("class_id", "label", "dim", "copies", "embedding").join(
         shared.hint("shuffle_merge"), ["class_id", "label", "dim"])
     tiles = F.ceil(F.col("f.n") / TILE).cast("long")
@@ -186,7 +199,8 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
               .withColumn("f", F.explode("live")).withColumn("slot", slot)
               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1)))
               .select("label", "dim", F.col("f.filter").alias("filter"), F.least("slot", "other").alias("a"),
-                      F.greatest("slot", "other").alias("b"), "class_id", "copies", "slot", "embedding", "filters"))
+                      F.greatest("slot", "other").alias("b"), "class_id", "copies", "slot", "embedding", "filters")
+              .withColumn("pack", F.pmod(F.xxhash64("label", "filter", "a", "b"), F.lit(packs))))
     found = stored(bucket_links(spread, cosine), "vector-links")
 
     counts = found.groupBy("class_id").agg(F.sum("linked").alias("linked"))
