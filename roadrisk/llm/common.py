@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 import zipfile
@@ -14,16 +16,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from roadrisk.sources.tables import shared_dir
+from roadrisk.sources.tables import delete_path, shared_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_folders: dict[str, SparkSession] = {}
+
+
+@atexit.register
+def remove_folders() -> None:
+    """Delete the stored tables of this driver; their results have been written or read by then."""
+    for folder, spark in _folders.items():
+        with contextlib.suppress(Exception):  # the session may be gone
+            delete_path(spark, folder)
+    _folders.clear()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's shared checkpoint folder."""
-    return f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    """A new folder below the cluster's shared checkpoint folder, kept until the
+    driver ends (lazy results still read it) or ``remove_stored`` is called."""
+    folder = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    _folders[folder] = spark
+    return folder
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -36,11 +53,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def remove_stored(df: DataFrame) -> None:
     """Delete the files behind a table made by ``stored`` that nothing reads any more."""
-    jvm = df.sparkSession._jvm
-    conf = df.sparkSession._jsc.hadoopConfiguration()
     for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        delete_path(df.sparkSession, folder)
 
 
 def ship_code(spark: SparkSession) -> None:
@@ -66,12 +80,15 @@ def arrow_map(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.Record
     struct = T.StructType.fromDDL(schema)
     arrow = to_arrow_schema(struct)
 
+    def column(values, kind):
+        return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, type=kind)
+
     def run(batches):
         work = make()
         for batch in batches:
             if batch.num_rows:
                 for cols in work(batch):
-                    yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], type=f.type) for f in arrow], schema=arrow)
+                    yield pa.RecordBatch.from_arrays([column(cols[f.name], f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, struct)
 

@@ -235,5 +235,5 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows and columns of docs that hold no window of the benchmark."""
     bad = contamination(docs, benchmark).filter("contaminated").select(
         F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash"))
-    return docs.join(bad.hint("shuffle_merge"), F.col("doc_id").eqNullSafe(F.col("_bad_id"))
-                     & (F.xxhash64("text") == F.col("_bad_hash")), "left_anti")
+    return docs.join(bad.hint("shuffle_merge"), docs["doc_id"].eqNullSafe(bad["_bad_id"])
+                     & (F.xxhash64(docs["text"]) == bad["_bad_hash"]), "left_anti")

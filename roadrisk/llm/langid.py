@@ -96,23 +96,24 @@ def classifier(dictionaries: dict[str, bytes]):
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], keep: list[str],
              min_margin: float = MIN_MARGIN) -> DataFrame:
-    """Columns ``keep`` of ``docs`` plus lang_pred, score and accepted for every row."""
+    """``row`` (a struct of the columns ``keep``), lang_pred, score and accepted for every row of docs."""
     shared = docs.sparkSession.sparkContext.broadcast(dictionaries)
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema]
+    rows = docs.select(F.struct(*keep).alias("row"), "text")  # in a struct, so that no name can clash
+    kind = rows.schema["row"].dataType.simpleString()
 
     def make():
         predict = classifier(shared.value)
 
         def work(batch):
-            out = [predict(t) for t in batch.column("_text_in").to_pylist()]
-            yield {k: batch.column(k) for k in keep} | {
+            out = [predict(t) for t in batch.column("text").to_pylist()]
+            yield {
+                "row": batch.column("row"),
                 "lang_pred": [lang or "und" for lang, _ in out],
                 "score": [score for _, score in out],
                 "accepted": [lang is not None and score >= min_margin for lang, score in out]}
         return work
 
-    return arrow_map(docs.select(*keep, F.col("text").alias("_text_in")),
-                     ", ".join([*fields, "lang_pred string", "score double", "accepted boolean"]), make)
+    return arrow_map(rows, f"row {kind}, lang_pred string, score double, accepted boolean", make)
 
 
 def fold(doc_id: Column) -> Column:
@@ -129,10 +130,9 @@ def language_id(documents: DataFrame) -> DataFrame:
     A null doc_id counts as neither held out nor training."""
     dictionaries = fit_documents(documents)
     rows = documents.select("doc_id", "text", F.coalesce(fold(F.col("doc_id")) == 2, F.lit(False)).alias("held_out"))
-    return identify(rows, dictionaries, ["doc_id", "held_out"])
+    return identify(rows, dictionaries, ["doc_id", "held_out"]).select("row.*", "lang_pred", "score", "accepted")
 
 
 def accepted_documents(documents: DataFrame) -> DataFrame:
     """The rows of documents (all their columns) that aren't rejected."""
-    keep = documents.columns
-    return identify(documents, fit_documents(documents), keep).filter("accepted").select(*keep)
+    return identify(documents, fit_documents(documents), documents.columns).filter("accepted").select("row.*")

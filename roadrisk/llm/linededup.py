@@ -223,10 +223,9 @@ def line_report(docs: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """The rows and columns of docs, with the dropped lines gone from text. A
     document that had words and is left without any line goes."""
-    columns = docs.columns
-    drops = dropped_lines(docs).select(F.col("doc_id").alias("_drop_id"), "dropped")
-    both = docs.join(drops.hint("shuffle_merge"), F.col("doc_id") == F.col("_drop_id"), "left")
-    kept = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("dropped", i))
-    text = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    out = both.withColumn("text", text)
-    return out.filter(F.col("dropped").isNull() | F.col("text").rlike(r"\S")).select(*columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id")  # in a struct, so that no name can clash
+    both = rows.join(dropped_lines(docs).hint("shuffle_merge"), "doc_id", "left")
+    kept = F.filter(F.split("row.text", "\n", -1), lambda x, i: ~F.array_contains("dropped", i))
+    text = F.when(F.col("dropped").isNull(), F.col("row.text")).otherwise(F.array_join(kept, "\n"))
+    out = both.select("row", "dropped", text.alias("text")).filter(F.col("dropped").isNull() | F.col("text").rlike(r"\S"))
+    return out.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])

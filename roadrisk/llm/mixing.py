@@ -265,21 +265,22 @@ def mix_counts(docs: DataFrame, **options) -> DataFrame:
 
 def mix(docs: DataFrame, seed: int = 7, **options) -> DataFrame:
     """The mix itself: the rows of docs (all columns), each as often as the mix takes
-    it, with shard and copy, ordered at random inside the shards."""
+    it, with shard and copy, ordered at random inside the shards. Columns of docs
+    that are called shard or copy give way."""
     p = plan(docs, seed=seed, **options)
-    columns = docs.columns
-    rows = docs.select(*columns, size_of(F.col("text")).alias("_size"))
+    columns = [c for c in docs.columns if c not in ("shard", "copy")]
+    rows = docs.select(F.struct(*columns).alias("row"), size_of(F.col("text")).alias("size"))  # so that no name can clash
     p = p.filter((F.col("size") > 0) & (F.col("base") + F.col("extra") > 0)).select(
-        *[F.col(c).alias(f"_p_{c}") for c in ("doc_id", "source", "size", "rows", "base", "extra", "shards")])
-    both = rows.join(p, F.col("doc_id").eqNullSafe(F.col("_p_doc_id")) & F.col("source").eqNullSafe(F.col("_p_source"))
-                     & (F.col("_size") == F.col("_p_size")))
+        F.col("doc_id").alias("p_doc_id"), F.col("source").alias("p_source"), F.col("size").alias("p_size"), "rows", "base", "extra", "shards")
+    both = rows.join(p, F.col("row.doc_id").eqNullSafe(F.col("p_doc_id")) & F.col("row.source").eqNullSafe(F.col("p_source"))
+                     & (F.col("size") == F.col("p_size")))
     # Repeated rows of which the last pass takes some: at most one group for each source.
-    some = (F.col("_p_extra") > 0) & (F.col("_p_extra") < F.col("_p_rows"))
-    nth = F.row_number().over(Window.partitionBy("_p_doc_id", "_p_source", "_p_size").orderBy(F.xxhash64("text")))
-    whole = both.filter(~some).withColumn("_copies", F.col("_p_base") + (F.col("_p_extra") > 0).cast("long"))
-    partly = both.filter(some).withColumn("_copies", F.col("_p_base") + (nth <= F.col("_p_extra")).cast("long"))
-    out = whole.unionByName(partly).filter("_copies > 0").select(
-        *columns, "_p_shards", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("copy"))
-    out = out.select(*columns, F.element_at("_p_shards", F.col("copy")).alias("shard"), "copy")
-    mixed = F.xxhash64(F.lit(seed), "doc_id", "text", "copy")
-    return out.repartitionByRange("shard", mixed).sortWithinPartitions("shard", mixed)
+    some = (F.col("extra") > 0) & (F.col("extra") < F.col("rows"))
+    nth = F.row_number().over(Window.partitionBy("p_doc_id", "p_source", "p_size").orderBy(F.xxhash64("row.text")))
+    whole = both.filter(~some).withColumn("copies", F.col("base") + (F.col("extra") > 0).cast("long"))
+    partly = both.filter(some).withColumn("copies", F.col("base") + (nth <= F.col("extra")).cast("long"))
+    out = whole.unionByName(partly).filter("copies > 0").select(
+        "row", "shards", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    mixed = F.xxhash64(F.lit(seed), "row.doc_id", "row.text", "copy")
+    out = out.select("row", F.element_at("shards", F.col("copy")).alias("shard"), "copy", mixed.alias("mixed"))
+    return out.repartitionByRange("shard", "mixed").sortWithinPartitions("shard", "mixed").select("row.*", "shard", "copy")

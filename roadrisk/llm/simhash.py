@@ -193,5 +193,5 @@ def one_of_each(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int
     each group. Rows that share a doc_id are one document; one of them stays."""
     groups = near_duplicates(docs, shingle_words, radius)
     kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.dropDuplicates(["doc_id"]).join(
-        kept.hint("shuffle_merge"), F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi").select(*docs.columns)
+    own = docs.dropDuplicates(["doc_id"])
+    return own.join(kept.hint("shuffle_merge"), own["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi").select(*docs.columns)

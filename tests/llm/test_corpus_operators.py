@@ -350,7 +350,8 @@ def test_language_id_odd_rows(spark, odd):
 
 def test_pipeline_runs_on_odd_and_empty_documents(spark, odd):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    for table in (docs, odd.drop("component", "h1", "size", "fp", "pos").withColumn("shards", F.lit("x")), docs.limit(0)):
+    for table in (docs, odd.selectExpr(
+            "*", "'x' as shards", "1 as accepted", "2 as score", "3 as dropped", "4 as row", "5 as text_hash", "6 as rows", "7 as copies", "8 as _text_in"), docs.limit(0)):
         now = table
         for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
             out = common.stored(stage(spark, now, SF), name)
@@ -358,7 +359,9 @@ def test_pipeline_runs_on_odd_and_empty_documents(spark, odd):
                 assert out.columns == table.columns
                 assert out.count() <= now.count()
             now = out
-        assert "shard" in now.columns
+        assert now.columns == [*table.columns, "shard", "copy"]
+    own = docs.withColumn("shard", F.lit("mine")).withColumn("copy", F.lit("mine"))
+    assert corpus_pipeline.mix(spark, own, SF).columns == [*docs.columns, "shard", "copy"]
 
 
 def test_pipeline_stages_against_brute_force(spark):
