@@ -217,23 +217,25 @@ def check_mix(rows, limit=2):
     return target, taken
 
 
-def test_mix_reaches_its_targets(spark, odd):
+def test_mix_reaches_its_targets(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    counts = mixing.mix_counts(docs, block_words=2000, shard_words=30_000)
-    rows = counts.join(docs.select("doc_id", "source"), "doc_id").collect()
-    assert len(rows) == docs.count()
+    rows = mixing.mix_counts(docs, block_words=2000, shard_words=80_000).join(docs.select("doc_id", "source"), "doc_id").collect()
+    assert len(rows) == docs.count() and max(s for r in rows for s in r["shards"]) >= 4
     target, taken = check_mix(rows)
     for s in target:
         assert abs(taken[s] - target[s]) <= max(30, 0.01 * target[s])
-    again = mixing.mix_counts(docs.repartition(7), block_words=2000, shard_words=30_000)
-    assert counts.exceptAll(again).count() == 0
-    mixed = mixing.mix(docs, block_words=2000, shard_words=30_000)
-    per_doc = mixed.groupBy("doc_id").agg(F.sum(mixing.size_of(F.col("text"))).alias("taken"))
-    assert {r["doc_id"]: r["taken"] for r in per_doc.collect()} == {r["doc_id"]: r["taken"] for r in rows if r["taken"]}
+
+
+def test_mix_is_repeatable_and_equals_its_counts(spark, odd):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    options = {"block_words": 1000, "shard_words": 25_000}
+    counts = common.stored(mixing.mix_counts(docs, **options), "mix")
+    assert counts.exceptAll(mixing.mix_counts(docs.repartition(7), **options)).count() == 0
+    per_doc = mixing.mix(docs, **options).groupBy("doc_id").agg(F.sum(mixing.size_of(F.col("text"))).alias("taken"))
+    assert {r["doc_id"]: r["taken"] for r in per_doc.collect()} == {r["doc_id"]: r["taken"] for r in counts.collect() if r["taken"]}
     odd_rows = mixing.mix_counts(odd.drop("size")).collect()
     assert len(odd_rows) == odd.count() and all(r["taken"] == 0 for r in odd_rows if r["size"] == 0)
     assert mixing.mix_counts(docs.limit(0)).count() == 0
-    assert mixing.mix(docs.limit(0)).count() == 0
 
 
 def test_many_repeated_rows_are_one_row(spark):
