@@ -3,7 +3,8 @@
 Each language owns a zstandard raw-content dictionary made of sample texts. A
 text is compressed once with each dictionary; the language whose dictionary
 gives the fewest bytes wins. The margin between the best and the second best
-size is the score; a narrow margin means "rejected".
+size is the score; a narrow margin means "rejected". Very short texts are
+repeated first, since a few bytes are stored as they are by every dictionary.
 
 The dictionaries are the only thing learned. They come from a bounded sample of
 labelled rows (``SAMPLE_DOCS`` texts per language, at most ``PIECE_CHARS``
@@ -31,6 +32,7 @@ SAMPLE_DOCS = 160      # labelled texts per language that enter its dictionary
 PIECE_CHARS = 700      # characters taken of each
 CHUNK = 8192           # bytes compressed at a time, so that a long text doesn't become its own dictionary
 LEVEL = 5
+SHORT = 96             # shorter texts are repeated up to this size: the format has no gain to show on a few bytes
 MIN_MARGIN = 0.01      # narrower margins are rejected
 
 NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -85,6 +87,8 @@ def classifier(dictionaries: dict[str, bytes]):
         data = normalized(text).encode()
         if not data or not coders:
             return None, 0.0
+        if len(data) < SHORT:
+            data = b" ".join([data] * -(-SHORT // len(data)))
         chunks = [data[i:i + CHUNK] for i in range(0, len(data), CHUNK)]
         sizes = sorted((sum(len(z.compress(c)) for c in chunks), lang) for lang, z in coders)
         if len(sizes) == 1:
