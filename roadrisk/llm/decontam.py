@@ -23,6 +23,8 @@ the same doc_id are judged one by one. Empty tables give no hits or no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -115,20 +117,19 @@ class ShingleIndex:
                 yield at[hit], index[spot[hit]]
 
 
-def _blocks(shingles: DataFrame) -> list[list[str]]:
-    """The different values of column shingle, in driver-side blocks of bounded size."""
+def _blocks(shingles: DataFrame) -> Iterator[list[str]]:
+    """The different values of column shingle, one driver-side block of bounded
+    size at a time; one empty block if there are none."""
     own = stored(shingles.select("shingle").distinct(), "shingles")
     size = own.agg(F.coalesce(F.sum(F.octet_length("shingle") + 16), F.lit(0)).alias("b"), F.count(F.lit(1)).alias("n")).first()
-    if not size["n"]:
-        return
-    n = max(-(-size["b"] // BROADCAST_BYTES), -(-size["n"] * SHINGLE // MAX_WORDS))
+    n = max(1, -(-size["b"] // BROADCAST_BYTES), -(-size["n"] * SHINGLE // MAX_WORDS))
     for i in range(n):
         yield [r[0] for r in own.filter(F.pmod(F.xxhash64("shingle"), F.lit(n)) == i).sort("shingle").collect()]
 
 
 def shingle_counts(docs: DataFrame, shingles: DataFrame) -> DataFrame:
     """(shingle, df): occurrences of each shingle over all documents; absent ones have no row."""
-    spark, parts = docs.sparkSession, []
+    spark, counts = docs.sparkSession, None
     for block in _blocks(shingles):
         shared = spark.sparkContext.broadcast(block)
 
@@ -144,13 +145,11 @@ def shingle_counts(docs: DataFrame, shingles: DataFrame) -> DataFrame:
                 yield {"shingle": [shared.value[i] for i in some], "n": total[some]}
             return work
 
-        parts.append(arrow_map(docs.select("text"), "shingle string, n long", make))
-    if not parts:
-        return spark.createDataFrame([], "shingle string, df long")
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
-    return rows.groupBy("shingle").agg(F.sum("n").alias("df"))
+        part = arrow_map(docs.select("text"), "shingle string, n long", make).groupBy("shingle").agg(F.sum("n").alias("df"))
+        part = stored(part, "shingle-counts")
+        counts = part if counts is None else counts.unionByName(part)
+        shared.destroy()
+    return counts
 
 
 def prefix_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
@@ -167,10 +166,9 @@ def prefix_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
 def candidates(docs: DataFrame, prefixes: DataFrame) -> DataFrame:
     """A head row (pos -1) per document with its word count, and a row for each
     prefix shingle found: its place, and the words that a window around it can reach."""
-    spark, parts = docs.sparkSession, []
+    spark, rows = docs.sparkSession, None
     text_hash = F.xxhash64("text").alias("text_hash")
-    blocks = list(_blocks(prefixes)) or [[]]
-    for number, block in enumerate(blocks):
+    for number, block in enumerate(_blocks(prefixes)):
         shared = spark.sparkContext.broadcast(block)
 
         def make(shared=shared, heads=number == 0):
@@ -196,12 +194,11 @@ def candidates(docs: DataFrame, prefixes: DataFrame) -> DataFrame:
             return work
 
         id_type = docs.schema["doc_id"].dataType.simpleString()
-        parts.append(arrow_map(docs.select("doc_id", "text", text_hash), f"doc_id {id_type}, text_hash long, n_words long, "
-                               "pos int, ctx_pos int, shingle string, ctx string", make))
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
-    return stored(rows, "candidates")
+        part = stored(arrow_map(docs.select("doc_id", "text", text_hash), f"doc_id {id_type}, text_hash long, n_words long, "
+                                "pos int, ctx_pos int, shingle string, ctx string", make), "candidates")
+        rows = part if rows is None else rows.unionByName(part)
+        shared.destroy()
+    return rows
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

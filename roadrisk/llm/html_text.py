@@ -21,6 +21,7 @@ not read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 from pyspark.sql import DataFrame
@@ -84,6 +85,7 @@ def parse(html: str) -> Node:
     """The tree without what is cut. Kids are nodes and texts."""
     root = node = Node("", None, False)
     at, articles = 0, 0
+    open_: Counter[str] = Counter()
     raw = ""          # the raw-text element that is open, if any
     cut = 0           # depth below a cut element
     for m in TOKEN.finditer(html):
@@ -98,23 +100,25 @@ def parse(html: str) -> Node:
         if not tag:
             continue
         if m[1]:  # an end tag closes the nearest such element, if one is open
+            if not open_[tag]:
+                continue
             n = node
-            while n.up is not None and n.tag != tag:
+            while n.tag != tag:
                 n = n.up
-            if n.up is None:
-                continue
             while True:
+                open_[node.tag] -= 1
                 cut -= node.cut
                 articles -= node.tag in ("article", "main")
                 closed, node = node, node.up
                 if closed is n:
                     break
             continue
-        if tag in CLOSES_P or tag in SELF_CLOSING:
+        if tag in CLOSES_P and open_["p"] or tag in SELF_CLOSING:
             n = node
             while n.up is not None and n.tag not in SCOPE:
                 if n.tag == "p" and tag in CLOSES_P or tag in SELF_CLOSING.get(n.tag, ()):
                     while node is not n.up:
+                        open_[node.tag] -= 1
                         cut -= node.cut
                         node = node.up
                     break
@@ -132,6 +136,7 @@ def parse(html: str) -> Node:
             node.kids.append(new)
         articles += tag in ("article", "main")
         cut += new.cut
+        open_[tag] += 1
         node = new
     if not raw and not cut and at < len(html):
         node.kids.append(html[at:])
