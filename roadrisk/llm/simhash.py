@@ -192,6 +192,9 @@ def one_of_each(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int
     """The rows and columns of docs whose doc_id names its group: one document of
     each group. Rows that share a doc_id are one document; one of them stays."""
     groups = near_duplicates(docs, shingle_words, radius)
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id")).distinct()
-    own = docs.dropDuplicates(["doc_id"])
-    return own.join(kept.hint("shuffle_merge"), own["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi").select(*docs.columns)
+    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    # Plain equality, so that one shuffle of the texts serves both steps; a null id has a branch of its own.
+    named = docs.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).join(kept.hint("shuffle_merge"), "doc_id", "left_semi")
+    null = docs.filter(F.col("doc_id").isNull()).dropDuplicates(["doc_id"])
+    null = null.join(kept.hint("shuffle_merge"), null["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    return named.select(*docs.columns).unionByName(null.select(*docs.columns))
