@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import re
 import tempfile
 import uuid
 import zipfile
@@ -57,9 +58,20 @@ def remove_stored(df: DataFrame) -> None:
         delete_path(df.sparkSession, folder)
 
 
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 * 2 ** 20
+
+
 def ship_code(spark: SparkSession) -> None:
-    """Send this package to the executors, once for each application, so that
-    their Python workers can import it wherever the driver was started."""
+    """Prepare a session for the Python steps of this subpackage.
+
+    Arrow batches are lowered (never raised) to ``BATCH_BYTES``: a batch exists
+    several times at once, off the heap of the executor and in its Python workers.
+    And this package is sent to the executors, once for each application, so that
+    the workers can import it wherever the driver was started."""
+    size = re.fullmatch(r"(-?\d+)([kmgtp]?)b?", spark.conf.get(BATCH).strip().lower())
+    if size is None or not 0 < int(size[1]) * 1024 ** " kmgtp".index(size[2] or " ") <= BATCH_BYTES:
+        spark.conf.set(BATCH, str(BATCH_BYTES))
     context = spark.sparkContext
     if getattr(context, "_roadrisk_shipped", False):
         return
