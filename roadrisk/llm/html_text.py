@@ -33,6 +33,10 @@ ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template svg math object select".split())
+#: Of these the content is text up to their own end tag; the other raw elements hold markup.
+RAW_TEXT = frozenset("script style textarea title noscript iframe".split())
+RAW_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.I | re.A) for t in RAW_TEXT}
+FOREIGN = frozenset("svg math".split())
 CUT = RAW | frozenset("head nav footer aside form button dialog menu".split())
 BLOCK = frozenset("""address article aside blockquote body br center dd details dialog div dl dt fieldset figcaption figure
 footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul""".split())
@@ -86,17 +90,22 @@ def parse(html: str) -> Node:
     root = node = Node("", None, False)
     at, articles = 0, 0
     open_: Counter[str] = Counter()
-    raw = ""          # the raw-text element that is open, if any
+    raw = ""          # the raw element with markup that is open, if any
     cut = 0           # depth below a cut element
-    for m in TOKEN.finditer(html):
+    while m := TOKEN.search(html, at):
         tag = (m[2] or "").lower()
+        if m.start() > at and not cut and not raw:
+            node.kids.append(html[at:m.start()])
+        at = m.end()
+        if tag in RAW_TEXT and not m[1] and raw not in FOREIGN:
+            if not m[3].endswith("/"):  # the next token is its end tag, which closes nothing
+                end = RAW_END[tag].search(html, at)
+                at = end.start() if end else len(html)
+            continue
         if raw:
             if m[1] and tag == raw:
-                raw, at = "", m.end()
+                raw = ""
             continue
-        if m.start() > at and not cut:
-            node.kids.append(html[at:m.start()])
-        at = m.end()
         if not tag:
             continue
         if m[1]:  # an end tag closes the nearest such element, if one is open

@@ -123,6 +123,19 @@ def test_html_every_prefix_is_accepted():
         html_text.main_text(page[:i])
 
 
+@pytest.mark.parametrize("code", [
+    "for(i=0;i<n;i++){x()}", "if(a<b) go() // we don't", 'x = "<!-- "; y()', "a<b", "// <i don't", "s = '</scripts>'", "<!--"])
+@pytest.mark.parametrize("tag", ["script", "STYLE", "noscript"])
+def test_html_raw_text_ends_at_its_own_end_tag(code, tag):
+    page = f"<body><{tag}>{code}</{tag.title()} ><article><p>All of this is the article.</p><template><script>{code}</script></template><p>End.</p></article>"
+    assert html_text.main_text(page) == "All of this is the article. End."
+
+
+def test_html_many_raw_elements_stay_linear():
+    assert html_text.main_text("<p>a</p>" + "<script>i<n" * 100_000) == "a"
+    assert html_text.main_text("<script>i<n</script>" * 100_000 + "<p>a</p>") == "a"
+
+
 def test_html_deep_nesting_and_entities():
     assert html_text.main_text("<div>" * 3000 + "<p>deep &eacute; &#233; &nbsp;x &unknown; &am</p>") == "deep é é x &unknown; &am"
 
