@@ -4,8 +4,9 @@ The page becomes a light tree. Parts that never hold article text (navigation,
 forms, scripts, elements whose class, id or role names boilerplate, ..) are cut.
 Every paragraph then earns points for its length and its commas and passes them
 to its ancestors, halved at each step up; a container's points are discounted by
-its link density. The best container is the article, and siblings that score
-well, or are long paragraphs with few links, are kept with it.
+its link density. The article is the article or main element around the best
+container, whole. Without one it is the container with its ancestors as far up as
+they add no link-dense block, and with all siblings there that aren't link-dense.
 
 Text is taken block by block in page order: character references are decoded,
 white space inside a block becomes one space, and blocks are joined by a space.
@@ -55,7 +56,7 @@ PARTS = re.compile(r"[A-Za-z]+")
 
 LEAST_CHARS = 25        # of a paragraph to earn points
 ARTICLE_BONUS = 25.0
-SIBLING_SHARE = 0.2
+LINK_DENSE = 0.5        # share of linked characters
 
 
 class Node:
@@ -226,6 +227,50 @@ def density(n: Node) -> float:
     return n.linked / n.chars if n.chars else 0.0
 
 
+def runs(kids: list, path: Node) -> list[list]:
+    """The kids, with neighbouring texts and inline elements together; path is a block."""
+    out, inline = [], False
+    for k in kids:
+        block = k is path or isinstance(k, Node) and any(isinstance(x, Node) and x.tag in BLOCK for x, _ in walk(k))
+        if block or not inline:
+            out.append([])
+        out[-1].append(k)
+        inline = not block
+    return out
+
+
+def link_dense(run: list) -> bool:
+    chars = sum(k.chars if isinstance(k, Node) else len(k.strip()) for k in run)
+    return chars > 0 and sum(k.linked for k in run if isinstance(k, Node)) >= LINK_DENSE * chars
+
+
+def whole_article(best: Node) -> list[Node]:
+    """What to keep: the article around the best container.
+
+    That is all of the article or main element that it is in. From an article in a
+    main element (up to that), or from a container outside of both, it climbs while
+    that adds no link-dense block, and then keeps all siblings but such blocks."""
+    above, n = [], best
+    while n is not None:
+        above.append(n)
+        n = n.up
+    article = next((n for n in reversed(above) if n.tag == "article"), None)
+    main = next((n for n in above[above.index(article) if article else 0:] if n.tag == "main"), None)
+    if article and not main and article.up is not None:
+        return [k for k in article.up.kids if k is article or isinstance(k, Node) and k.tag == "article" and k.chars]
+    now = article or main or best
+    while now is not main and now.up is not None:
+        around = runs(now.up.kids, now)
+        if any(link_dense(r) for r in around if r[0] is not now):
+            kept = Node("", None, False)
+            for r in around:  # what goes still parts the text before it from the text after it
+                stays = r[0] is now or not link_dense(r) or isinstance(r[0], Node) and r[0].tag == "article"
+                kept.kids += r if stays else [Node("br", None, False)]
+            return [kept]
+        now = now.up
+    return [now]
+
+
 def main_text(html: str | None) -> str:
     root = parse(html or "")
     measure(root)
@@ -235,19 +280,7 @@ def main_text(html: str | None) -> str:
             score = item.score * (1 - density(item)) + ARTICLE_BONUS * (item.tag in ("article", "main"))
             if best is None or score > top:
                 best, top = item, score
-    if best is None:
-        best = root
-    if best.up is None or best.tag in ("article", "main", "body", "html"):
-        siblings = [best] if best.tag != "article" or best.up is None else [
-            k for k in best.up.kids if k is best or isinstance(k, Node) and k.tag == "article" and k.chars]
-        return " ".join(b for n in siblings for b in texts(n))
-    blocks = []
-    for k in best.up.kids:
-        if k is best or isinstance(k, Node) and (
-                k.score * (1 - density(k)) >= max(10.0, SIBLING_SHARE * top)
-                or k.tag in PARAGRAPH and k.chars >= 80 and density(k) < 0.25):
-            blocks += texts(k)
-    return " ".join(blocks)
+    return " ".join(b for n in whole_article(best or root) for b in texts(n))
 
 
 def page_texts(pages: DataFrame) -> DataFrame:

@@ -131,6 +131,31 @@ def test_html_raw_text_ends_at_its_own_end_tag(code, tag):
     assert html_text.main_text(page) == "All of this is the article. End."
 
 
+LONG = "".join(f"<p>Paragraph {i}, of the long body, with a comma, and another, and enough words, one thinks.</p>" for i in range(40))
+NAV = "<div><a href='/'>Home of the site</a> <a href='/n'>News of the day, all of it</a></div>"
+
+
+@pytest.mark.parametrize("n", [1, 3, 40])
+@pytest.mark.parametrize("start, end", [("<article>", "</article>"), ("<main>", "</main>"), ("<div class=wrap>", "</div>"), ("<main><article>", "</article></main>")])
+def test_html_nested_sections_are_kept_whatever_the_length(n, start, end):
+    body = "</p>".join(LONG.split("</p>")[:n]) + "</p>"
+    inner = (f"<h1>T</h1><div class=body>{body}</div><div><p>Lone one.</p><section><p>Short, but a section of its own.</p></section></div>"
+             "<p>Bye.</p>Loose <i>inline</i> text")
+    want = " ".join(re.sub(r"<[ib/][^p>]*>|<[^>]*>", lambda m: "" if m[0] in ("<i>", "</i>") else " ", inner).split())
+    assert html_text.main_text(f"<body>{NAV}<nav>no</nav>{start}{inner}{end}{NAV}</body>") == want
+
+
+def test_html_link_blocks_beside_the_container_go():
+    links = "<ul><li><a href='/1'>One more story to read</a></li><li><a href='/2'>Another story to read</a></li></ul>"
+    page = f"<body><div>{NAV}<div>Before<div>{LONG}</div>{links}<p>After, with <a href='#'>a link</a> in the text.</p></div></div></body>"
+    text = html_text.main_text(page)
+    assert text.startswith("Before Paragraph 0,") and text.endswith("one thinks. After, with a link in the text.") and "story" not in text
+
+
+def test_html_deep_inline_nesting_stays_linear():
+    assert html_text.main_text("<span>" * 30_000 + "<p>deep</p>") == "deep"
+
+
 def test_html_many_raw_elements_stay_linear():
     assert html_text.main_text("<p>a</p>" + "<script>i<n" * 100_000) == "a"
     assert html_text.main_text("<script>i<n</script>" * 100_000 + "<p>a</p>") == "a"
