@@ -28,6 +28,8 @@ becomes a component id unless its whole component has no other.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
@@ -176,12 +178,17 @@ def link_edges(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     return arrow_map(both.select("a", "b"), "src long, dst long", make)
 
 
+def with_component(by_fp: DataFrame, fps: DataFrame, radius: int) -> DataFrame:
+    """Adds component, the group of column fp."""
+    comp = connected_components(link_edges(fps, radius)).withColumnRenamed("node", "fp")
+    return by_fp.join(comp, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id for every row of docs."""
     rows = stored(fingerprints(docs.select("doc_id", "text"), ["doc_id"], shingle_words), "simhash")
     own = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    comp = connected_components(link_edges(rows, radius)).withColumnRenamed("node", "fp")
-    named = own.join(comp, "fp", "left").select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
+    named = with_component(own, rows, radius)
     low = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     classes = named.join(low, "component").select("fp", "component_id")
     return rows.join(classes, "fp").select(
@@ -189,12 +196,17 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius:
 
 
 def one_of_each(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
-    """The rows and columns of docs whose doc_id names its group: one document of
-    each group. Rows that share a doc_id are one document; one of them stays."""
-    groups = near_duplicates(docs, shingle_words, radius)
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    # Plain equality, so that one shuffle of the texts serves both steps; a null id has a branch of its own.
-    named = docs.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).join(kept.hint("shuffle_merge"), "doc_id", "left_semi")
-    null = docs.filter(F.col("doc_id").isNull()).dropDuplicates(["doc_id"])
-    null = null.join(kept.hint("shuffle_merge"), null["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    return named.select(*docs.columns).unionByName(null.select(*docs.columns))
+    """The rows and columns of docs, one row of each group: the one with the least
+    doc_id (null last) and, among rows that share it, the least hash of the row. A
+    doc_id that is null or repeated does not make different texts one document."""
+    # Null and empty texts are in one group anyway. Maps can't be hashed; rows that differ there alone are copies.
+    rest = [F.col(f"`{f.name}`") for f in docs.schema if f.name not in ("doc_id", "text") and not re.search(r"\b(map|variant)\b", f.dataType.simpleString())]
+    parts = [F.coalesce("text", F.lit("")), F.col("doc_id").isNull(), F.col("doc_id"), *rest]
+    key = ["h1", "h2"]
+    hashed = docs.select(F.struct("*").alias("row"), "doc_id", "text", F.xxhash64(*parts).alias("h1"), F.xxhash64(F.lit(1), *parts).alias("h2"))
+    fps = stored(fingerprints(hashed, ["doc_id", *key], shingle_words), "simhash")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", *key)
+    own = fps.groupBy("fp").agg(F.min(place).alias("first"))
+    kept = with_component(own, fps, radius).groupBy("component").agg(F.min("first").alias("first")).select("first.h1", "first.h2")
+    # Plain equality on one key, so that one shuffle of the texts serves both steps.
+    return hashed.select("row", *key).dropDuplicates(key).join(kept.hint("shuffle_merge"), key, "left_semi").select("row.*")

@@ -85,6 +85,24 @@ def test_simhash_groups_against_all_pairs(spark, odd):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_one_of_each_keeps_a_row_of_every_group(spark):
+    """Null and repeated ids do not make different texts one document."""
+    r = random.Random(12)
+    text = [" ".join(r.choice("abcdefghijklmnopqrstuvwxyz") * 3 + str(r.randrange(99)) for _ in range(80)) for _ in range(9)]
+    rows = [(None, text[0]), (None, text[1]), (None, text[1]), (None, text[2]), (1, text[2]), (2, text[3]), (2, text[4]), (2, text[4]),
+            (3, text[4]), (4, text[5]), (4, text[6]), (5, text[6]), (None, None), (6, ""), (4, text[7])]
+    rows = [(i, t, "en", None, n % 3) for n, (i, t) in enumerate(rows)]
+    docs = docs_of(spark, rows).selectExpr("*", "map('k', doc_id) as h1", "'z' as row", "1 as fp")
+    out = simhash.one_of_each(docs)
+    assert out.columns == docs.columns
+    want = [(None, text[0]), (None, text[1]), (1, text[2]), (2, text[3]), (2, text[4]), (4, text[5]), (4, text[6]), (4, text[7]), (6, "")]
+    key = lambda x: (str(x[0]), str(x[1]))
+    got = sorted(((x["doc_id"], x["text"], x["n_chars"]) for x in out.collect()), key=key)
+    assert [x[:2] for x in got] == sorted(want, key=key)
+    again = simhash.one_of_each(docs.repartition(5)).collect()
+    assert sorted(((x["doc_id"], x["text"], x["n_chars"]) for x in again), key=key) == got
+
+
 def test_tile_links_keep_every_component():
     r = np.random.default_rng(2)
     base = r.integers(0, 2 ** 63, 40, dtype=np.uint64)
