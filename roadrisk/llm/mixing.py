@@ -3,7 +3,9 @@
 Every document belongs to a block: a hash bucket of about ``BLOCK_WORDS`` words
 of its source, i.e. a piece of a random permutation of the source. A source that
 needs t words is drawn in passes over its permuted blocks: whole passes first,
-then a last one that ends within two blocks, where documents are taken while they fit.
+then a last one that leaves out documents longer than its rest and ends within two
+blocks, where documents are taken while they fit. Later blocks then fill what is
+open, until no document there is short enough.
 That gives every source an exact quota of block draws.
 
 The draws are dealt to output shards by a splitting tree. The root holds all
@@ -40,6 +42,7 @@ BLOCK_WORDS = 16384
 SUPER = 256               # blocks whose sizes are summed together for the prefix sums
 GROUP = 512               # sources in one vector of the tree
 SHARD_WORDS = 2 ** 22
+KEY = ["doc_id", "source", "size"]
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -189,12 +192,50 @@ def fit_of(docs: str, left: str) -> Column:
         lambda a: a["out"])
 
 
+def block_starts(docs: DataFrame) -> DataFrame:
+    """(source_no, block, words, rest, start) of the blocks of docs. Words are those of
+    documents no longer than rest; start, the words before the block in its source,
+    comes from sums of SUPER blocks, then inside them."""
+    words = F.sum(F.when(F.col("size") <= F.col("rest"), F.col("size") * F.col("rows")).otherwise(0))
+    blocks = docs.groupBy("source_no", "block").agg(words.alias("words"), F.max("rest").alias("rest"))
+    blocks = blocks.withColumn("part", F.floor(F.col("block") / SUPER).cast("long"))
+    earlier = lambda *by, order: F.coalesce(F.sum("words").over(Window.partitionBy(*by).orderBy(order).rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0))
+    parts = blocks.groupBy("source_no", "part").agg(F.sum("words").alias("words"))
+    parts = parts.select("source_no", "part", earlier("source_no", order="part").alias("before_part"))
+    blocks = blocks.withColumn("inside", earlier("source_no", "part", order="block")).join(parts, ["source_no", "part"])
+    return blocks.select("source_no", "block", "words", "rest", (F.col("before_part") + F.col("inside")).alias("start"))
+
+
+def tail_of(begun: DataFrame) -> DataFrame:
+    """The block that reaches over the rest, and those after it."""
+    return begun.filter(F.col("start") + F.col("words") > F.col("rest"))
+
+
+def tail_fit(docs: DataFrame, begun: DataFrame) -> DataFrame:
+    """(source_no, *KEY, part_extra): how many rows of the tail's documents fit, the longest of a block first."""
+    left = tail_of(begun).groupBy("source_no").agg((F.max("rest") - F.min("start")).alias("left"))
+    return (docs.filter((F.col("size") > 0) & (F.col("size") <= F.col("rest"))).join(tail_of(begun).select("source_no", "block"), ["source_no", "block"])
+            .groupBy("source_no").agg(F.collect_list(F.struct("block", (-F.col("size")).alias("by"), "u", *KEY, "rows")).alias("docs"))
+            .join(left, "source_no").select("source_no", F.sort_array("docs").alias("docs"), "left")
+            .select("source_no", "docs", F.posexplode(fit_of("docs", "left")).alias("at", "part_extra"))
+            .select("source_no", F.element_at("docs", F.col("at") + 1).alias("x"), "part_extra")
+            .select("source_no", *[F.col(f"x.{k}").alias(k) for k in KEY], "part_extra"))
+
+
+def still_open(begun: DataFrame, fit: DataFrame) -> DataFrame:
+    """(source_no, rest, after): the words that a tail leaves open, and the first block after it."""
+    tail = tail_of(begun).groupBy("source_no").agg((F.max("rest") - F.min("start")).alias("left"), (F.max("block") + 1).alias("after"))
+    used = fit.groupBy("source_no").agg(F.sum(F.col("size") * F.col("part_extra")).alias("used"))
+    return tail.join(used, "source_no").select("source_no", (F.col("left") - F.col("used")).alias("rest"), "after").filter("rest >= 1")
+
+
 def plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = MAX_REPEATS,
          block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = 7) -> DataFrame:
     """One row for each different (doc_id, source, size): rows (how many it stands
     for), source_size, target, base (whole passes), extra (how many of the rows the
     last pass takes) and shards (array, pass by pass)."""
-    key = ["doc_id", "source", "size"]
+    key = KEY
     own = docs.select("doc_id", "source", size_of(F.col("text")).alias("size")).groupBy(*key).agg(F.count(F.lit(1)).alias("rows"))
     own = stored(own, "sizes")
     words = F.sum(F.col("size") * F.col("rows"))
@@ -213,29 +254,24 @@ def plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int =
         "block", F.floor(F.col("u") * F.col("blocks")).cast("long"))
     placed = stored(placed, "placed")
 
-    # Words before each block in its source: sums of SUPER blocks, then inside them.
-    blocks = placed.groupBy("source_no", "block").agg(words.alias("words"), F.max("rest").alias("rest"))
-    blocks = blocks.withColumn("part", F.floor(F.col("block") / SUPER).cast("long"))
-    earlier = lambda *by, order: F.coalesce(F.sum("words").over(Window.partitionBy(*by).orderBy(order).rowsBetween(
-        Window.unboundedPreceding, -1)), F.lit(0))
-    parts = blocks.groupBy("source_no", "part").agg(F.sum("words").alias("words"))
-    parts = parts.select("source_no", "part", earlier("source_no", order="part").alias("before_part"))
-    blocks = blocks.withColumn("inside", earlier("source_no", "part", order="block")).join(parts, ["source_no", "part"])
-    blocks = stored(blocks.select("source_no", "block", "words", "rest", (F.col("before_part") + F.col("inside")).alias("start")), "blocks")
-    # A source's last pass ends in its tail: the block that reaches over the rest, and
-    # the ones that begin less than a block later, whose small documents fill the gap.
-    begun = blocks.filter((F.col("rest") > 0) & (F.col("start") < F.col("rest") + block_words))
-    tail = begun.filter(F.col("start") + F.col("words") > F.col("rest"))
-    left = tail.groupBy("source_no").agg((F.max("rest") - F.min("start")).alias("left"))
-    inside = (placed.filter(F.col("size") > 0).join(tail.select("source_no", "block"), ["source_no", "block"])
-              .groupBy("source_no").agg(F.collect_list(F.struct("block", (-F.col("size")).alias("by"), "u", *key, "rows")).alias("docs"))
-              .join(left, "source_no").select(F.sort_array("docs").alias("docs"), "left")
-              .select("docs", F.posexplode(fit_of("docs", "left")).alias("at", "part_extra"))
-              .select(F.element_at("docs", F.col("at") + 1).alias("x"), "part_extra")
-              .select(*[F.col(f"x.{k}").alias(k) for k in key], "part_extra"))
+    # A source's last pass ends in its tail. What it leaves open, because documents there
+    # are too long, later blocks fill with documents that are short enough.
+    blocks = stored(block_starts(placed), "blocks")
+    begun = first_begun = blocks.filter((F.col("words") > 0) & (F.col("start") < F.col("rest") + block_words))
+    inside = stored(tail_fit(placed, begun), "tail")
+    fills, state = [], stored(still_open(begun, inside), "open")
+    while (most := state.agg(F.max("rest")).first()[0]) is not None:
+        some = (placed.filter((F.col("size") > 0) & (F.col("size") <= most)).drop("rest").join(state.hint("shuffle_merge"), "source_no")
+                .filter((F.col("block") >= F.col("after")) & (F.col("size") <= F.col("rest"))))
+        some = stored(some, "short")
+        begun = stored(block_starts(some).filter(F.col("start") < F.col("rest") + block_words), "begun")
+        fit = stored(tail_fit(some, begun), "fill")
+        whole = some.join(begun.filter(F.col("start") + F.col("words") <= F.col("rest")).select("source_no", "block"), ["source_no", "block"])
+        fills += [fit, whole.select("source_no", *key, F.col("rows").alias("part_extra"))]
+        state = stored(still_open(begun, fit), "open")
 
     # Quotas of block draws, dealt to the shards by the tree; consecutive draws form the shards.
-    drawn = begun.groupBy("source_no").agg((F.max("block") + 1).alias("n_extra"))
+    drawn = first_begun.groupBy("source_no").agg((F.max("block") + 1).alias("n_extra"))
     quotas = sources.join(drawn, "source_no", "left").select(
         "source_no", (F.col("base") * F.col("blocks") + F.coalesce("n_extra", F.lit(0))).alias("quota"))
     to = F.sum("quota").over(Window.partitionBy("source_no").orderBy("shard"))
@@ -246,12 +282,21 @@ def plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int =
              .agg(F.transform(F.sort_array(F.collect_list(F.struct("draw", "shard"))), lambda x: x["shard"]).alias("shards")))
 
     same = lambda a, b: reduce(lambda x, y: x & y, [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in key])
-    full = F.coalesce(F.col("b.start") + F.col("b.words") <= F.col("b.rest"), F.lit(False))
+    full = F.coalesce((F.col("d.size") <= F.col("b.rest")) & (F.col("b.start") + F.col("b.words") <= F.col("b.rest")), F.lit(False))
     extra = F.when(F.col("d.size") == 0, 0).when(full, F.col("d.rows")).otherwise(F.coalesce("i.part_extra", F.lit(0)))
+    inside = inside.withColumn("fill_shard", F.lit(None).cast("int"))
+    if fills:  # documents from later blocks take the shard of one of the last pass's draws
+        late = reduce(DataFrame.unionByName, fills).filter("part_extra > 0").join(drawn, "source_no").join(
+            sources.select("source_no", "base"), "source_no").withColumn(
+            "block", F.floor(uniform(F.lit(seed + 2), F.col("doc_id"), F.col("source"), F.col("size")) * F.col("n_extra")).cast("long"))
+        late = late.join(draws, ["source_no", "block"]).withColumn("fill_shard", F.element_at("shards", F.col("base").cast("int") + 1))
+        inside = inside.unionByName(late.select(*inside.columns))
     out = (placed.alias("d").join(blocks.alias("b"), ["source_no", "block"])
            .join(draws.alias("s"), ["source_no", "block"], "left").join(inside.alias("i"), same("d", "i"), "left"))
+    shards_of = F.when(F.col("i.fill_shard").isNull(), F.col("s.shards")).otherwise(
+        F.concat(F.coalesce("s.shards", F.array().cast("array<int>")), F.array("i.fill_shard")))
     return out.select(*[F.col(f"d.{k}") for k in key], "d.rows", "d.source_size", "d.target", "d.base",
-                      extra.cast("long").alias("extra"), "s.shards", "d.u")
+                      extra.cast("long").alias("extra"), shards_of.alias("shards"), "d.u")
 
 
 def mix_counts(docs: DataFrame, **options) -> DataFrame:

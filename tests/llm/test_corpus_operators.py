@@ -264,6 +264,21 @@ def test_many_repeated_rows_are_one_row(spark):
     assert mixing.mix(docs).count() == sum(r["taken"] // r["size"] for r in rows)
 
 
+@pytest.mark.parametrize("long_, place", [(300_000, 0.45), (600_000, 0.3), (900_000, 0.3)])
+def test_mix_fills_up_beside_a_very_long_document(spark, long_, place):
+    """One source of 1,000,000 words; its very long document lies where the last pass ends."""
+    at = spark.range(1000).select("id", mixing.uniform(F.lit(7), F.col("id"), F.lit("s"), F.lit(long_).cast("long")).alias("u"))
+    doc_id = min(at.collect(), key=lambda r: abs(r["u"] - place))["id"]
+    small = spark.range(1000, 1000 + (1_000_000 - long_) // 50).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), F.lit(50)).alias("text"))
+    docs = small.unionByName(spark.createDataFrame([(doc_id, "w " * long_)], "doc_id long, text string")).withColumn("source", F.lit("s"))
+    rows = mixing.mix_counts(docs).withColumn("source", F.lit("s")).collect()
+    assert len(rows) == docs.count() and {r["source_size"] for r in rows} == {1_000_000}
+    taken = check_mix(rows)[1]["s"]
+    # All short documents twice is the most that can be had without the long one.
+    assert 0 <= 1_500_000 - taken <= max(50, 1_500_000 - (2 * 1_000_000 - long_))
+    assert all(s is not None for r in rows for s in r["shards"])
+
+
 def test_hypergeometric_draws(spark):
     """Means and variances of many draws, and every draw within its bounds."""
     cases = [(100, 30, 50), (10, 10, 4), (10, 0, 4), (1_000_000, 300_000, 500_000), (7, 3, 7), (50, 49, 1)]
