@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadrisk.llm import decontam, embeddings, html_text, langid, linededup, mixing, pii, secrets, simhash, tokens
+from roadrisk.llm import (bpe, decontam, embeddings, html_text, langid, linededup, mixing, pii, runs, secrets, simhash, tokens,
+                          whitening)
 from roadrisk.llm.common import table
 
 
@@ -52,10 +53,24 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_report(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op13_bpe_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.coding_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pii, op2_mixing, op3_decontamination, op4_secrets, op5_html_text, op6_simhash, op7_line_dedup,
-        op8_embeddings, op9_language_id, op10_token_counts)}
+        op8_embeddings, op9_language_id, op10_token_counts, op11_periodic_runs, op12_whitening, op13_bpe_coding)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -82,7 +97,8 @@ FROM d LEFT JOIN covered USING (rid) LEFT JOIN items USING (rid)""",
     # All variants of all lines, as strings.
     "op7_line_dedup": rf"""
 WITH RECURSIVE l AS (
-  SELECT doc_id, i - 1 AS line_no, regexp_extract_all(string_split(text, chr(10))[i], '[^ 	-]+') AS w
+  SELECT doc_id, i - 1 AS line_no, regexp_extract_all(string_split(text, chr(10))[i], '[^ 	-
+]+') AS w
   FROM documents, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS t(i) WHERE doc_id IS NOT NULL),
 s AS (SELECT doc_id, line_no, len(w) AS n, array_to_string(w, ' ') AS line, w FROM l WHERE len(w) > 0),
 u AS (SELECT line, any_value(w) AS w, min((doc_id, line_no)) AS place, row_number() OVER (ORDER BY line) AS id FROM s GROUP BY line),
@@ -112,4 +128,30 @@ comp AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
 n AS (SELECT x, count(*) AS n FROM links GROUP BY x)
 SELECT vec_id, coalesce(n.n, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM v LEFT JOIN comp ON comp.x = v.vec_id LEFT JOIN n ON n.x = v.vec_id""",
+    # Every pair of equal words of a text; consecutive pairs at one distance are a repetition.
+    "op11_periodic_runs": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w0,
+    xor(list_reduce(flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+          lambda ch: [CAST(ascii(ch) AS BIGINT), 0, 0, 0, 0, 0, 0, 0])),
+        lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1)), 4294967295), 4294967295) AS h
+  FROM documents),
+t AS (SELECT *, CAST(len(w0) AS BIGINT) AS n, h // 10 AS g FROM d),
+t2 AS (SELECT *, CASE WHEN n > 0 THEN g % n ELSE 0 END AS a FROM t),
+w AS (SELECT rid, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+        THEN list_transform(range(n), lambda i: w0[(CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END) + 1])
+        ELSE w0 END AS w FROM t2),
+u AS (SELECT rid, n, i, w[i + 1] AS word FROM w, unnest(range(n)) AS x(i)),
+pairs AS (SELECT a.rid, b.i - a.i AS q, a.i FROM u a JOIN u b ON a.rid = b.rid AND a.word = b.word AND b.i > a.i AND b.i - a.i <= a.n // 4),
+islands AS (SELECT rid, q, i, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS k FROM pairs),
+repeats AS (SELECT rid, q, min(i) AS s, count(*) + q AS l FROM islands GROUP BY rid, q, k HAVING count(*) >= 3 * q AND count(*) + q >= 6),
+runs AS (SELECT rid, s, l, min(q) AS q FROM repeats GROUP BY rid, s, l),
+gone AS (SELECT DISTINCT rid, i FROM runs, unnest(range(s + q, s + l)) AS x(i)),
+kept AS (SELECT u.rid, string_agg(word, ' ' ORDER BY i) AS body FROM u ANTI JOIN gone ON gone.rid = u.rid AND gone.i = u.i GROUP BY u.rid),
+listed AS (SELECT rid, count(*) AS n, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM runs GROUP BY rid),
+best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY rid ORDER BY l DESC, s, q) = 1)
+SELECT w.doc_id, CAST(coalesce(listed.n, 0) AS BIGINT) AS n_runs, CAST(best.s AS BIGINT) AS start, CAST(best.l AS BIGINT) AS length,
+  CAST(best.q AS BIGINT) AS period, CAST(1000 * best.l // best.q AS BIGINT) AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256
+FROM w LEFT JOIN listed USING (rid) LEFT JOIN best USING (rid) LEFT JOIN kept USING (rid)""",
 }
