@@ -1,12 +1,22 @@
 """Main text of web pages by tree scoring.
 
-The page becomes a light tree. Parts that never hold article text (navigation,
-forms, scripts, elements whose class, id or role names boilerplate, ..) are cut.
-Every paragraph then earns points for its length and its commas and passes them
-to its ancestors, halved at each step up; a container's points are discounted by
-its link density. The article is the article or main element around the best
-container, whole. Without one it is the container with its ancestors as far up as
-they add no link-dense block, and with all siblings there that aren't link-dense.
+The page becomes a light tree. Elements that never hold article text (navigation,
+footers, asides, scripts, hidden parts, ..) are cut at once. Every paragraph then earns
+points for its length and its commas and passes them to its ancestors, halved at each
+step up; a container's points are discounted by its link density.
+
+Names only vote. An element whose class or id names boilerplate (words of a name are split
+at signs, at capitals and at common endings; a word after ``no``, ``has`` or ``with`` says
+what the page has, not what the element is) and a form go, unless the tree speaks
+against it: it holds the article or main element, or most of the page's points. Words that also
+occur in articles (``related``, ``social``, ..) beside a word of their own, as in
+``related-work``, vote only against parts without points or with many links. Blocks
+of reader comments stay out whatever their points, unless the main element is in them.
+
+The article is the article or main element around the best container, whole. Without one
+it is the container with its ancestors as far up as they add no link-dense block, and with
+all siblings there that aren't link-dense. Article elements beside the article belong to it
+unless they are teasers: dense with links, or linking on with few points of their own.
 
 Text is taken block by block in page order: character references are decoded,
 white space inside a block becomes one space, and blocks are joined by a space.
@@ -38,7 +48,7 @@ RAW = frozenset("script style textarea title noscript iframe template svg math o
 RAW_TEXT = frozenset("script style textarea title noscript iframe".split())
 RAW_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.I | re.A) for t in RAW_TEXT}
 FOREIGN = frozenset("svg math".split())
-CUT = RAW | frozenset("head nav footer aside form button dialog menu".split())
+CUT = RAW | frozenset("head nav footer aside button dialog menu".split())
 BLOCK = frozenset("""address article aside blockquote body br center dd details dialog div dl dt fieldset figcaption figure
 footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul""".split())
 PARAGRAPH = frozenset("p pre td li dd blockquote h1 h2 h3 h4 h5 h6".split())
@@ -47,12 +57,26 @@ CLOSES_P = BLOCK - {"br"}
 SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 SCOPE = frozenset("table ul ol dl div section article main body html".split())
 
-BOILERPLATE = frozenset("""ad ads advert adverts advertisement advertising adsense banner banners sponsor sponsored promo promotion nav navbar
-navigation menu breadcrumb breadcrumbs sidebar rail aside footer comment comments disqus cookie cookies consent gdpr notice notices popup modal
-overlay share sharing social related recommended newsletter subscribe signup login pager pagination toolbar widget skip outbrain taboola""".split())
+#: Words that name boilerplate by themselves; of these COMMENTS name what readers wrote.
+COMMENTS = frozenset("comment comments disqus".split())
+BOILERPLATE = COMMENTS | frozenset("""ad ads advert adverts advertisement advertising adsense banner banners sponsor sponsored promo promotion nav
+navbar menu breadcrumb breadcrumbs cookie cookies consent gdpr popup modal overlay newsletter subscribe signup login pager pagination
+toolbar outbrain taboola""".split())
+#: Words that do so alone or beside NEUTRAL words; beside others they may belong to an article.
+ANSWERS = frozenset("responses replies respond reactions".split())
+MAYBE = ANSWERS | frozenset("navigation sidebar rail aside footer notice notices share sharing social related recommended widget skip".split())
+NEUTRAL = frozenset("""a an the and of by my our this all more other top bottom left right center inner outer first last main primary secondary
+area bar block blocks body box button buttons card cards col column container content contents feed form frame grid group head header heading
+holder icon icons inline item items label link links list lists media module modules news panel post posts article articles story stories
+row section site page segment slot stream text thread title tray unit user users view wrap wrapper zone global fixed sticky mobile desktop
+small large js col lg md sm xs""".split())
+DENIES = frozenset("no not non has have having with without hide hides show shows enable enabled disable disabled open closed".split())
+ENDINGS = tuple(sorted(NEUTRAL | {"s", "er", "wrap", "ing"}, key=len, reverse=True))
 PAGE_HEADER = frozenset("header masthead topbar".split())
 ROLES = frozenset("navigation banner contentinfo complementary dialog alert alertdialog search form menu menubar".split())
-PARTS = re.compile(r"[A-Za-z]+")
+PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+#: How an element's names vote: against text of any kind, against all but the main element, or with doubt.
+CLEAR, READERS, DOUBT = 1, 2, 3
 
 LEAST_CHARS = 25        # of a paragraph to earn points
 ARTICLE_BONUS = 25.0
@@ -60,32 +84,77 @@ LINK_DENSE = 0.5        # share of linked characters
 
 
 class Node:
-    __slots__ = ("tag", "up", "kids", "score", "chars", "linked", "cut")
+    __slots__ = ("tag", "up", "kids", "score", "chars", "linked", "cut", "vote", "points", "holds")
 
-    def __init__(self, tag: str, up: Node | None, cut: bool):
+    def __init__(self, tag: str, up: Node | None, cut: bool, vote: int = 0):
         self.tag, self.up, self.kids = tag, up, []
         self.score, self.chars, self.linked = 0.0, 0, 0
         self.cut = cut
+        self.vote = vote      # of its names against it
+        self.points = 0.0     # of all paragraphs below
+        self.holds = 0        # 1: an article element that isn't voted against, 2: a main element
+
+
+def name_words(name: str) -> list[str]:
+    """The words of one class name or id: parts, with joined endings taken off listed words."""
+    out = []
+    for part in PARTS.findall(name):
+        part = part.lower()
+        if part not in BOILERPLATE and part not in MAYBE and part not in NEUTRAL:
+            for end in ENDINGS:
+                start = part[:-len(end)]
+                if part.endswith(end) and len(start) > 2 and (start in BOILERPLATE or start in MAYBE):
+                    part = start
+                    break
+        out.append(part)
+    return out
+
 
+def name_vote(name: str) -> int:
+    words = name_words(name)
+    told = [w for i, w in enumerate(words) if not any(x in DENIES for x in words[:i])]
+    if any(w in COMMENTS for w in told):
+        return READERS
+    if any(w in BOILERPLATE for w in told):
+        return CLEAR
+    if any(w in MAYBE for w in told):
+        if any(w not in MAYBE and w not in NEUTRAL for w in told):
+            return DOUBT
+        return READERS if any(w in ANSWERS for w in told) else CLEAR
+    return 0
 
-def is_boilerplate(tag: str, attributes: str, inside_article: bool) -> bool:
+
+def is_cut(tag: str, attributes: str, inside_article: bool) -> bool:
+    """Whether an element goes whatever it holds."""
     if tag in CUT or tag == "header" and not inside_article:
         return True
     if not attributes or tag in ("html", "body", "article", "main"):
         return False
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name in ("class", "id"):
-            words = set(PARTS.findall(value))
-            if words & BOILERPLATE or not inside_article and words & PAGE_HEADER:
-                return True
-        elif name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
+        if name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
+            return True
+        if name == "style" and "display:none" in value.replace(" ", ""):
             return True
-        elif name == "style" and "display:none" in value.replace(" ", ""):
+        if name in ("class", "id") and not inside_article and any(set(name_words(n)) & PAGE_HEADER for n in value.split()):
             return True
     return False
 
 
+def vote(tag: str, attributes: str) -> int:
+    """How an element's names vote against it."""
+    if tag in ("html", "body", "main") or not attributes:
+        return CLEAR if tag == "form" else 0
+    votes = [name_vote(n) for m in ATTRIBUTE.finditer(attributes) if m[1].lower() in ("class", "id")
+             for n in (m[2] or m[3] or m[4] or "").split()]
+    if tag == "article":  # only what readers wrote: each of its names says so
+        return READERS if votes and all(v == READERS for v in votes) else 0
+    for kind in (READERS, CLEAR, DOUBT):
+        if kind in votes:
+            return kind
+    return CLEAR if tag == "form" else 0
+
+
 def parse(html: str) -> Node:
     """The tree without what is cut. Kids are nodes and texts."""
     root = node = Node("", None, False)
@@ -141,9 +210,13 @@ def parse(html: str) -> Node:
             if not cut:
                 node.kids.append(Node(tag, node, False))
             continue
-        new = Node(tag, node, is_boilerplate(tag, m[3], articles > 0))
-        if not cut and not new.cut:
-            node.kids.append(new)
+        new = Node(tag, node, is_cut(tag, m[3], articles > 0))
+        if not cut:
+            if not new.cut:
+                new.vote = vote(tag, m[3])
+                node.kids.append(new)
+            elif tag in BLOCK:
+                node.kids.append(Node("br", node, False))  # what goes still parts the texts around it
         articles += tag in ("article", "main")
         cut += new.cut
         open_[tag] += 1
@@ -177,14 +250,14 @@ def texts(root: Node) -> list[str]:
 
     def end():
         if now:
-            block = " ".join(unescape("".join(now)).split())
+            block = " ".join("".join(now).split())
             if block:
                 blocks.append(block)
             now.clear()
 
     for item, _ in walk(root):
         if isinstance(item, str):
-            now.append(item)
+            now.append(unescape(item))
         elif item.tag in BLOCK:
             end()
     end()
@@ -208,11 +281,15 @@ def measure(root: Node) -> None:
             if path:
                 path[-1].chars += item.chars
                 path[-1].linked += item.linked
+                if item.chars:
+                    own = 2 if item.tag == "main" else item.tag == "article" and not item.vote
+                    path[-1].holds = max(path[-1].holds, item.holds, int(own))
             own_text = item.tag not in PARAGRAPH and any(isinstance(k, str) and len(k.strip()) >= LEAST_CHARS for k in item.kids)
             if item.chars >= LEAST_CHARS and (item.tag in PARAGRAPH or own_text and item.tag in BLOCK):
                 text = "".join(k for k in item.kids if isinstance(k, str))
                 commas = text.count(",") + text.count("、") + text.count("，")
                 points = (1 + commas + min(item.chars / 100, 3)) * (1 - item.linked / item.chars)
+                item.points += points
                 if own_text:
                     item.score += points
                 share, up = 1.0, item.up
@@ -221,6 +298,56 @@ def measure(root: Node) -> None:
                         up.score += points * share
                         share /= 2
                     up = up.up
+            if path:
+                path[-1].points += item.points
+
+
+def outvoted(n: Node, total: float) -> bool:
+    """Whether the tree speaks against the vote of an element's names."""
+    if n.holds == 2:
+        return True
+    if n.vote == READERS:
+        return False
+    if n.holds or 2 * n.points > total and not link_dense([n]):
+        return True
+    return n.vote == DOUBT and n.points > 0 and not link_dense([n])
+
+
+TEASER = 0.25    # share of the article's points below which an article element that links on is a teaser
+
+
+def teaser(n: Node, article: Node) -> bool:
+    """Whether an article element beside the article leads on to another page."""
+    return link_dense([n]) or n.linked > 0 and n.points < TEASER * article.points
+
+
+def judge(root: Node) -> bool:
+    """Cut the elements that are voted out and the teasers beside an article, from the top down.
+    Returns whether anything was cut."""
+    total, changed, todo = root.points, False, [root]
+    while todo:
+        node = todo.pop()
+        kept = []
+        articles = [k for k in node.kids if isinstance(k, Node) and k.tag == "article" and k.chars and not k.vote]
+        lead = max(articles, key=lambda a: a.points, default=None)
+        teasers = {id(a) for a in articles if a is not lead and teaser(a, lead)}
+        for kid in node.kids:
+            if isinstance(kid, Node) and (kid.vote and not outvoted(kid, total) or id(kid) in teasers):
+                changed = True
+                if kid.tag in BLOCK:
+                    kept.append(Node("br", node, False))
+                continue
+            kept.append(kid)
+            if isinstance(kid, Node):
+                todo.append(kid)
+        node.kids = kept
+    return changed
+
+
+def forget(root: Node) -> None:
+    for item, opens in walk(root):
+        if isinstance(item, Node) and opens:
+            item.score, item.points, item.chars, item.linked = 0.0, 0.0, 0, 0
 
 
 def density(n: Node) -> float:
@@ -264,7 +391,7 @@ def whole_article(best: Node) -> list[Node]:
         if any(link_dense(r) for r in around if r[0] is not now):
             kept = Node("", None, False)
             for r in around:  # what goes still parts the text before it from the text after it
-                stays = r[0] is now or not link_dense(r) or isinstance(r[0], Node) and r[0].tag == "article"
+                stays = r[0] is now or not link_dense(r)
                 kept.kids += r if stays else [Node("br", None, False)]
             return [kept]
         now = now.up
@@ -274,6 +401,9 @@ def whole_article(best: Node) -> list[Node]:
 def main_text(html: str | None) -> str:
     root = parse(html or "")
     measure(root)
+    if judge(root):
+        forget(root)
+        measure(root)
     best, top = None, 0.0
     for item, opens in walk(root):
         if isinstance(item, Node) and opens and item.chars and item.tag in BLOCK | {""}:
