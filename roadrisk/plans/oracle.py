@@ -242,7 +242,7 @@ silver AS (
 
 
 def with_(ctes: str, select: str) -> str:
-    kw = "WITH RECURSIVE" if "rw_iv(" in ctes else "WITH"
+    kw = "WITH RECURSIVE" if "rw_iv(" in ctes or "ring_walk" in ctes else "WITH"
     return f"{kw} {ctes}\n{select}"
 
 
@@ -548,3 +548,48 @@ def rgb_cols(count: str, scale: str, prefix: str) -> str:
 
 def relative_scale(mx: str) -> str:
     return f"greatest(CAST({mx} AS DOUBLE) * {L(C.RELATIVE_COLOR_FACTOR)}, {L(1.0)})"
+
+
+# ---------------------------------------------------------------- refresh and chains
+
+#: Silver after a page of corrections, rebuilt from both pages: the newest version of each record decides.
+_CORRECTIONS = f""",
+again AS (SELECT *, (e // 29) % 5 AS k FROM incidents_once WHERE e % 29 = 0 AND substring(date_occ, 1, 4) >= '2023'),
+incident_pages AS (
+  SELECT *, 0 AS page FROM incidents_raw
+  UNION ALL BY NAME
+  SELECT * EXCLUDE (e, k) REPLACE (
+      CASE WHEN k = 1 THEN '3036 0449' ELSE mocodes END AS mocodes, CASE WHEN k = 1 THEN '0101' ELSE time_occ END AS time_occ,
+      CASE WHEN k = 2 THEN '2024-06-15T00:00:00.000' ELSE date_occ END AS date_occ,
+      CASE WHEN k = 3 THEN '' WHEN k = 4 THEN '34.050000' ELSE lat END AS lat, CASE WHEN k = 4 THEN '-118.250000' ELSE lon END AS lon),
+    1 AS page FROM again
+  UNION ALL BY NAME
+  SELECT * EXCLUDE (e) REPLACE ('N' || CAST(e AS VARCHAR) AS dr_no), 1 AS page
+  FROM incidents_once WHERE e % 31 = 0 AND substring(date_occ, 1, 4) = '2024'
+),
+incident_versions AS (
+  SELECT * EXCLUDE (page) FROM incident_pages
+  QUALIFY row_number() OVER (PARTITION BY dr_no ORDER BY page DESC, {', '.join(f"coalesce({f}, '')" for f in FIELDS if f != 'dr_no')}) = 1
+)"""
+
+SILVER_CORRECTED = (INCIDENTS_RAW + _CORRECTIONS
+                    + SILVER[len(INCIDENTS_RAW):].replace("FROM incidents_raw\n)", "FROM incident_versions\n)", 1))
+
+CHAINS = """
+part_k AS (SELECT CAST(p_partkey AS BIGINT) AS k, p_partkey // 48 AS street, p_partkey % 48 = 47 AS last FROM part),
+main_ways AS (SELECT k AS way_id, k AS n0, CASE WHEN last AND street % 3 = 0 THEN street * 48 WHEN last THEN -k - 1 ELSE k + 1 END AS n1,
+                k % 5 = 0 AS turned FROM part_k WHERE k % 97 <> 96),
+way_ends AS (
+  SELECT way_id, CASE WHEN turned THEN n1 ELSE n0 END AS a, CASE WHEN turned THEN n0 ELSE n1 END AS b FROM main_ways
+  UNION ALL SELECT k + 1000000000, k, CASE WHEN k % 200 = 0 THEN k ELSE -k * 1000 - 7 END FROM part_k WHERE k % 100 = 0),
+ends AS (SELECT way_id * 2 AS e, a AS node FROM way_ends UNION ALL SELECT way_id * 2 + 1, b FROM way_ends),
+meet AS (SELECT min(e) AS p, max(e) AS q FROM ends GROUP BY node HAVING count(*) = 2),
+follow AS (SELECT xor(p, 1) AS state, q AS nxt FROM meet UNION ALL SELECT xor(q, 1), p FROM meet),
+heads AS (SELECT e AS state FROM ends WHERE e NOT IN (SELECT nxt FROM follow)),
+walk AS (SELECT state AS head, state, 0 AS position FROM heads
+         UNION ALL SELECT w.head, f.nxt, w.position + 1 FROM walk w JOIN follow f ON f.state = w.state),
+ring_states AS (SELECT e AS state FROM ends WHERE e NOT IN (SELECT state FROM walk)),
+ring_walk AS (SELECT state AS head, state, 0 AS position FROM ring_states
+              UNION ALL SELECT w.head, f.nxt, w.position + 1 FROM ring_walk w JOIN follow f ON f.state = w.state AND f.nxt <> w.head),
+paths AS (SELECT head, count(*) AS n, arg_max(state, position) AS tail FROM walk GROUP BY head),
+rings AS (SELECT head, count(*) AS n, min(state) AS low FROM ring_walk GROUP BY head)"""

@@ -282,3 +282,85 @@ FROM part""")
 sql("verify_outputs", "names AS (SELECT * FROM (VALUES " + ", ".join(f"('{n}')" for n in (
     "vz-heatmap", "vz-corridors", "vz-hotspots", "vz-emerging", "vz-crashes", "vz-stats")) + ") AS t(name))", """
 SELECT name, TRUE AS "exists", TRUE AS non_empty FROM names""")
+
+
+# ------------------------------------------------------------ refresh, nearest schools, chains
+
+sql("silver_upsert", O.SILVER_CORRECTED, """
+SELECT dr_no, crash_year, crash_month, crash_hour, severity, intersection, latitude, longitude, h3_res9, h3_res8, near_school
+FROM silver""")
+
+
+def _gold_rows() -> str:
+    def row(section, name, total="count(*)", fatal="count_if(severity = 'fatal')", pedestrian="count_if(severity = 'pedestrian')",
+            bicycle="count_if(severity = 'bicycle')", lat=None, lng=None, source="FROM silver"):
+        real = lambda c: "CAST(NULL AS DOUBLE)" if c is None else rnd(c, 6)
+        return (f"SELECT '{section}' AS section, {name} AS name, CAST({total} AS BIGINT) AS total, CAST({fatal} AS BIGINT) AS fatal, "
+                f"CAST({pedestrian} AS BIGINT) AS pedestrian, CAST({bicycle} AS BIGINT) AS bicycle, {real(lat)} AS lat, {real(lng)} AS lng {source}")
+
+    means = {"lat": O.exact_mean("latitude"), "lng": O.exact_mean("longitude")}
+    rows = [row("month", "year_month", source="FROM silver GROUP BY year_month"),
+            row("intersection", "intersection", "crash_count", "fatal", "pedestrian", "bicycle", "lat", "lng", "FROM top"),
+            row("dates", "CAST(min(crash_date) AS VARCHAR) || ' ' || CAST(max(crash_date) AS VARCHAR)"),
+            row("school_zone", "'near'", "count_if(near_school = 1)", "count_if(near_school = 1 AND severity = 'fatal')", "NULL", "NULL")]
+    for label, _ in O.C.HEATMAP_RESOLUTIONS:
+        rows.append(row("cell", f"h3_res{label}", **means, source=f"FROM silver GROUP BY h3_res{label}"))
+        rows.append(row("distinct", f"'cell{label}'", f"count(DISTINCT h3_res{label})", "NULL", "NULL", "NULL"))
+        rows.append(row("sketch_within_3_errors", f"'cell{label}'", "1", "NULL", "NULL", "NULL", source=""))
+    return "\nUNION ALL\n".join(rows)
+
+
+sql("gold_refresh", O.SILVER_CORRECTED + _TOP, _gold_rows())
+
+_DISTANCE = rnd(f"{L(2.0 * O.C.EARTH_RADIUS_M)} * asin(sqrt(least({O.haversine_a('cleaned.latitude', 'cleaned.longitude', 'school_lat', 'school_lon')}, 1.0)))", 3)
+
+sql("nearest_school", O.CLEAN + O.SCHOOLS, f"""
+SELECT dr_no, row_number() OVER (PARTITION BY dr_no ORDER BY distance_m, school_id) AS rank, school_id, distance_m
+FROM (SELECT dr_no, school_id, {_DISTANCE} AS distance_m FROM cleaned, schools)
+QUALIFY rank <= 3""")
+
+sql("road_chains", O.CHAINS, """
+SELECT p.head // 2 AS chain_id, CAST(w.position AS BIGINT) AS position, w.state // 2 AS way_id, w.state % 2 = 1 AS backward,
+  false AS closed, p.n AS n_ways
+FROM paths p JOIN walk w ON w.head = p.head WHERE p.head // 2 < p.tail // 2 OR (p.n = 1 AND p.head % 2 = 0)
+UNION ALL
+SELECT r.head // 2, CAST(w.position AS BIGINT), w.state // 2, w.state % 2 = 1, true, r.n
+FROM rings r JOIN ring_walk w ON w.head = r.head WHERE r.head = r.low AND r.head % 2 = 0""")
+
+sql("road_rejects", "part_k AS (SELECT p_partkey AS k FROM part)", """
+SELECT 'way' AS kind, CASE WHEN k % 7 = 3 THEN 'rejected' ELSE 'good' END AS status, count(*) AS n_lines FROM part_k GROUP BY ALL
+UNION ALL
+SELECT 'polyline', CASE WHEN k % 5 = 2 THEN 'rejected' ELSE 'good' END, count(*) FROM part_k GROUP BY ALL""")
+
+
+# ------------------------------------------------------------ other ways to the same results
+
+ORACLE["density_tiles"] = ORACLE["kernel_density"]
+
+sql("hot_spots_fdr", O.SILVER + O.HOT_SPOTS + f""",
+tested AS (SELECT bin_id, z_score, {O.p_value('z_score')} AS p, count(*) OVER () AS m FROM hs WHERE z_score IS NOT NULL),
+ranked AS (SELECT *, count(*) OVER (ORDER BY p RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS j FROM tested),
+stepped AS (SELECT bin_id, min(least(CAST(m AS DOUBLE) * p / CAST(j AS DOUBLE), 1.0))
+              OVER (ORDER BY p DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS p_adjusted FROM ranked)""", f"""
+SELECT bin_id, {rnd('z_score', 4)} AS z_score, {rnd('p_adjusted', 6)} AS p_adjusted,
+  CASE WHEN z_score > 0 AND p_adjusted <= 0.01 THEN 'hot_99' WHEN z_score < 0 AND p_adjusted <= 0.01 THEN 'cold_99'
+       WHEN z_score > 0 AND p_adjusted <= 0.05 THEN 'hot_95' WHEN z_score < 0 AND p_adjusted <= 0.05 THEN 'cold_95'
+       WHEN z_score > 0 AND p_adjusted <= 0.10 THEN 'hot_90' WHEN z_score < 0 AND p_adjusted <= 0.10 THEN 'cold_90'
+       ELSE 'not_significant' END AS fdr_class
+FROM hs LEFT JOIN stepped USING (bin_id)""")
+
+sql("silver_clustered", O.SILVER, """
+SELECT dr_no, latitude, longitude, severity, near_school FROM silver
+WHERE latitude BETWEEN 34.02 AND 34.07 AND longitude BETWEEN -118.36 AND -118.28""")
+
+ORACLE["observed_counts"] = ORACLE["table_row_counts"]
+
+_CELLS_9_8 = "(SELECT count(DISTINCT h3_res9) + count(DISTINCT h3_res8) FROM silver)"
+sql("export_publish", O.SILVER, f"""
+SELECT v.version, 'vz-heatmap.json' AS output, {_CELLS_9_8} AS n_records FROM (VALUES ('first'), ('second')) AS v(version)
+UNION ALL SELECT 'first', 'vz-crashes.json', count(*) FROM silver WHERE crash_year = 2022
+UNION ALL SELECT 'second', 'vz-crashes.json', count(*) FROM silver""")
+
+sql("stream_dedupe", O.BRONZE, "SELECT DISTINCT * FROM bronze")
+
+ORACLE["corridor_bucketed"] = ORACLE["road_match"]

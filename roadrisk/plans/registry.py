@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadrisk.functions import color, geo
-from roadrisk.operators import clean, corridors, density, heatmap, hotspots, proximity, roads, rollups
-from roadrisk.plans import pipeline
-from roadrisk.sources import export, fixtures, ingest
+from roadrisk.operators import chains, clean, corridors, density, fdr, heatmap, hotspots, nearest, proximity, roads, rollups
+from roadrisk.plans import gold_state, pipeline, upsert
+from roadrisk.sources import clustering, export, fixtures, ingest, publish
 from roadrisk.sources.tables import TableStore
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -370,7 +370,7 @@ def q_corridor_color(spark, sf_dir):
 @query("partitioned_roundtrip")
 def q_partitioned_roundtrip(spark, sf_dir):
     """S3 + S6 by catalog name (``saveAsTable``, ``spark.table``)."""
-    store = TableStore(spark, database=f"roadrisk_{uuid.uuid4().hex}")
+    store = TableStore(spark, database=f"roadrisk_{uuid.uuid4().hex}", temporary=True)
     store.write(pipeline.bronze(spark, sf_dir), "bronze_crashes", partition_by=["crash_year"])
     return store.read("bronze_crashes")
 
@@ -474,17 +474,20 @@ GOLD_TABLES = ["gold_hotspots", "gold_emerging_hotspots", "gold_crash_density",
                "gold_danger_corridors", "gold_stats", "gold_timeseries"]
 
 
+def gold_tables(spark, sf_dir, silver) -> dict[str, DataFrame]:
+    """Every gold table of the chain by name."""
+    return {"gold_hotspots": hotspots.hot_spots(silver), "gold_emerging_hotspots": hotspots.emerging_hot_spots(silver),
+            "gold_crash_density": density.kernel_density(silver), "gold_h3_heatmap": heatmap.hex_heatmap(silver),
+            "gold_danger_corridors": corridors.danger_corridors(fixtures.road_polylines(spark, sf_dir), silver),
+            "gold_stats": rollups.summary_stats(silver), "gold_timeseries": rollups.monthly_series(silver)}
+
+
 def write_gold(spark, sf_dir) -> TableStore:
     """Every gold table of the chain written to the table store."""
     store = TableStore(spark)
     silver = pipeline.write_silver(store, pipeline.silver(spark, sf_dir))  # cleaned once, read by every step
-    store.write(hotspots.hot_spots(silver), "gold_hotspots")
-    store.write(hotspots.emerging_hot_spots(silver), "gold_emerging_hotspots")
-    store.write(density.kernel_density(silver), "gold_crash_density")
-    store.write(heatmap.hex_heatmap(silver), "gold_h3_heatmap")
-    store.write(corridors.danger_corridors(fixtures.road_polylines(spark, sf_dir), silver), "gold_danger_corridors")
-    store.write(rollups.summary_stats(silver), "gold_stats")
-    store.write(rollups.monthly_series(silver), "gold_timeseries")
+    for name, df in gold_tables(spark, sf_dir, silver).items():
+        store.write(df, name)
     return store
 
 
@@ -518,3 +521,176 @@ def q_ingest_incidents_stream(spark, sf_dir):
     landed = ingest.land_json(fixtures.incidents_raw(spark, sf_dir), f"{base}/landing")
     incremental_ingest(spark, landed, f"{base}/bronze", f"{base}/_checkpoint")
     return spark.read.parquet(f"{base}/bronze")
+
+
+# ------------------------------------------------------------ refresh without rebuilding
+
+def _corrected_silver(spark, sf_dir):
+    """A store whose silver took two pages, and what the second one changed."""
+    store = TableStore(spark)
+    side = pipeline.schools(spark, sf_dir)
+    upsert.apply_page(store, 0, pipeline.bronze(spark, sf_dir), side)
+    first = store.read(upsert.SILVER)
+    batch = F.pmod(F.xxhash64("dr_no"), F.lit(3))
+    for b in range(3):
+        gold_state.add_batch(store, first.filter(batch == b), f"batch-{b}")
+    change = upsert.apply_page(store, 1, ingest.normalise_incidents(fixtures.incident_corrections(spark, sf_dir)), side)
+    return store, change
+
+
+@query("silver_upsert")
+def q_silver_upsert(spark, sf_dir):
+    """Silver after a page of corrections, brought up to date year by year."""
+    store = TableStore(spark)
+    side = pipeline.schools(spark, sf_dir)
+    upsert.apply_page(store, 0, pipeline.bronze(spark, sf_dir), side)
+    upsert.apply_page(store, 1, ingest.normalise_incidents(fixtures.incident_corrections(spark, sf_dir)), side)
+    return upsert.read_upserted(store).select("dr_no", "crash_year", "crash_month", "crash_hour", "severity", "intersection",
+                                              "latitude", "longitude", "h3_res9", "h3_res8", "near_school")
+
+
+@query("gold_refresh")
+def q_gold_refresh(spark, sf_dir):
+    """Gold from partial aggregates: three batches, then the years that a page of corrections touched."""
+    store, change = _corrected_silver(spark, sf_dir)
+    gold_state.refresh_years(store, upsert.read_upserted(store), change.years)
+
+    def rows(section, df, name, total, fatal, pedestrian, bicycle, lat=None, lng=None):
+        real = lambda c: (F.lit(None).cast("double") if c is None else r6(c))
+        number = lambda c: (F.lit(None) if c is None else F.col(c)).cast("bigint")
+        return df.select(F.lit(section).alias("section"), F.col(name).cast("string").alias("name"), number(total).alias("total"),
+                         number(fatal).alias("fatal"), number(pedestrian).alias("pedestrian"), number(bicycle).alias("bicycle"),
+                         real(lat).alias("lat"), real(lng).alias("lng"))
+
+    cells = gold_state.hex_heatmap(store)
+    total = gold_state.totals(store)
+    distinct = gold_state.distinct_cells(store)
+    near = F.abs(F.col("estimate") - F.col("cells")) <= 1 + 3 * gold_state.SKETCH_ERROR * F.col("cells")
+    parts = [
+        rows("month", gold_state.monthly_series(store), "year_month", "total", "fatal", "pedestrian", "bicycle"),
+        rows("cell", cells, "h3_index", "crash_count", "fatal_count", "pedestrian_count", "bicycle_count", "center_lat", "center_lng"),
+        rows("intersection", gold_state.top_intersections(store), "intersection", "crash_count", "fatal", "pedestrian", "bicycle", "lat", "lng"),
+        rows("dates", total.withColumn("name", F.concat_ws(" ", "first_date", "last_date")), "name", "total_crashes", "fatal",
+             "pedestrian", "bicycle"),
+        rows("school_zone", total.withColumn("name", F.lit("near")), "name", "school_zone_crashes", "school_zone_fatal", None, None),
+        rows("distinct", distinct, "grain", "cells", None, None, None),
+        rows("sketch_within_3_errors", distinct.withColumn("ok", near.cast("int")), "grain", "ok", None, None, None)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("nearest_school")
+def q_nearest_school(spark, sf_dir):
+    """The three nearest schools of every incident."""
+    inc = clean.clean_incidents(pipeline.bronze(spark, sf_dir)).select("dr_no", "latitude", "longitude")
+    return (nearest.nearest_schools(inc, pipeline.schools(spark, sf_dir), k=3)
+            .select("dr_no", F.col("rank").cast("bigint").alias("rank"), "school_id", "distance_m"))
+
+
+@query("road_chains")
+def q_road_chains(spark, sf_dir):
+    """Connected ways as chains and rings."""
+    return chains.road_chains(fixtures.connected_ways(spark, sf_dir))
+
+
+@query("road_rejects")
+def q_road_rejects(spark, sf_dir):
+    """Way and polyline lines, some broken: how many came in, how many were set aside."""
+    store = TableStore(spark)
+    ways = ingest.land_lines(fixtures.broken_way_documents(spark, sf_dir), store.path("landing_ways"))
+    lines = ingest.land_lines(fixtures.broken_polyline_documents(spark, sf_dir), store.path("landing_polylines"))
+
+    def count(df, kind, status):
+        return df.agg(F.count(F.lit(1)).alias("n_lines")).select(F.lit(kind).alias("kind"), F.lit(status).alias("status"), "n_lines")
+
+    return (count(ingest.read_ways(spark, ways, lines=True), "way", "good")
+            .unionByName(count(ingest.way_rejects(spark, ways), "way", "rejected"))
+            .unionByName(count(ingest.read_polylines(spark, lines, lines=True), "polyline", "good"))
+            .unionByName(count(ingest.polyline_rejects(spark, lines), "polyline", "rejected")))
+
+
+# ------------------------------------------------------------ other ways to the same results
+
+@query("density_tiles")
+def q_density_tiles(spark, sf_dir):
+    """G3 by tiles: the same surface as ``kernel_density``."""
+    d = density.kernel_density_tiles(pipeline.silver(spark, sf_dir))
+    return d.select("cell_i", "cell_j", r6("center_lon").alias("center_lon"),
+                    r6("center_lat").alias("center_lat"), r4("density").alias("density"))
+
+
+@query("hot_spots_fdr")
+def q_hot_spots_fdr(spark, sf_dir):
+    h = fdr.fdr_classes(hotspots.hot_spots(pipeline.silver(spark, sf_dir)))
+    return h.select("bin_id", r4("z_score").alias("z_score"), r6("p_adjusted").alias("p_adjusted"), "fdr_class")
+
+
+#: A part of the city, as a box of latitudes and longitudes.
+DOWNTOWN = {"lat_min": 34.02, "lat_max": 34.07, "lon_min": -118.36, "lon_max": -118.28}
+
+
+@query("silver_clustered")
+def q_silver_clustered(spark, sf_dir):
+    """A box of the city, read from silver in Morton order."""
+    store = TableStore(spark)
+    clustering.write_clustered(store, pipeline.silver(spark, sf_dir), "silver_clustered", row_group_bytes=64 * 1024)
+    return (clean.bbox_filter(store.read("silver_clustered"), **DOWNTOWN)
+            .select("dr_no", "latitude", "longitude", "severity", "near_school"))
+
+
+@query("observed_counts")
+def q_observed_counts(spark, sf_dir):
+    """S16 without scans: the rows of every gold table, counted while they were written."""
+    store = TableStore(spark)
+    silver = pipeline.write_silver(store, pipeline.silver(spark, sf_dir))
+    counts = [(name, store.write_counted(df, name)) for name, df in gold_tables(spark, sf_dir, silver).items()]
+    return spark.createDataFrame(counts, "table_name string, row_count bigint")
+
+
+@query("export_publish")
+def q_export_publish(spark, sf_dir):
+    """S9-S14 published twice; the rows that a reader of the first version and one of the second see."""
+    store = TableStore(spark)
+    silver = pipeline.write_silver(store, pipeline.silver(spark, sf_dir))
+    root = store.path("published")
+    heat = export.heatmap_records(heatmap.hex_heatmap(silver))
+    outputs = {"vz-heatmap.json": lambda p: export.write_json(heat, p),
+               "vz-crashes.json": lambda p: export.write_json(export.crash_records(silver), p)}
+    first = silver.filter(F.col("crash_year") == 2022)
+    publish.publish(spark, root, outputs | {"vz-crashes.json": lambda p: export.write_json(export.crash_records(first), p)})
+    early = publish.Snapshot(spark, root)
+    publish.publish(spark, root, outputs)
+    late = publish.Snapshot(spark, root)
+
+    def count(version, snapshot, name, schema):
+        return (snapshot.json(name, schema).agg(F.count(F.lit(1)).alias("n_records"))
+                .select(F.lit(version).alias("version"), F.lit(name).alias("output"), "n_records"))
+
+    out = None
+    for version, snapshot in (("first", early), ("second", late)):
+        for name, schema in (("vz-heatmap.json", "h3 string"), ("vz-crashes.json", "lat double")):
+            one = count(version, snapshot, name, schema)
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("stream_dedupe")
+def q_stream_dedupe(spark, sf_dir):
+    """P7 on the stream: every page lands twice, the second time after a restart."""
+    from roadrisk.streaming.incremental import incremental_ingest
+    base = TableStore(spark).path("stream")
+    raw = fixtures.incidents_raw(spark, sf_dir)
+    for _ in range(2):
+        raw.write.mode("append").json(f"{base}/landing")
+        incremental_ingest(spark, f"{base}/landing", f"{base}/bronze", f"{base}/_checkpoint", remember="30 days")
+    return spark.read.parquet(f"{base}/bronze")
+
+
+@query("corridor_bucketed")
+def q_corridor_bucketed(spark, sf_dir):
+    """J3 against road cells that are stored once, in buckets."""
+    store = TableStore(spark, database=f"roadrisk_{uuid.uuid4().hex}", temporary=True)
+    corridors.store_road_cells(store, fixtures.road_polylines(spark, sf_dir))
+    return corridors.match_stored(store, pipeline.silver(spark, sf_dir))

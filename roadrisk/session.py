@@ -27,6 +27,8 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
              # neighbour sums) whose small input shuffle was merged into one task.
              .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
+             # Without it every Column operation asks the JVM four times for its call site.
+             .config("spark.python.sql.dataFrameDebugging.enabled", "false")
              .config("spark.sql.session.timeZone", "UTC")
              # Checkpoint files go when nothing refers to them any more.
              .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")

@@ -17,8 +17,14 @@ from pyspark.sql import functions as F
 
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, key: str, *columns: str) -> DataFrame:
+    """Columns of a harness table. One that comes in fewer splits than the cluster has cores
+    (the small tables are a single row group) is dealt out by its key first, three narrow
+    columns at most, so that the text building and parsing after it runs on all cores. Larger
+    inputs have more splits and are read as they are."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")).select(key, *columns)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def _decimal_text(micro: Column) -> Column:
@@ -54,7 +60,7 @@ def incidents_raw(spark: SparkSession, sf_dir: str, duplicate: bool = True) -> D
     for event_id % 100 = 0 and larger otherwise, so either of the two may be the
     row that the dedupe keeps.
     """
-    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    ev = table(spark, sf_dir, "events", "event_id", "user_id", "ts")
     e = F.col("event_id")
     u = F.col("user_id")
     lat_u, lon_u = incident_micro_coords(e, u)
@@ -95,7 +101,33 @@ def incidents_raw(spark: SparkSession, sf_dir: str, duplicate: bool = True) -> D
                .withColumn("time_occ", F.when(copy, F.when(F.col("_e") % 100 == 0, "0000").otherwise("2359"))
                            .otherwise(F.col("time_occ")))
                .withColumn("area_name", F.when(copy, F.lit("Annex")).otherwise(F.col("area_name"))).drop("_copy"))
-    return out.drop("_e")
+    # A generator ends the record: filters on a field read its text instead of building it anew for
+    # every comparison, as they would read a landed file.
+    return out.drop("_e").select(F.explode(F.array(F.struct(*[c for c in out.columns if c != "_e"]))).alias("_r")).select("_r.*")
+
+
+def incident_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later page for ``incidents_raw``. Of the records of 2023 and 2024, those with
+    event_id % 29 = 0 come again by (event_id div 29) % 5: 0 as they were, 1 with fatal
+    codes and another time, 2 moved to June 2024, 3 without a latitude, 4 at another place.
+    Records of 2024 with event_id % 31 = 0 also come under a new number."""
+    raw = incidents_raw(spark, sf_dir, duplicate=False)
+    e = F.substring("dr_no", 3, 20).cast("bigint")
+    year = F.substring("date_occ", 1, 4)
+    kind = F.floor(e / 29) % 5
+
+    def put(column, *cases):
+        value = F.col(column)
+        for k, v in cases:
+            value = F.when(F.col("_k") == k, F.lit(v)).otherwise(value)
+        return value
+
+    again = raw.withColumn("_k", kind).filter((e % 29 == 0) & (year >= F.lit("2023")))
+    again = (again.withColumn("mocodes", put("mocodes", (1, "3036 0449"))).withColumn("time_occ", put("time_occ", (1, "0101")))
+             .withColumn("date_occ", put("date_occ", (2, "2024-06-15T00:00:00.000")))
+             .withColumn("lat", put("lat", (3, ""), (4, "34.050000"))).withColumn("lon", put("lon", (4, "-118.250000"))).drop("_k"))
+    new = raw.filter((e % 31 == 0) & (year == F.lit("2024"))).withColumn("dr_no", F.concat(F.lit("N"), e.cast("string")))
+    return again.unionByName(new)
 
 
 def incident_points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,7 +135,7 @@ def incident_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Used by the statistics tests that start from ``lat_u, lon_u`` directly.
     """
-    ev = table(spark, sf_dir, "events").select("event_id", "user_id")
+    ev = table(spark, sf_dir, "events", "event_id", "user_id")
     e = F.col("event_id")
     lat_u, lon_u = incident_micro_coords(e, F.col("user_id"))
     return ev.select(
@@ -120,7 +152,7 @@ def schools_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     Carries a nested ``address`` struct and a ``grades`` array, which the
     ingest drops (only scalar fields are kept).
     """
-    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    sup = table(spark, sf_dir, "supplier", "s_suppkey", "s_name")
     k = F.col("s_suppkey")
     lat_u = 34000000 + (k % 12) * 10000 + (((k * 61) % 201) - 100) * 45
     lon_u = 118400000 - ((k * 5) % 12) * 15000 - (((k * 43) % 201) - 100) * 45
@@ -161,7 +193,7 @@ def road_polylines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``path`` is array<array<double>> of [lon, lat]; built per row with a
     higher-order function, so no grouping is needed.
     """
-    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("road_index"))
+    part = table(spark, sf_dir, "part", "p_partkey").select(F.col("p_partkey").alias("road_index"))
     k = F.col("road_index")
 
     def point(i):
@@ -183,7 +215,7 @@ def raw_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
     i % 3 = 0 are repeated once; highway by k % 4 (3 = absent); type 'node'
     when k % 23 = 0.
     """
-    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"))
+    part = table(spark, sf_dir, "part", "p_partkey").select(F.col("p_partkey").alias("id"))
     k = F.col("id")
 
     def point(i):
@@ -210,6 +242,23 @@ def way_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_ways(spark, sf_dir).select(F.to_json(F.struct("type", "id", "tags", "geometry")).alias("value"))
 
 
+def _cut(line: Column, broken: Column) -> Column:
+    """A line without its end where ``broken``, as a broken download leaves it."""
+    return F.when(broken, F.substring(line, F.lit(1), F.length(line) - 9)).otherwise(line)
+
+
+def broken_way_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``way_documents`` with the lines of id % 7 = 3 cut."""
+    line = F.to_json(F.struct("type", "id", "tags", "geometry"))
+    return raw_ways(spark, sf_dir).select(_cut(line, F.col("id") % 7 == 3).alias("value"))
+
+
+def broken_polyline_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Road polylines as JSON lines, those of road_index % 5 = 2 cut."""
+    line = F.to_json(F.struct("path", "color", "name"))
+    return road_polylines(spark, sf_dir).select(_cut(line, F.col("road_index") % 5 == 2).alias("value"))
+
+
 def polyline_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Road polylines as JSON lines (column ``value``); the part key is in the name."""
     return road_polylines(spark, sf_dir).select(F.to_json(F.struct(
@@ -224,6 +273,31 @@ def incident_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select(F.when(F.col("dr_no").endswith("7"), F.substring(line, F.lit(1), F.length(line) - 9)).otherwise(line).alias("value"))
 
 
+def connected_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ways that meet at their ends: way_id, points [lon, lat]. Each part key k is a way
+    between the nodes k and k + 1 of a street of 48 keys; every third street is closed
+    to a ring, the others end. Ways with k % 5 = 0 run backwards. At keys divisible by 100
+    a side street leaves its node (three ends meet there), with k % 200 = 0 as a loop that
+    returns to it. Keys with k % 97 = 96 have no way, so streets also break."""
+    part = table(spark, sf_dir, "part", "p_partkey").select(F.col("p_partkey").cast("bigint").alias("k"))
+    k = F.col("k")
+    street = F.floor(k / 48)
+    last = (k % 48) == 47
+
+    def node(n):
+        return F.array(n.cast("double") / F.lit(1000.0), (n % 7).cast("double") / F.lit(1000.0))
+
+    def middle(n):
+        return F.array(n.cast("double") / F.lit(1000.0) + F.lit(0.0005), F.lit(0.5))
+
+    end = F.when(last & (street % 3 == 0), street * 48).when(last, -k - 1).otherwise(k + 1)
+    main = (part.filter(k % 97 != 96).withColumn("_p", F.array(node(k), middle(k), node(end)))
+            .select(k.alias("way_id"), F.when(k % 5 == 0, F.reverse("_p")).otherwise(F.col("_p")).alias("points")))
+    side_end = F.when(k % 200 == 0, node(k)).otherwise(node(-k * 1000 - 7))
+    side = part.filter(k % 100 == 0).select((k + 1000000000).alias("way_id"), F.array(node(k), middle(-k), side_end).alias("points"))
+    return main.unionByName(side)
+
+
 def ways(spark: SparkSession, sf_dir: str, source: str = "fixture") -> DataFrame:
     """Way elements with the (source, pos) key the road operators use; pos is
     the element's position, here the part key."""

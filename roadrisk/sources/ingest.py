@@ -57,8 +57,9 @@ def _broken() -> F.Column:
 
 
 def good_records(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    """The records of the lines that parse."""
-    return _parsed(lines, schema).filter(~_broken()).select(*[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields])
+    """The records of the lines that parse, beside the other columns of ``lines``."""
+    others = [c for c in lines.columns if c != "value"]
+    return _parsed(lines, schema).filter(~_broken()).select(*others, *[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields])
 
 
 def rejected_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
@@ -147,12 +148,12 @@ def read_ways(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     position (the order the preprocessor walks them).
 
     ``lines=True`` reads one element per line, the form for large extracts: a
-    file is split over tasks. Otherwise a file is one document ``{"elements":
+    file is split over tasks, and lines that don't parse are left to ``way_rejects``
+    (they keep their place in the count of lines). Otherwise a file is one document ``{"elements":
     [...]}``, parsed whole by one task (multi-line JSON cannot be split).
     """
     if lines:
-        return (numbered_lines(spark, path).withColumn("e", F.from_json("value", WAY_SCHEMA))
-                .select("source", "pos", "e.*"))
+        return good_records(numbered_lines(spark, path), WAY_SCHEMA)
     doc = (spark.read.option("multiLine", True)
            .schema(T.StructType([T.StructField("elements", T.ArrayType(WAY_SCHEMA))]))
            .json(path)
@@ -171,17 +172,26 @@ def read_polylines(spark: SparkSession, path: str, lines: bool = False) -> DataF
     """``{path, color, name?}`` records -> one row per road with a stable
     ``road_index`` (its position in the file).
 
-    ``lines=True`` reads one record per line, the form for large files.
-    Otherwise a file is a JSON array: a multi-line document is parsed by one
+    ``lines=True`` reads one record per line, the form for large files; lines that
+    don't parse are left to ``polyline_rejects``. Otherwise a file is a JSON array: a multi-line document is parsed by one
     task, so numbering rows within each file adds no grouping beyond what the
     read already does.
     """
     if lines:
-        return (numbered_lines(spark, path).withColumn("e", F.from_json("value", POLYLINE_SCHEMA))
-                .select("e.*", "source", F.col("pos").alias("road_index")))
+        return good_records(numbered_lines(spark, path), POLYLINE_SCHEMA).withColumnRenamed("pos", "road_index")
     raw = (spark.read.option("multiLine", True).schema(POLYLINE_SCHEMA).json(path)
            .withColumn("source", F.col("_metadata.file_path"))
            .withColumn("_mid", F.monotonically_increasing_id()))
     return (raw.withColumn("road_index", (F.row_number().over(
                 Window.partitionBy("source").orderBy("_mid")) - 1).cast("bigint"))
             .drop("_mid"))
+
+
+def way_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The lines that ``read_ways(lines=True)`` can't parse, to store and look into."""
+    return rejected_lines(spark.read.text(path), WAY_SCHEMA)
+
+
+def polyline_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The lines that ``read_polylines(lines=True)`` can't parse."""
+    return rejected_lines(spark.read.text(path), POLYLINE_SCHEMA)

@@ -7,14 +7,21 @@ a table is a directory under a root: the one given, or a new folder next to
 other's tables while a lazy reader still needs them. Partition pruning and column pruning
 apply on read either way. ``fmt`` may name any installed format (parquet by
 default; delta when its jar is present).
+
+Folders that nobody named (``TableStore(spark)``, ``run_folder``) and stores opened
+with ``temporary=True`` belong to the driver's run: they go when the driver ends, when
+``remove_temporary`` is called, or at the end of a ``with`` block. Stores with a root
+or a database name stay.
 """
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -51,22 +58,55 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+_temporary: dict[str, tuple[SparkSession, str | None]] = {}  # folder -> its session and, if it has one, its database
+
+
 def run_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared one."""
-    return f"{shared_dir(spark)}/roadrisk-tables/{name}-{uuid.uuid4().hex}"
+    """A new folder below the shared one, kept until the driver ends or ``remove_temporary``."""
+    folder = f"{shared_dir(spark)}/roadrisk-tables/{name}-{uuid.uuid4().hex}"
+    _temporary[folder] = (spark, None)
+    return folder
+
+
+@atexit.register
+def remove_temporary(*folders: str) -> None:
+    """Drop temporary folders and databases: the given ones, or all of this driver. Lazy
+    results that still read them must have been written or collected by then."""
+    for folder in folders or list(_temporary):
+        spark, database = _temporary.pop(folder, (None, None))
+        if spark is None:
+            continue
+        with contextlib.suppress(Exception):  # the session may be gone, and its catalog with it
+            if database is not None:
+                spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
+        with contextlib.suppress(Exception):
+            delete_path(spark, folder)
 
 
 class TableStore:
     """Named tables of one run (a folder) or of one catalog database."""
 
-    def __init__(self, spark: SparkSession, root: str | None = None, fmt: str = "parquet", database: str | None = None):
+    def __init__(self, spark: SparkSession, root: str | None = None, fmt: str = "parquet", database: str | None = None,
+                 temporary: bool | None = None):
         self.spark = spark
         self.fmt = fmt
         self.database = database
+        self.temporary = root is None and database is None if temporary is None else temporary
         self.root = (root or run_folder(spark, "store")).rstrip("/")
+        if self.temporary:
+            _temporary[self.root] = (spark, database)
+        else:
+            _temporary.pop(self.root, None)
         if database is not None:  # a new database keeps its files below the shared folder too
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{self.root}'")
 
+    def __enter__(self) -> TableStore:
+        return self
+
+    def __exit__(self, *_) -> None:
+        if self.temporary:
+            remove_temporary(self.root)
+
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
@@ -92,6 +132,41 @@ class TableStore:
         w.save(self.path(name))
         return self.path(name)
 
+    def write_counted(self, df: DataFrame, name: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> int:
+        """Write a table and return the number of rows written, observed in the write itself:
+        no second job and no second scan (S16)."""
+        seen = Observation(f"rows-{uuid.uuid4().hex}")
+        self.write(df.observe(seen, F.count(F.lit(1)).alias("n")), name, mode, partition_by)
+        return seen.get["n"]
+
+    def exists(self, name: str) -> bool:
+        if self.database is not None:
+            return self.spark.catalog.tableExists(self.table(name))
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(target)
+
+    def replace_partitions(self, df: DataFrame, name: str, partition_by: list[str]) -> None:
+        """Overwrite the partitions that ``df`` has rows for and leave all others, files
+        included, as they are; the table is made on its first write. ``df`` must not
+        read what it overwrites (store it first)."""
+        if not self.exists(name):
+            self.write(df, name, partition_by=partition_by)
+            return
+        w = df.hint("rebalance", *[F.col(c) for c in partition_by]).write.option("partitionOverwriteMode", "dynamic")
+        if self.database is None:
+            w.format(self.fmt).mode("overwrite").partitionBy(*partition_by).save(self.path(name))
+            return
+        columns = self.spark.table(self.table(name)).columns  # insertInto goes by position
+        w = df.hint("rebalance", *[F.col(c) for c in partition_by]).select(*columns).write
+        w.option("partitionOverwriteMode", "dynamic").insertInto(self.table(name), overwrite=True)
+
+    def drop_partition(self, name: str, column: str, value) -> None:
+        """Remove one value of the partition column ``column`` (not NULL) with its files."""
+        if self.database is not None:
+            literal = f"'{value}'" if isinstance(value, str) else value
+            self.spark.sql(f"ALTER TABLE {self.table(name)} DROP IF EXISTS PARTITION ({column} = {literal})")
+        delete_path(self.spark, f"{self.path(name)}/{column}={value}")
+
     def read(self, name: str, years: list[int] | None = None, year_col: str = "crash_year") -> DataFrame:
         """Scan a table by name. ``years`` filters the partition column,
         so a table written with ``partition_by=[year_col]`` reads only

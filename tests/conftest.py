@@ -18,6 +18,7 @@ def spark():
          .config("spark.sql.shuffle.partitions", "4")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="roadrisk-test-warehouse-"))
