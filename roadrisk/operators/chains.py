@@ -61,9 +61,10 @@ class _Tables:
 def way_links(ways: DataFrame) -> DataFrame:
     """(state, next) of ways (way_id, points): the state that follows, NULL at the end of a path."""
     spot = lambda p, side: F.struct((F.col("way_id") * 2 + side).alias("end"), p[0].alias("x"), p[1].alias("y"))
-    ends = (ways.filter(F.size("points") > 0)
-            .select(F.explode(F.array(spot(F.element_at("points", 1), 0), spot(F.element_at("points", -1), 1))).alias("e"))
-            .select("e.*").filter("x IS NOT NULL AND y IS NOT NULL"))
+    first, last = F.element_at("points", 1), F.element_at("points", -1)
+    placed = F.array(first[0], first[1], last[0], last[1])
+    ends = (ways.filter(F.size("points") > 0).filter(F.forall(placed, lambda c: c.isNotNull()))
+            .select(F.explode(F.array(spot(first, 0), spot(last, 1))).alias("e")).select("e.*"))
     meeting = (ends.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"), F.min("end").alias("a"), F.max("end").alias("b"))
                .filter(F.col("n") == 2).select("a", "b"))
     other = meeting.unionByName(meeting.select(F.col("b").alias("a"), F.col("a").alias("b")))

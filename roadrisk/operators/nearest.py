@@ -16,7 +16,7 @@ schools are certain; only boxes that begin within that distance are opened. Wher
 holds more than ``BOX_SCHOOLS`` schools, the opened boxes are cut into smaller ones and
 looked at again, so that a position meets the schools beside its k nearest and not a city.
 
-Incidents at the same place are searched once. Schools at equal distance (to the
+Coordinates are degrees within +-90 and +-180. Incidents at the same place are searched once. Schools at equal distance (to the
 millimetre) are ordered by id. With fewer than k schools all are returned.
 """
 
@@ -89,12 +89,12 @@ def _nearest_in_box() -> F.Column:
         d = F.abs(side - lon)
         return F.least(d, geo.lit(360.0) - d)
     across = F.when((lon >= F.col("w")) & (lon <= F.col("e")), geo.lit(0.0)).otherwise(F.least(gap(F.col("w")), gap(F.col("e"))))
-    # sin^2(d / 2R) >= sin^2(up / 2), and >= cos(lat) * smallest cos * sin^2(across / 2)
+    # sin^2(d / 2R) >= sin^2(up / 2) + cos(lat) * smallest cos * sin^2(across / 2)
     half = geo.lit(C.DEG * 0.5)
     widest = F.greatest(F.abs(F.col("s")), F.abs(F.col("t")))
     a_up = F.sin(up * half) * F.sin(up * half)
     a_across = F.cos(lat * geo.lit(C.DEG)) * F.cos(widest * geo.lit(C.DEG)) * F.sin(across * half) * F.sin(across * half)
-    a = F.least(F.greatest(a_up, a_across), geo.lit(1.0))
+    a = F.least(a_up + a_across, geo.lit(1.0))
     return geo.lit(2.0 * C.EARTH_RADIUS_M) * F.asin(F.sqrt(a)) - geo.lit(MILLIMETRE)
 
 

@@ -152,13 +152,19 @@ class TableStore:
         if not self.exists(name):
             self.write(df, name, partition_by=partition_by)
             return
-        w = df.hint("rebalance", *[F.col(c) for c in partition_by]).write.option("partitionOverwriteMode", "dynamic")
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
         if self.database is None:
-            w.format(self.fmt).mode("overwrite").partitionBy(*partition_by).save(self.path(name))
+            w = df.write.option("partitionOverwriteMode", "dynamic").format(self.fmt).mode("overwrite")
+            w.partitionBy(*partition_by).save(self.path(name))
             return
-        columns = self.spark.table(self.table(name)).columns  # insertInto goes by position
-        w = df.hint("rebalance", *[F.col(c) for c in partition_by]).select(*columns).write
-        w.option("partitionOverwriteMode", "dynamic").insertInto(self.table(name), overwrite=True)
+        columns = self.spark.table(self.table(name)).columns  # insertInto goes by position, and by the session's mode
+        mode, conf = "spark.sql.sources.partitionOverwriteMode", self.spark.conf
+        before = conf.get(mode)
+        conf.set(mode, "dynamic")
+        try:
+            df.select(*columns).write.insertInto(self.table(name), overwrite=True)
+        finally:
+            conf.set(mode, before)
 
     def drop_partition(self, name: str, column: str, value) -> None:
         """Remove one value of the partition column ``column`` (not NULL) with its files."""

@@ -47,11 +47,11 @@ def world(r, n, spread):
             return r.choice([-1, 1]) * r.uniform(80, 90), r.uniform(-180, 180)       # by a pole
         if kind < .4:
             return r.uniform(-60, 60), r.choice([-1, 1]) * r.uniform(179.9, 180)     # by the antimeridian
-        return 34 + r.uniform(-spread, spread), -118 + r.uniform(-spread, spread)
+        return 34 + r.uniform(-spread, min(spread, 50)), -118 + r.uniform(-spread, spread)
     return [one() for _ in range(n)]
 
 
-@pytest.mark.parametrize("k,spread,boxes,broadcast", [(1, 60, 256, True), (3, 2, 256, True), (3, 0.5, 2, True), (4, 30, 1, False),
+@pytest.mark.parametrize("k,spread,boxes,broadcast", [(1, 60, 256, True), (3, 2, 256, True), (3, 0.5, 2, True), (4, 30, 8, False),
                                                       (50, 10, 3, True)])
 def test_nearest_schools_equal_all_pairs(spark, monkeypatch, k, spread, boxes, broadcast):
     monkeypatch.setattr(nearest, "BOX_SCHOOLS", boxes)
