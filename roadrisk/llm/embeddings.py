@@ -3,9 +3,10 @@
 A filter is a direction; a vector passes it when their inner product reaches a
 threshold. The directions are structured: in each of ``TABLES`` randomly rotated
 copies of the space, every choice of one code word for the first half of the
-coordinates and one for the second is a filter, so ``WORDS``**2 filters need only
-2 * ``WORDS`` inner products, and a vector is list-decoded to all filters it passes
-without trying them one by one. Vectors with an angle as small as that of cosine
+coordinates and one for the second is a filter, so W**2 filters need only
+2 * W inner products, and a vector is list-decoded to all filters it passes
+without trying them one by one. W grows with the root of the counted rows
+(``words_for``), so buckets don't grow with the table. Vectors with an angle as small as that of cosine
 0.98 nearly always share a filter: over random directions 0.99 of the pairs at
 exactly 0.98 do, more above it (tests measure it against brute force).
 
@@ -19,13 +20,18 @@ Vectors that share (label, filter) are compared exactly, in double precision:
   number of links) and a spanning forest, never the pairs;
 * components join the forests.
 
-Codes depend on the dimension and a seed alone, not on the data, so there is
+Codes depend on the dimension, W and a seed alone, not on the vectors, so there is
 nothing to fit and every row is indexed.
 
+Below ``LOW_DIMENSIONS`` coordinates the caps of random directions are uneven. There
+the filters are the cells of a grid over the first coordinates: a vector passes its own
+cell and all cells that a vector at the link bound can lie in, so no pair is missed.
+
 Defined results: a vector that is null, empty, zero, or holds a null or
 non-finite component, or has no label or no vec_id, links with nothing; its
 component_id is its own vec_id. Vectors of different length never link. Repeated
-rows count as other vectors. An empty table gives no rows.
+rows count as other vectors. An empty table gives no rows. Only vec_id, label and
+embedding are read, so extra columns of any name are no matter.
 """
 
 from __future__ import annotations
@@ -40,44 +46,71 @@ from roadrisk.llm.common import arrow_map, connected_components, ship_code, stor
 from roadrisk.llm.simhash import forest
 
 COSINE = 0.98
-TABLES, WORDS = 4, 256
+TABLES, WORDS = 4, 256   # WORDS: at least
+ROWS_PER_FILTER = 0.25
 PASSED = 32          # filters that a random vector passes on average, all tables together
 SEED = 11
 TILE = 1024          # classes in a tile
 PACK = 16384         # rows of units handled together, on average
+LOW_DIMENSIONS = 12
+GRID_COORDINATES, GRID_CELL = 6, 0.5
+
+
+def words_for(rows: int) -> int:
+    """Code words per half: the power of two from which a table has a filter per ``ROWS_PER_FILTER`` rows."""
+    words = WORDS
+    while words * words * ROWS_PER_FILTER < rows:
+        words *= 2
+    return words
 
 
 @functools.lru_cache(maxsize=16)
-def codes(dim: int):
+def codes(dim: int, n_words: int = WORDS):
     """(rotation, code words, threshold) per table, the same on every machine."""
     rng = np.random.default_rng([SEED, dim])
     width = -(-dim // 2)
     tables = []
     for _ in range(TABLES):
         rotation = np.linalg.qr(rng.normal(size=(2 * width, 2 * width)))[0][:dim]
-        words = rng.normal(size=(2, WORDS, width))
+        words = rng.normal(size=(2, n_words, width))
         words /= np.linalg.norm(words, axis=2, keepdims=True) * np.sqrt(2)
         probe = rng.normal(size=(64, dim))
         probe = (probe / np.linalg.norm(probe, axis=1, keepdims=True)) @ rotation
-        sums = (probe[:, :width] @ words[0].T)[:, :, None] + (probe[:, width:] @ words[1].T)[:, None, :]
         most = len(probe) * PASSED // TABLES
-        tables.append((rotation, words, np.partition(sums.ravel(), -most)[-most]))
+        top = np.full(most, -np.inf)
+        for x in probe:  # the largest sums of all probes, one probe at a time
+            sums = ((words[0] @ x[:width])[:, None] + words[1] @ x[width:]).ravel()
+            top = np.partition(np.concatenate([top, np.partition(sums, -most)[-most:]]), -most)[-most:]
+        tables.append((rotation, words, top.min()))
     return tables
 
 
-def passed_filters(unit: np.ndarray) -> np.ndarray:
+def grid_cells(unit: np.ndarray, cosine: float) -> np.ndarray:
+    """The grid cells (increasing numbers) in which a vector linked to this one can lie."""
+    reach = np.sqrt(max(0.0, 2 - 2 * cosine)) + 1e-9
+    x = unit[:GRID_COORDINATES]
+    low, high = (np.floor((x + side) / GRID_CELL).astype(np.int64) for side in (-reach, reach))
+    out = np.zeros(1, dtype=np.int64)
+    for a, z in zip(low + 2 ** 10, high + 2 ** 10):  # 11 bits a coordinate
+        out = (out[:, None] * 2 ** 11 + np.arange(a, z + 1)).ravel()
+    return np.sort(out)
+
+
+def passed_filters(unit: np.ndarray, n_words: int = WORDS, cosine: float = COSINE) -> np.ndarray:
     """The filters (increasing numbers) that a unit vector passes."""
-    out, width = [], -(-len(unit) // 2)
-    for t, (rotation, words, least) in enumerate(codes(len(unit))):
+    if len(unit) < LOW_DIMENSIONS:
+        return grid_cells(unit, cosine)
+    out, width = [np.empty(0, dtype=np.int64)], -(-len(unit) // 2)
+    for t, (rotation, words, least) in enumerate(codes(len(unit), n_words)):
         x = unit @ rotation
         a, b = words[0] @ x[:width], words[1] @ x[width:]
         b_order = np.argsort(-b)
         b_down = -b[b_order]
         first = np.flatnonzero(a >= least + b_down[0])
         counts = np.searchsorted(b_down, a[first] - least, side="right")
-        for i, n in zip(first, counts):
-            out.append(t * WORDS * WORDS + i * WORDS + b_order[:n])
-    return np.sort(np.concatenate(out)) if out else np.empty(0, dtype=np.int64)
+        nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        out.append((t * n_words + np.repeat(first, counts)) * n_words + b_order[nth])
+    return np.sort(np.concatenate(out))
 
 
 def can_link() -> Column:
@@ -94,7 +127,7 @@ def valid_rows(rows: DataFrame) -> DataFrame:
         F.col("embedding").cast("array<double>"), lambda x: x + F.lit(0.0)).alias("embedding"))
 
 
-def decoded(classes: DataFrame) -> DataFrame:
+def decoded(classes: DataFrame, n_words: int = WORDS, cosine: float = COSINE) -> DataFrame:
     """Adds filters, the sorted filters that each class's vector passes."""
     def make():
         def work(batch):
@@ -102,7 +135,7 @@ def decoded(classes: DataFrame) -> DataFrame:
             for v in batch.column("embedding").to_pylist():
                 x = np.array(v)
                 x = x / np.abs(x).max()     # no overflow in the norm
-                found.append(passed_filters(x / np.linalg.norm(x)).tolist())
+                found.append(passed_filters(x / np.linalg.norm(x), n_words, cosine).tolist())
             yield {c: batch.column(c) for c in ("class_id", "label", "copies", "embedding")} | {"filters": found}
         return work
 
@@ -184,7 +217,7 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
                                    (F.col("v.vec_id") == F.col("s.class_id")) & (F.col("v.label") == F.col("s.label"))
                                    & (F.col("v.h1") == F.col("s.h1")) & (F.col("v.h2") == F.col("s.h2")))
              .select("class_id", "v.label", "copies", "embedding").dropDuplicates(["class_id", "label", "embedding"]))
-    index = stored(decoded(first).withColumn("dim", F.size("embedding")), "vector-index")
+    index = stored(decoded(first, words_for(sets.count()), cosine).withColumn("dim", F.size("embedding")), "vector-index")
 
     passes = index.select("class_id", "label", "dim", F.explode("filters").alias("filter"))
     live = passes.groupBy("label", "dim", "filter").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
