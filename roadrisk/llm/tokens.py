@@ -70,12 +70,13 @@ def count_spliced(text: str, tokenizer: Tokenizer, chunk: int = CHUNK, overlap:
     total = 0                       # tokens before `done`
     start = done = 0                # the left chunk begins at start; tokens from done on are not counted yet
     end = min(len(text), chunk)
+    reach = chunk                   # characters by which a left chunk without a splice point grows
     left = encode(start, end)
     while end < len(text):
         lefts, before = boundaries(left, start)
         tokens_before = dict(zip(lefts.tolist(), before.tolist()))
         wide, joined = overlap, True
-        while True:
+        while ((lefts > done) & (lefts <= end - guard)).any():  # else there is nothing to splice at
             begin = max(start + 1, end - wide)
             stop = min(len(text), end + chunk)
             right = encode(begin, stop)
@@ -91,9 +92,11 @@ def count_spliced(text: str, tokenizer: Tokenizer, chunk: int = CHUNK, overlap:
                 break
             wide *= 2
         if joined:
-            end = stop
+            end = min(len(text), end + reach)
             left = encode(start, end)
+            reach = end - start     # twice as far each time: few encodings of a text without boundaries
             continue
+        reach = chunk
         total += tokens_before[at] - (tokens_before[done] if done > start else 0)
         start, left = begin, right
         done, end = at, stop
