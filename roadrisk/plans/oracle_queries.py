@@ -83,6 +83,8 @@ sql("clean_incidents", O.CLEAN, "SELECT dr_no, latitude, longitude, crash_date,
 
 sql("calendar_columns", O.SILVER, "SELECT dr_no, crash_year, crash_month, year_month FROM silver")
 
+sql("point_column", O.CLEAN, "SELECT dr_no, longitude AS lon, latitude AS lat, 4326 AS srid FROM cleaned")
+
 sql("bbox_filter", O.CLEAN, "SELECT dr_no, latitude, longitude FROM valid")
 
 sql("dedupe_incidents", O.CLEAN, "SELECT dr_no, date_occ, time_occ, lat, lon, mocodes FROM cleaned")

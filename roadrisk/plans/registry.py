@@ -169,6 +169,13 @@ def q_intersection_label(spark, sf_dir):
     return c.select("dr_no", "intersection")
 
 
+@query("point_column")
+def q_point_column(spark, sf_dir):
+    """P10: the point of every incident, field by field."""
+    points = clean.add_geometry(clean.clean_incidents(pipeline.bronze(spark, sf_dir)))
+    return points.select("dr_no", F.col("geometry.lon").alias("lon"), F.col("geometry.lat").alias("lat"), F.col("geometry.srid").alias("srid"))
+
+
 @query("hex_bins")
 def q_hex_bins(spark, sf_dir):
     return pipeline.silver(spark, sf_dir).select("dr_no", "h3_res9", "h3_res8")
