@@ -18,7 +18,9 @@ shingles to look for reach the tasks as broadcasts of bounded size: beyond
 
 Defined results: null and empty texts have no words and no hits. Items without
 words, and null item_ids, match nothing; repeated items count once. Rows with
-the same doc_id are judged one by one. Empty tables give no hits or no rows.
+the same doc_id are judged one by one. Empty tables give no hits or no rows. Very
+long texts and items are read whole. ``clean_documents`` carries all columns of the
+documents along, whatever their names; other columns of the benchmark aren't read.
 """
 
 from __future__ import annotations

@@ -27,7 +27,10 @@ the shared half leaves open.
 Defined results: null and empty texts stay as they are; lines without a word are
 never dropped. Rows with the same doc_id count as one document; rows with a null
 doc_id neither lose lines nor make others lose them. Repeated lines inside one
-document keep the first. An empty table gives an empty result.
+document keep the first. An empty table gives an empty result. Very long texts are
+read whole; taking lines out of a document with very many dropped lines takes time
+with the square of their number. ``dedup_lines`` carries all columns along, whatever
+their names; the report reads doc_id and text alone.
 """
 
 from __future__ import annotations

@@ -18,7 +18,10 @@ within a kind; a match that fails its length check is dropped.
 
 Defined results: null and empty texts have no spans; without labelled values there
 are no automata and only base spans. Repeated rows each give their own row. An
-empty table gives no rows.
+empty table gives no rows. Only doc_id and text are read, so extra columns of any
+name are no matter. Very long texts are read whole, in linear time. The automata are
+fitted on at most ``SAMPLE`` different labelled values per kind, of each at most its
+first 256 characters.
 """
 
 from __future__ import annotations

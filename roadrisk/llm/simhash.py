@@ -23,7 +23,9 @@ fingerprints divided by the two skips; nothing is capped.
 Defined results: null and empty texts have the fingerprint zero and link like
 any other. Texts under four words hash the whole sequence. Repeated rows give
 repeated output rows. An empty table gives an empty result. A null doc_id never
-becomes a component id unless its whole component has no other.
+becomes a component id unless its whole component has no other. Very long texts
+are hashed whole. The report reads doc_id and text alone; ``one_of_each`` carries all
+columns along, whatever their names.
 """
 
 from __future__ import annotations
