@@ -5,13 +5,19 @@ they match is labelled data: per kind, the values become strings of character
 classes, a prefix tree counts them, and states whose outgoing frequencies can't
 be told apart (Hoeffding bound) are merged into a probabilistic automaton. All
 other long tokens with letters and digits are candidates; each is scored by its
-likelihood per symbol under every automaton, against random printable text.
-A candidate stays (as ``like_<kind>``) when its likelihood is within the range of
-the labelled values and clearly above random text.
+likelihood per symbol under every automaton, against a background: how often one
+character class follows another in all text outside the labelled values and outside candidates
+whose likelihood is in a kind's range (else keys without a label would pass for ordinary
+text), mixed with ``UNSEEN`` parts of random printable text, so that a single odd step
+(a digit after a word) can't make a token look like a key. A candidate stays (as ``like_<kind>``)
+when it is no shorter than the kind's labelled values, its likelihood is within their
+range, and it is clearly above the background. A token that isn't accepted whole is
+read again in its pieces between ``=``, ``/`` and ``.`` (``auth=<key>``, paths).
 
 The automata are fitted on a bounded sample: ``SAMPLE`` different values per kind,
-chosen by hash. Only class strings of the values are ever stored, not the values.
-Everything else reads all texts whole.
+chosen by hash, of at most ``LONGEST`` characters each, as whole values. Only class
+strings of the values are ever stored, not the values. Everything else, the background
+too, reads all texts whole.
 
 Offsets are code points, end exclusive. Matches are leftmost and don't overlap
 within a kind; a match that fails its length check is dropped.
@@ -19,9 +25,7 @@ within a kind; a match that fails its length check is dropped.
 Defined results: null and empty texts have no spans; without labelled values there
 are no automata and only base spans. Repeated rows each give their own row. An
 empty table gives no rows. Only doc_id and text are read, so extra columns of any
-name are no matter. Very long texts are read whole, in linear time. The automata are
-fitted on at most ``SAMPLE`` different labelled values per kind, of each at most its
-first 256 characters.
+name are no matter. Very long texts are read whole, in linear time.
 """
 
 from __future__ import annotations
@@ -31,6 +35,7 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,7 +46,9 @@ BASE_KINDS = ("assign", "access", "hex")
 RANK = {k: i for i, k in enumerate([*BASE_KINDS, *(f"like_{k}" for k in BASE_KINDS)])}
 SAMPLE = 400         # different labelled values per kind
 ALPHA = 0.05         # of the Hoeffding bound
-LEAST_RATIO = 0.35   # nats per symbol above random text
+LONGEST = 2048       # characters of a labelled value that automata are fitted on
+LEAST_RATIO = 0.35   # nats per symbol above the background
+UNSEEN = 0.1         # share of random printable text in the background
 LOW_SHARE = 0.01     # of the labelled values score below the acceptance level
 
 KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
@@ -55,7 +62,8 @@ ASSIGN = re.compile(rf"""(?:{either_case("password")}|{either_case("passwd")}|{e
                     r"""["']?+\x20*+[:=]\x20*+["']?+([A-Za-z0-9+/_.=-]++)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]++")
 HEX = re.compile(r"[0-9a-f]{16,}+")
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}+")
+TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{12,}+")
+PIECE = re.compile(r"[A-Za-z0-9+_-]{12,}+=*+")
 DIGIT, LETTER = re.compile("[0-9]"), re.compile("[A-Za-z]")
 
 HEX_MARKS = bytes(120 if 48 <= c <= 57 or 97 <= c <= 102 else 32 for c in range(256))
@@ -65,7 +73,10 @@ RUN = b"x" * 16
 CLASSES = {"d": "0123456789", "h": "abcdef", "l": "ghijklmnopqrstuvwxyz", "H": "ABCDEF", "U": "GHIJKLMNOPQRSTUVWXYZ",
            "+": "+", "/": "/", "_": "_", "=": "=", "-": "-", ".": "."}
 SYMBOL = {ord(c): s for s, cs in CLASSES.items() for c in cs}
-RANDOM = {s: math.log(len(cs) / 68) for s, cs in CLASSES.items()}
+CODES = {s: i + 1 for i, s in enumerate(CLASSES)}   # 0: any other character
+WIDTH = len(CODES) + 1
+CODE_OF = bytes(CODES[SYMBOL[c]] if c in SYMBOL else 0 for c in range(256))
+SLICE = 2 ** 20      # bytes whose pairs are counted at once
 
 
 def base_spans(text: str, data: bytes) -> list[tuple[int, int, str, str]]:
@@ -81,6 +92,32 @@ def base_spans(text: str, data: bytes) -> list[tuple[int, int, str, str]]:
     return sorted(out, key=lambda s: (s[0], RANK[s[2]]))
 
 
+def pair_counts(data: bytes) -> np.ndarray:
+    """How often each class follows each other one: counts at WIDTH * first + second."""
+    codes, counts = np.frombuffer(data.translate(CODE_OF), dtype=np.uint8), np.zeros(WIDTH * WIDTH, dtype=np.int64)
+    for at in range(0, len(codes) - 1, SLICE):
+        part = codes[at:at + SLICE + 1].astype(np.int16)
+        counts += np.bincount(part[:-1] * WIDTH + part[1:], minlength=WIDTH * WIDTH)
+    return counts
+
+
+class Background:
+    """Likelihood of ordinary text: classes by the class before, and random printable text."""
+
+    def __init__(self, counts: dict[int, int] | None = None):
+        self.log: dict[tuple[str, str], float] = {}
+        for before, i in {"": 0, **CODES}.items():
+            row = {s: (counts or {}).get(i * WIDTH + j, 0) for s, j in CODES.items()}
+            n = sum(row.values())
+            for s, k in row.items():
+                even = len(CLASSES[s]) / 68
+                self.log[before, s] = math.log(UNSEEN * even + (1 - UNSEEN) * (k / n if n else even))
+
+    def likelihood(self, symbols: str) -> float:
+        """Log-likelihood per symbol."""
+        return sum(self.log[pair] for pair in zip(["", *symbols], symbols)) / max(1, len(symbols))
+
+
 class Automaton:
     """A probabilistic automaton merged from a prefix tree of labelled strings."""
 
@@ -98,6 +135,7 @@ class Automaton:
                 at = self.next[at][c]
             self.seen[at][""] += 1
         self._merge()
+        self.shortest = min(map(len, strings), default=0)
         scores = sorted(self.likelihood(s) for s in strings)
         self.level = scores[int(len(scores) * LOW_SHARE)] if scores else 0.0
 
@@ -156,35 +194,56 @@ class Automaton:
 
 
 def candidates(text: str, base) -> list[tuple[int, int, str]]:
-    """Long tokens with letters and digits outside the base spans."""
+    """Long tokens with letters and digits outside the base spans, without full stops at their end."""
     if not DIGIT.search(text):
         return []
     out, at = [], 0
     for m in TOKEN.finditer(text):
-        if DIGIT.search(m[0]) and LETTER.search(m[0]):
+        token = m[0].rstrip(".")
+        if len(token) >= 12 and DIGIT.search(token) and LETTER.search(token):
             while at < len(base) and base[at][1] <= m.start():
                 at += 1
             if not any(s[0] < m.end() and m.start() < s[1] for s in base[max(0, at - 3):at + 3]):
-                out.append((m.start(), m.end(), m[0]))
+                out.append((m.start(), m.start() + len(token), token))
     return out
 
 
-def accepted(token: str, automata: dict[str, Automaton]) -> tuple[str, float] | None:
-    """(kind, nats per symbol above random text) of the best automaton that takes the token."""
+def in_range(symbols: str, automata: dict[str, Automaton]) -> tuple[float, str] | None:
+    """(likelihood, kind) of the best automaton whose range (least length and likelihood of its labelled values) takes them."""
+    scores = ((a.likelihood(symbols), a.level, k) for k, a in sorted(automata.items()) if len(symbols) >= a.shortest)
+    return max(((score, k) for score, level, k in scores if score >= level), default=None)
+
+
+def accepted(token: str, automata: dict[str, Automaton], background: Background = Background()) -> tuple[str, float] | None:
+    """(kind, nats per symbol above the background) of the best automaton that takes the token."""
     symbols = token.translate(SYMBOL)
-    noise = sum(RANDOM[c] for c in symbols) / len(symbols)
-    best = max(((a.likelihood(symbols) - noise, k) for k, a in sorted(automata.items())
-                if a.likelihood(symbols) >= a.level), default=None)
-    return (best[1], best[0]) if best and best[0] >= LEAST_RATIO else None
+    best = in_range(symbols, automata)
+    if best is None:
+        return None
+    above = best[0] - background.likelihood(symbols)
+    return (best[1], above) if above >= LEAST_RATIO else None
 
 
-def learn(docs: DataFrame) -> dict[str, Automaton]:
+def like_spans(text: str, base, automata: dict[str, Automaton], background: Background) -> list[tuple[int, int, str]]:
+    """The spans that the automata add: candidates, or the pieces of one that isn't accepted whole."""
+    out = []
+    for start, end, token in candidates(text, base):
+        if hit := accepted(token, automata, background):
+            out.append((start, end, f"like_{hit[0]}"))
+            continue
+        for m in PIECE.finditer(token):
+            if len(m[0]) < len(token) and DIGIT.search(m[0]) and LETTER.search(m[0]) and (hit := accepted(m[0], automata, background)):
+                out.append((start + m.start(), start + m.end(), f"like_{hit[0]}"))
+    return out
+
+
+def learn_automata(docs: DataFrame) -> dict[str, Automaton]:
     """An automaton per kind, from a bounded sample of the base matches in all docs."""
     def make():
         def work(batch):
             rows = {(kind, xxhash.xxh3_64_intdigest(value) - 2 ** 63, value.translate(SYMBOL))
                     for t in batch.column("text").to_pylist() if t
-                    for _, _, kind, value in base_spans(t, t.encode())}
+                    for _, _, kind, match in base_spans(t, t.encode()) if len(value := match.rstrip(".")) <= LONGEST}
             if rows:
                 yield dict(zip(("kind", "h", "symbols"), map(list, zip(*sorted(rows)))))
         return work
@@ -198,19 +257,52 @@ def learn(docs: DataFrame) -> dict[str, Automaton]:
     first = F.row_number().over(Window.partitionBy("kind").orderBy("h", "symbols"))
     sample = (rows.filter(F.col("h") <= limits[F.col("kind")]).withColumn("k", first)
               .filter(F.col("k") <= SAMPLE).select("kind", "symbols").collect())
-    return {kind: Automaton(sorted(r["symbols"][:256] for r in sample if r["kind"] == kind)) for kind in sorted(counts)}
+    return {kind: Automaton(sorted(r["symbols"] for r in sample if r["kind"] == kind)) for kind in sorted(counts)}
+
+
+def learn_background(docs: DataFrame, automata: dict[str, Automaton]) -> Background:
+    """The background of all text outside the base matches and the candidates in a kind's range."""
+    shared = docs.sparkSession.sparkContext.broadcast(automata)
+
+    def make():
+        def ordinary(text: str) -> bytes:
+            data = text.encode()
+            base = base_spans(text, data)
+            out = sorted([(a, b) for a, b, *_ in base] + [
+                (a, b) for a, b, token in candidates(text, base) if in_range(token.translate(SYMBOL), shared.value)])
+            if not out:
+                return data
+            rest, at = [], 0
+            for start, end in out:
+                rest.append(text[at:max(at, start)])
+                at = max(at, end)
+            return " ".join([*rest, text[at:]]).encode()
+
+        def work(batch):
+            pairs = sum((pair_counts(ordinary(t)) for t in batch.column("text").to_pylist() if t), np.zeros(WIDTH * WIDTH, dtype=np.int64))
+            seen = np.flatnonzero(pairs)
+            if len(seen):
+                yield {"pair": seen.tolist(), "n": pairs[seen].tolist()}
+        return work
+
+    counts = arrow_map(docs.select("text"), "pair int, n long", make).groupBy("pair").agg(F.sum("n").alias("n"))
+    return Background({r["pair"]: r["n"] for r in counts.collect()})  # at most WIDTH * WIDTH rows
+
+
+def learn(docs: DataFrame) -> tuple[dict[str, Automaton], Background]:
+    automata = learn_automata(docs)
+    return automata, learn_background(docs, automata) if automata else Background()
 
 
-def secrets(docs: DataFrame, automata: dict[str, Automaton] | None = None) -> DataFrame:
+def secrets(docs: DataFrame, learned: tuple[dict[str, Automaton], Background] | None = None) -> DataFrame:
     """doc_id, the number of spans of each base kind, base_sha256, spans and n_more for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(learn(docs) if automata is None else automata)
+    shared = docs.sparkSession.sparkContext.broadcast(learn(docs) if learned is None else learned)
 
     def make():
         def scan(text: str | None):
             text = text or ""
             base = base_spans(text, text.encode())
-            more = [(a, b, f"like_{hit[0]}") for a, b, token in candidates(text, base)
-                    if (hit := accepted(token, shared.value))]
+            more = like_spans(text, base, *shared.value)
             return base, sorted([*(s[:3] for s in base), *more], key=lambda s: (s[0], RANK[s[2]]))
 
         def joined(spans):
