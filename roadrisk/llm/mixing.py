@@ -132,53 +132,62 @@ def hypergeometric(total: Column, marked: Column, drawn: Column, u: Column) -> C
 
 
 def split_tree(roots: DataFrame, shards: int, seed: int) -> DataFrame:
-    """Leaves (grp, shard, pos, quota) of the trees whose roots are rows (grp,
-    quotas array<long>, cum array<long>), cum being the shards' running capacity
-    from its start (shards + 1 values); the capacities sum to the quotas."""
-    nodes = roots.select("grp", F.lit(0).alias("lo"), F.lit(shards).alias("hi"), "quotas", "cum")
+    """Leaves (grp, shard, pos, quota), quotas above zero, of the trees whose roots are rows
+    (grp, quotas array<struct<pos, quota>>, caps array<struct<shard, to>>, start): caps are
+    the shards that take draws, in order, with the running capacity up to their end, and
+    start is the running capacity before the first. A root's capacities sum to its quotas.
+    Nodes hold only the quotas and shards that are not zero, so the rows grow with the draws."""
+    nodes = roots.select("grp", "quotas", "caps", "start")
+    quota = "struct<pos:int,quota:bigint>"
     level = 0
     while 2 ** level < shards:
-        half = F.floor((F.col("hi") - F.col("lo")) / 2).cast("int")
-        split = F.col("hi") - F.col("lo") > 1
-        drawn = F.element_at("cum", half + 1) - F.element_at("cum", 1)
-        state = F.struct(drawn.alias("n"), F.aggregate("quotas", F.lit(0).cast("long"), lambda a, q: a + q).alias("t"),
-                         F.array().cast("array<bigint>").alias("out"))
+        half = F.floor(F.size("caps") / 2).cast("int")
+        split = F.size("caps") > 1
+        lo, hi = F.element_at("caps", 1)["shard"], F.element_at("caps", -1)["shard"] + 1
+        mid = F.element_at("caps", F.greatest(half, F.lit(1)))["to"]
+        state = F.struct((mid - F.col("start")).alias("n"), F.aggregate("quotas", F.lit(0).cast("long"), lambda a, q: a + q["quota"]).alias("t"),
+                         F.array().cast(f"array<{quota}>").alias("out"))
 
         def step(a, q):  # adds to "out" what one source gets of the draws left, and takes it from "n"
-            u = uniform(F.lit(seed), F.col("grp"), F.col("lo"), F.col("hi"), F.size(a["out"]))
-            return with_value(hypergeometric(a["t"], q, a["n"], u), lambda x: F.struct(
-                (a["n"] - x).alias("n"), (a["t"] - q).alias("t"), F.concat(a["out"], F.array(x)).alias("out")))
-
-        left = F.when(split, F.aggregate("quotas", state, step, lambda a: a["out"])).otherwise(F.col("quotas"))
-        nodes = nodes.withColumn("left", left).select("grp", "lo", "hi", "quotas", "left", "cum", half.alias("half"), split.alias("split"))
-        mid = F.col("lo") + F.col("half")
-        child = lambda lo, hi, q, cum: F.struct(lo.alias("lo"), hi.alias("hi"), q.alias("quotas"), cum.alias("cum"))
+            u = uniform(F.lit(seed), F.col("grp"), F.col("lo"), F.col("hi"), q["pos"])
+            return with_value(hypergeometric(a["t"], q["quota"], a["n"], u), lambda x: F.struct(
+                (a["n"] - x).alias("n"), (a["t"] - q["quota"]).alias("t"),
+                F.concat(a["out"], F.array(F.struct(q["pos"].alias("pos"), x.alias("quota")).cast(quota))).alias("out")))
+
+        nodes = nodes.select("*", lo.alias("lo"), hi.alias("hi"), half.alias("half"), mid.alias("mid"), split.alias("split"))
+        left = F.when(F.col("split"), F.aggregate("quotas", state, step, lambda a: a["out"])).otherwise(F.col("quotas"))
+        nodes = nodes.withColumn("left", left)
+        right = F.zip_with("quotas", "left", lambda q, x: F.struct(q["pos"].alias("pos"), (q["quota"] - x["quota"]).alias("quota")).cast(quota))
+        some = lambda quotas: F.filter(quotas, lambda q: q["quota"] > 0)
+        child = lambda q, caps, start: F.struct(q.alias("quotas"), caps.alias("caps"), start.alias("start"))
         kids = F.when(F.col("split"), F.array(
-            child(F.col("lo"), mid, F.col("left"), F.slice("cum", F.lit(1), F.col("half") + 1)),
-            child(mid, F.col("hi"), F.zip_with("quotas", "left", lambda q, x: q - x),
-                  F.slice("cum", F.col("half") + 1, F.col("hi") - F.col("lo") - F.col("half") + 1)),
-        )).otherwise(F.array(child(F.col("lo"), F.col("hi"), F.col("quotas"), F.col("cum"))))
+            child(some(F.col("left")), F.slice("caps", F.lit(1), F.col("half")), F.col("start")),
+            child(some(right), F.slice("caps", F.col("half") + 1, F.size("caps") - F.col("half")), F.col("mid")),
+        )).otherwise(F.array(child(F.col("quotas"), F.col("caps"), F.col("start"))))
         nodes = nodes.select("grp", F.explode(kids).alias("c")).select("grp", "c.*")
         level += 1
         if level % 3 == 0:  # bounds the plan, and spreads the nodes as they multiply
-            nodes = stored(nodes.repartition("grp", "lo"), "tree")
-    return nodes.select("grp", F.col("lo").alias("shard"), F.posexplode("quotas").alias("pos", "quota"))
+            nodes = stored(nodes.repartition("grp", "start"), "tree")
+    return nodes.select("grp", F.element_at("caps", 1)["shard"].alias("shard"), F.explode("quotas").alias("q")).select("grp", "shard", "q.*")
 
 
 def deal(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
-    """(source_no, shard, quota) from (source_no, quota): groups of sources first, then inside each group."""
-    rows = stored(quotas.select("source_no", "quota", F.floor(F.col("source_no") / GROUP).cast("long").alias("grp")), "quotas")
+    """(source_no, shard, quota above zero) from (source_no, quota): groups of sources first, then inside each group."""
+    rows = stored(quotas.filter("quota > 0").select("source_no", "quota", F.floor(F.col("source_no") / GROUP).cast("long").alias("grp")), "quotas")
+    vector = lambda pos: F.sort_array(F.collect_list(F.struct(pos.cast("int").alias("pos"), F.col("quota").cast("long").alias("quota"))))
     groups = rows.groupBy("grp").agg(F.sum("quota").alias("quota"))
-    total = F.aggregate("quotas", F.lit(0).cast("long"), lambda a, q: a + q)
-    packed = groups.agg(F.sort_array(F.collect_list(F.struct("grp", "quota"))).alias("g")).select(F.col("g.quota").alias("quotas"))
-    top = packed.select(F.lit(-1).cast("long").alias("grp"), "quotas", F.transform(
-        F.sequence(F.lit(0), F.lit(shards)), lambda k: F.floor(total * k / shards).cast("long")).alias("cum"))
-    dealt = split_tree(top, shards, seed).select(F.col("pos").cast("long").alias("grp"), "shard", "quota")
-    dealt = stored(dealt, "group-shards")  # group numbers are 0, 1, .. without gaps, so pos names them
-    caps = dealt.groupBy("grp").agg(F.sort_array(F.collect_list(F.struct("shard", "quota"))).alias("s"))
-    cum = F.aggregate("s", F.array(F.lit(0).cast("long")), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x["quota"])))
-    vectors = rows.groupBy("grp").agg(F.sort_array(F.collect_list(F.struct("source_no", "quota"))).alias("v"))
-    roots = vectors.join(caps, "grp").select("grp", F.col("v.quota").alias("quotas"), cum.alias("cum"))
+    # The shards' ends, as even as whole draws allow; a shard without draws is left out.
+    total = F.aggregate("quotas", F.lit(0).cast("long"), lambda a, q: a + q["quota"])
+    end = lambda k: F.floor(F.col("total") * k / shards).cast("long")
+    top = groups.agg(vector(F.col("grp")).alias("quotas")).filter(F.size("quotas") > 0).withColumn("total", total).select(
+        F.lit(-1).cast("long").alias("grp"), "quotas", F.transform(
+            F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda k: end(k + 1) > end(k)),
+            lambda k: F.struct(k.alias("shard"), end(k + 1).alias("to"))).alias("caps"), F.lit(0).cast("long").alias("start"))
+    dealt = stored(split_tree(top, shards, seed).select(F.col("pos").cast("long").alias("grp"), "shard", "quota"), "group-shards")
+    to = F.sum("quota").over(Window.partitionBy("grp").orderBy("shard"))
+    caps = dealt.withColumn("to", to).groupBy("grp").agg(F.sort_array(F.collect_list(F.struct("shard", "to"))).alias("caps"))
+    vectors = rows.groupBy("grp").agg(vector(F.col("source_no") % GROUP).alias("quotas"))
+    roots = vectors.join(caps, "grp").select("grp", "quotas", "caps", F.lit(0).cast("long").alias("start"))
     leaves = split_tree(roots, shards, seed + 1)
     return leaves.select((F.col("grp") * GROUP + F.col("pos")).alias("source_no"), "shard", "quota")
 
