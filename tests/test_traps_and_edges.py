@@ -332,3 +332,55 @@ def test_school_flag_merge_path_skew_split_same_flags(spark, monkeypatch):
                 spark.conf.set(k, v)
     assert "SortMergeJoin" in plan and "skew=true" in plan
     assert got == want and len(got) == 3300 and sum(f for _, f in got) > 2000
+
+
+def _shuffled(df):
+    """The most rows that any exchange of the collected plan wrote."""
+    most, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+            continue
+        if name in ("ShuffleQueryStage", "BroadcastQueryStage"):
+            todo.append(node.plan())
+            continue
+        if name == "Exchange":
+            most = max(most, node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return most
+
+
+def test_pairs_of_roads_and_incidents_are_not_shuffled(spark):
+    # 40 roads and 300 incidents in one place: 12,000 pairs. Neither the pairs of unique incidents
+    # nor their counts per road may pass through a shuffle.
+    import random
+    rng = random.Random(5)
+    paths = [[[-118.2500 + i * 1e-6 + j * 1e-5, 34.0502] for j in range(7)] for i in range(40)]
+    points = [(f"DR{i}", (-118.2499 + rng.random() * 1e-4, 34.0501 + rng.random() * 1e-4)) for i in range(300)]
+    inc = spark.createDataFrame([(d, "fatal" if d.endswith("7") else "other", x, y) for d, (x, y) in points],
+                                "dr_no string, severity string, longitude double, latitude double")
+    roads = road(spark, paths + [paths[0]])
+    got = corridors.match_incidents(roads, inc, unique=True)
+    rows = [(r.road_index, r.dr_no) for r in got.collect()]
+    assert len(rows) == len(set(rows)) == 41 * 300
+    assert set(rows) == _brute_pairs(paths + [paths[0]], points, C.MATCH_THRESHOLD_DEG)
+    assert _shuffled(got) < 2000
+    counts = corridors.counted_roads(roads, inc)
+    assert {(r.road_index, r.crash_count, r.fatal) for r in counts.collect()} == {(i, 300, 30) for i in range(41)}
+    assert _shuffled(counts) < 2000
+
+
+def test_a_road_in_several_polylines_and_incidents_that_repeat(spark):
+    # Two polylines of one road_index (one of them twice) are one road; a dr_no at two places counts once.
+    path = [[-118.2500, 34.0500], [-118.2480, 34.0500]]
+    roads = spark.createDataFrame([(1, path, "a"), (1, path, "a"), (1, [[-118.2500, 34.0501], [-118.2480, 34.0501]], "b"), (2, None, None)],
+                                  "road_index long, path array<array<double>>, name string")
+    inc = spark.createDataFrame([("DR1", "other", -118.2490, 34.0500), ("DR1", "other", -118.2470, 34.0500), ("DR1", "other", -118.2481, 34.0500),
+                                 (None, "fatal", -118.2485, 34.0502)], "dr_no string, severity string, longitude double, latitude double")
+    got = sorted((r.road_index, r.dr_no or "", r.severity) for r in corridors.match_incidents(roads, inc).collect())
+    assert got == [(1, "", "fatal"), (1, "DR1", "other")]
+    one = inc.filter("latitude > 34.05 or longitude = -118.249")
+    assert [tuple(r) for r in corridors.counted_roads(roads, one).collect()] == [(1, 2, 1, 0, 0, 0)]
