@@ -37,8 +37,11 @@ def dedup_points(ways: DataFrame, decimals: int = C.ROAD_ROUND_DECIMALS) -> Data
     "within 1e-6 of the last kept point"."""
     rounded = F.transform("geometry", lambda g: F.array(geo.round_half_up(g["lon"], decimals),
                                                         geo.round_half_up(g["lat"], decimals)))
-    return (ways.withColumn("_r", rounded)
-            .withColumn("points", F.filter("_r", lambda p, i: (i == 0) | (p != F.element_at(F.col("_r"), i))))
+    # Generators end both steps: the last filter reads their arrays. Otherwise it would move down to the
+    # scan, whatever its splits, with the rounding of the whole path built anew for each point.
+    kept = F.filter("_r", lambda p, i: (i == 0) | (p != F.element_at(F.col("_r"), i)))
+    return (ways.withColumn("_r", F.explode(F.array(rounded)))
+            .withColumn("points", F.explode(F.array(kept)))
             .drop("_r")
             .filter(F.size("points") >= 2))
 
