@@ -343,7 +343,7 @@ def _shuffled(df):
         if name == "AdaptiveSparkPlan":
             todo.append(node.executedPlan())
             continue
-        if name in ("ShuffleQueryStage", "BroadcastQueryStage"):
+        if name in ("ShuffleQueryStage", "BroadcastQueryStage", "ResultQueryStage"):
             todo.append(node.plan())
             continue
         if name == "Exchange":
@@ -384,3 +384,23 @@ def test_a_road_in_several_polylines_and_incidents_that_repeat(spark):
     assert got == [(1, "", "fatal"), (1, "DR1", "other")]
     one = inc.filter("latitude > 34.05 or longitude = -118.249")
     assert [tuple(r) for r in corridors.counted_roads(roads, one).collect()] == [(1, 2, 1, 0, 0, 0)]
+
+
+def test_cells_of_roads_are_not_shuffled_for_counts(spark):
+    # 40 roads of 21 to 61 segments and 0.03 degrees: some 3,000 cells, a few tiles. Points on both sides of
+    # tile borders, one road_index in two polylines, a road that is a point, equal positions, a null position.
+    import random
+    rng = random.Random(17)
+    paths = [[[-118.2500 + 0.03 * j / n, 34.0400 + 0.0004 * i + rng.random() * 2e-4] for j in range(n + 1)]
+             for i, n in ((i, 21 + i) for i in range(40))] + [[[-118.24, 34.05], [-118.24, 34.05]]]
+    points = [(f"DR{i}", (round(-118.255 + rng.random() * 0.04, 4), round(34.038 + rng.random() * 0.02, 4))) for i in range(1200)]
+    inc = spark.createDataFrame([(d, "fatal" if d.endswith("7") else "other", x, y) for d, (x, y) in points] + [("DRn", "fatal", None, 34.05)],
+                                "dr_no string, severity string, longitude double, latitude double")
+    roads = road(spark, paths)
+    roads = roads.unionByName(roads.filter("road_index = 3")).unionByName(roads.filter("road_index = 4").withColumn("road_index", F.lit(5).cast("long")))
+    pairs = _brute_pairs(paths, points, C.MATCH_THRESHOLD_DEG)
+    pairs |= {(5, d) for r, d in pairs if r == 4}
+    want = {r: (sum(q == r for q, _ in pairs), sum(q == r and d.endswith("7") for q, d in pairs)) for r in {r for r, _ in pairs}}
+    counts = corridors.counted_roads(roads, inc)
+    assert {r.road_index: (r.crash_count, r.fatal) for r in counts.collect()} == want and len(want) > 39
+    assert 0 < _shuffled(counts) < 1300
